@@ -5,32 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwell.operators.ordering import MAX_GROUP_ROWS, has_large_group, join_on_keys, with_position
+from loomwell.operators.ordering import MAX_GROUP_ROWS, has_large_group, with_position
 
 
 def collect_in_chunks(
-    df: DataFrame, keys: list[str], value: str, spread: Column, chunk_rows: int
+    df: DataFrame, keys: list[str], value: str, chunk_rows: int, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """All values of each group as sorted arrays, one array per chunk.
+    """All values of each group in sorted order, as numbered arrays of ``chunk_rows`` values.
 
-    A group's full list can exceed what one row may hold. The group's size
-    (counted with map-side combine) sets its number of chunks and ``spread``, an
-    evenly distributed non-negative integer, picks the chunk. The chunks of a
-    group together hold every value once; a group within ``chunk_rows`` has one.
+    A group's full list can exceed what one row may hold. The chunks of a group,
+    in order, are that list; a group within ``chunk_rows`` has a single one.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("_chunks"))
-    return (
-        join_on_keys(df, sizes, keys)
-        .groupBy(*keys, F.pmod(spread, F.col("_chunks")).cast("int").alias("chunk"))
-        .agg(F.array_sort(F.collect_list(value)).alias("values"))
-    )
+    placed = with_position(df.select(*keys, value), keys, [F.col(value)], "_pos", max_group_rows)
+    chunk = F.floor((F.col("_pos") - 1) / chunk_rows).cast("int").alias("chunk")
+    return placed.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(value)).alias("values"))
 
 
 def collect_set_in_chunks(
-    df: DataFrame, keys: list[str], value: str, spread: Column, chunk_rows: int
+    df: DataFrame, keys: list[str], value: str, chunk_rows: int, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Distinct values of each group as sorted arrays, de-duplicated before they travel."""
-    return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, spread, chunk_rows)
+    """Distinct values of each group, de-duplicated on the map side before they travel."""
+    return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, chunk_rows, max_group_rows)
 
 
 def exact_quantiles(

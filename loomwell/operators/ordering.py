@@ -23,13 +23,25 @@ def has_large_group(df: DataFrame, keys: list[str], max_group_rows: int = MAX_GR
     return not sizes.filter(F.col("_rows") > max_group_rows).isEmpty()
 
 
+def group_by_key(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
+    """One row per group: the keys packed in a struct ``_key``, and the aggregates."""
+    return df.groupBy(F.struct(*keys).alias("_key")).agg(*[c.alias(n) for n, c in stats.items()])
+
+
+def join_by_key(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Add the columns of ``right``, which carries ``_key``, to the rows of ``left``.
+
+    Structs that hold NULL compare as equal, as groups do, and an aggregate that
+    was grouped on the same struct is already partitioned for this join; a
+    null-safe condition on the plain columns would shuffle it again.
+    """
+    return left.withColumn("_key", F.struct(*keys)).join(right, "_key", how).drop("_key")
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join that treats NULL keys as equal, as groupBy does; keeps the left keys."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+    """Equi-join on plain key columns in which NULL equals NULL."""
+    rest = [c for c in right.columns if c not in keys]
+    return join_by_key(left, right.select(F.struct(*keys).alias("_key"), *rest), keys, how)
 
 
 def with_position(
@@ -100,6 +112,7 @@ def with_running_totals(
         placed.groupBy(*keys, "_block")
         .agg(*[F.sum(p).alias(p) for p in parts])
         .select(*keys, "_block", *[F.sum(p).over(earlier).alias(f"_carry{p}") for p in parts])
+        .filter(F.col("_block") > 0)
     )
     inside = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
 

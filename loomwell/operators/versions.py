@@ -98,6 +98,13 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 # ---- log operators --------------------------------------------------------
 
 
+def newest_rows(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest row of each key, unless that row is a deletion."""
+    newest = Window.partitionBy(*keys).orderBy(F.desc("_version"))
+    aged = log.withColumn("_age", F.row_number().over(newest))
+    return aged.filter((F.col("_age") == 1) & (F.col("_op") == "U")).drop("_age")
+
+
 def snapshot(
     log: DataFrame, keys: list[str], version: int | None = None, timestamp: str | None = None
 ) -> DataFrame:
@@ -106,12 +113,7 @@ def snapshot(
         log = log.filter(F.col("_version") <= version)
     if timestamp is not None:
         log = log.filter(F.col("_committed_at") <= F.lit(timestamp).cast("timestamp"))
-    newest = Window.partitionBy(*keys).orderBy(F.desc("_version"))
-    return (
-        log.withColumn("_age", F.row_number().over(newest))
-        .filter((F.col("_age") == 1) & (F.col("_op") == "U"))
-        .select(*payload(log))
-    )
+    return newest_rows(log, keys).select(*payload(log))
 
 
 def history(log: DataFrame) -> DataFrame:
@@ -139,24 +141,17 @@ def row_counts(log: DataFrame, keys: list[str]) -> DataFrame:
     return steps.select("_version", F.sum("_step").over(so_far).alias("row_count"))
 
 
-def superseded(log: DataFrame, keys: list[str], retain_version: int) -> DataFrame:
+def vacuum_dry_run(log: DataFrame, keys: list[str], retain_version: int) -> DataFrame:
     """Rows that no read at ``retain_version`` or later can return."""
     following = F.lead("_version").over(Window.partitionBy(*keys).orderBy("_version"))
     replaced = F.coalesce(F.col("_next") <= retain_version, F.lit(False))
     dead = (F.col("_op") == "D") & (F.col("_version") <= retain_version)
-    return log.withColumn("_next", following).withColumn("_gone", replaced | dead)
+    return log.withColumn("_next", following).filter(replaced | dead).drop("_next")
 
 
-def vacuum_dry_run(log: DataFrame, keys: list[str], retain_version: int) -> DataFrame:
-    return superseded(log, keys, retain_version).filter("_gone").drop("_next", "_gone")
-
-
-def compacted(log: DataFrame, keys: list[str], retain_version: int) -> DataFrame:
-    """The log without superseded rows; reads at the retained version and later do not change."""
-    return superseded(log, keys, retain_version).filter("NOT _gone").drop("_next", "_gone")
-
-
-def restore_change(log: DataFrame, keys: list[str], version: int, new_version: int, committed_at: Column | None = None) -> DataFrame:
+def restore_change(
+    log: DataFrame, keys: list[str], version: int, new_version: int, committed_at: Column | None = None
+) -> DataFrame:
     """The commit that brings the table back to ``version``: only keys that differ."""
     others = [c for c in payload(log) if c not in keys]
     row = F.struct("_version", "_op", *others)
@@ -295,9 +290,11 @@ class VersionedTable:
         return self._commit(restore_change(self.log(), self.keys, version, 0, committed_at))
 
     def compact_to(self, path: str, retain_version: int) -> VersionedTable:
-        """Rewrite the log below a new path without superseded rows."""
+        """The table as of ``retain_version`` as a new base, with the later commits copied as they are."""
         slim = VersionedTable(self.spark, path, self.keys)
-        kept = compacted(self.log(), self.keys, retain_version)
+        base = newest_rows(self.log(retain_version), self.keys).withColumn("_operation", F.lit("COMPACT"))
+        base.drop("_version").write.parquet(f"{path}/_version={retain_version}")
         for v in self.versions():
-            kept.filter(F.col("_version") == v).drop("_version").write.parquet(f"{path}/_version={v}")
+            if v > retain_version:
+                self.spark.read.parquet(f"{self.path}/_version={v}").write.parquet(f"{path}/_version={v}")
         return slim

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from loomwell.operators.ordering import (
     MAX_GROUP_ROWS,
     _position_by_range,
+    group_by_key,
     has_large_group,
+    join_by_key,
     join_on_keys,
     with_position,
     with_running_totals,
@@ -49,9 +51,8 @@ def with_ranks(
     placed = with_running_totals(
         counts, keys, [order], {"_through": F.col("_n"), "dense_rank": F.lit(1)}, max_group_rows
     )
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     rank = F.col("_through") - F.col("_n") + 1
-    ranks = join_on_keys(placed, sizes, keys).select(
+    ranks = with_group_stats(placed, keys, {"_size": F.sum("_n")}).select(
         *keys,
         by,
         rank.cast("int").alias("rank"),
@@ -74,8 +75,7 @@ def with_ntile(
     if not has_large_group(df, keys, max_group_rows):
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name: F.ntile(n).over(window) for name, n in tiles.items()})
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    placed = join_on_keys(_position_by_range(df, keys, order, "_pos"), sizes, keys)
+    placed = with_group_stats(_position_by_range(df, keys, order, "_pos"), keys, {"_size": F.count(F.lit(1))})
 
     def tile(n: int) -> Column:
         zero_based = F.col("_pos") - 1
@@ -130,8 +130,10 @@ def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -
     combines on the map side, and the join back is split by adaptive execution
     (or broadcast when the measured size allows).
     """
-    per_group = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return join_on_keys(df, per_group, keys)
+    if not keys:
+        totals = df.agg(F.struct(*[c.alias(n) for n, c in stats.items()]).alias("_t")).scalar()
+        return df.withColumns({n: totals[n] for n in stats})
+    return join_by_key(df, group_by_key(df, keys, stats), keys)
 
 
 def with_zscore(df: DataFrame, keys: list[str], value: str, name: str, digits: int = 3) -> DataFrame:

@@ -78,31 +78,28 @@ def joined_text(c: str) -> Column:
 @query(
     "agg_collect_list",
     """
-    WITH s AS (SELECT p_brand, CAST(ceil(count(*) / 50.0) AS bigint) AS chunks FROM part GROUP BY 1)
-    SELECT p_brand, CAST(p_partkey % chunks AS int) AS chunk, string_agg(CAST(p_size AS varchar), ',' ORDER BY p_size) AS sizes
-    FROM part JOIN s USING (p_brand) GROUP BY 1, 2
+    WITH r AS (SELECT p_brand, p_size, (row_number() OVER (PARTITION BY p_brand ORDER BY p_size) - 1) // 50 AS chunk FROM part)
+    SELECT p_brand, CAST(chunk AS int) AS chunk, string_agg(CAST(p_size AS varchar), ',' ORDER BY p_size) AS sizes
+    FROM r GROUP BY 1, 2
     """,
 )
 def agg_collect_list(spark: SparkSession, d: str) -> DataFrame:
-    parts = load(spark, d, "part")
-    chunks = collect_in_chunks(parts, ["p_brand"], "p_size", F.col("p_partkey"), 50)
+    chunks = collect_in_chunks(load(spark, d, "part"), ["p_brand"], "p_size", 50)
     return chunks.select("p_brand", "chunk", joined_text("values").alias("sizes"))
 
 
 @query(
     "agg_collect_set",
     """
-    WITH s AS (SELECT p_type, CAST(ceil(count(DISTINCT p_size) / 20.0) AS bigint) AS chunks FROM part GROUP BY 1)
-    SELECT p_type, CAST(p_size % chunks AS int) AS chunk,
-           string_agg(DISTINCT CAST(p_size AS varchar), ',' ORDER BY CAST(p_size AS varchar)) AS sizes
-    FROM part JOIN s USING (p_type) GROUP BY 1, 2
+    WITH u AS (SELECT DISTINCT p_type, p_size FROM part),
+         r AS (SELECT *, (row_number() OVER (PARTITION BY p_type ORDER BY p_size) - 1) // 20 AS chunk FROM u)
+    SELECT p_type, CAST(chunk AS int) AS chunk, string_agg(CAST(p_size AS varchar), ',' ORDER BY p_size) AS sizes
+    FROM r GROUP BY 1, 2
     """,
 )
 def agg_collect_set(spark: SparkSession, d: str) -> DataFrame:
-    parts = load(spark, d, "part")
-    chunks = collect_set_in_chunks(parts, ["p_type"], "p_size", F.col("p_size"), 20)
-    text = F.array_join(F.array_sort(F.transform("values", lambda x: x.cast("string"))), ",")
-    return chunks.select("p_type", "chunk", text.alias("sizes"))
+    chunks = collect_set_in_chunks(load(spark, d, "part"), ["p_type"], "p_size", 20)
+    return chunks.select("p_type", "chunk", joined_text("values").alias("sizes"))
 
 
 @query(

@@ -13,7 +13,7 @@ from loomwell.sources.files import write_csv, write_json
 from loomwell.sources.tables import EVENTS, load
 from loomwell.streaming import sinks
 from loomwell.streaming.event_time import sensor_readings, windowed, zoneless
-from loomwell.streaming.feeds import file_feed, table_feed, with_event_time
+from loomwell.streaming.feeds import file_feed, stream_session, table_feed, with_event_time
 from loomwell.streaming.state import merge_parts, running_user_totals
 
 HOUR = """
@@ -41,7 +41,7 @@ def measures() -> list[Column]:
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    return with_event_time(table_feed(spark, d, "events"), "ts")
+    return with_event_time(table_feed(stream_session(spark), d, "events"), "ts")
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -101,8 +101,7 @@ BY_TYPE = """
 """
 
 
-def totals_by_type(stream: DataFrame, out: str) -> DataFrame:
-    spark = stream.sparkSession
+def totals_by_type(spark: SparkSession, stream: DataFrame, out: str) -> DataFrame:
     totals = stream.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("event_count"), F.sum(money("value")).cast("double").alias("total_amount")
     )
@@ -118,7 +117,7 @@ def files_per_trigger(spark: SparkSession) -> int:
 def csv_feed_totals(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "csv-feed")
     write_csv(load(spark, d, "events").repartition(files_per_trigger(spark) + 1), f"{out}/feed")
-    return totals_by_type(file_feed(spark, "csv", f"{out}/feed", EVENTS, files_per_trigger(spark)), out)
+    return totals_by_type(spark, file_feed(stream_session(spark), "csv", f"{out}/feed", EVENTS, files_per_trigger(spark)), out)
 
 
 @query("stream_csv_agg", BY_TYPE)
@@ -130,7 +129,7 @@ def stream_csv_agg(spark: SparkSession, d: str) -> DataFrame:
 def stream_json_count(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "json-feed")
     write_json(load(spark, d, "events"), f"{out}/feed")
-    return totals_by_type(file_feed(spark, "json", f"{out}/feed", EVENTS), out)
+    return totals_by_type(spark, file_feed(stream_session(spark), "json", f"{out}/feed", EVENTS), out)
 
 
 @query(
@@ -180,7 +179,7 @@ def stream_foreach_batch_upsert(spark: SparkSession, d: str) -> DataFrame:
 )
 def stream_keyed_state(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "keyed-state")
-    pieces = running_user_totals(table_feed(spark, d, "events"), parts=4)
+    pieces = running_user_totals(table_feed(stream_session(spark), d, "events"), parts=4)
     sinks.to_batches(pieces, f"{out}/rows", f"{out}/state", "update")
     return merge_parts(sinks.last_update(spark, f"{out}/rows", ["user_id", "part"]))
 

@@ -10,6 +10,19 @@ from loomwell.sources.files import NTZ_FORMAT
 from loomwell.sources.tables import load
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session for stateful streams with one state partition per core.
+
+    A query's number of state partitions is fixed when it first starts, and each
+    one costs files on every micro-batch, so neither the batch setting nor
+    adaptive execution can be left to choose it.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    return session
+
+
 def rate_feed(spark: SparkSession, rows_per_second: int, partitions: int = 4) -> DataFrame:
     """Rows of (timestamp, value) at a steady rate; use a processing-time trigger with it."""
     return (
