@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,30 +55,39 @@ def exact_quantiles(
     return placed.agg(*[at(p).alias(n) for n, p in shares.items()])
 
 
+def _measures(c: str, *extra: Column) -> Column:
+    return F.struct(
+        F.lit(c).alias("column_name"),
+        F.count(c).alias("n"),
+        F.count_if(F.col(c).isNull()).alias("n_null"),
+        F.avg(c).alias("mean"),
+        F.stddev_samp(c).alias("stddev"),
+        F.min(c).cast("double").alias("min"),
+        F.max(c).cast("double").alias("max"),
+        *extra,
+    )
+
+
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per numeric column: count, nulls, mean, sample deviation, min, max.
 
     All columns are measured in a single pass and then unpivoted.
     """
-    def measures(c: str) -> Column:
-        return F.struct(
-            F.lit(c).alias("column_name"),
-            F.count(c).alias("n"),
-            F.count_if(F.col(c).isNull()).alias("n_null"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("stddev"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        )
+    return df.agg(F.array(*[_measures(c) for c in columns]).alias("m")).select(F.inline("m"))
+
 
-    return df.agg(F.array(*[measures(c) for c in columns]).alias("m")).select(F.inline("m"))
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def summarise(df: DataFrame, columns: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """``profile`` plus exact quartiles."""
-    quartiles = None
+    """``profile`` plus exact quartiles; one pass while a single task can hold the values."""
+    if not has_large_group(df, [], max_group_rows):
+        shares = F.array(*[F.lit(p) for p in QUARTILES.values()])
+        quartiles = {c: F.percentile(c, shares).alias("q") for c in columns}
+        measured = df.agg(F.array(*[_measures(c, quartiles[c]) for c in columns]).alias("m")).select(F.inline("m"))
+        return measured.withColumns({n: F.get("q", F.lit(i)) for i, n in enumerate(QUARTILES)}).drop("q")
+    per_column = []
     for c in columns:
-        row = exact_quantiles(df, c, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, max_group_rows)
-        row = row.select(F.lit(c).alias("column_name"), *[F.col(q).cast("double") for q in ("q25", "q50", "q75")])
-        quartiles = row if quartiles is None else quartiles.unionByName(row)
-    return profile(df, columns).join(quartiles, "column_name")
+        row = exact_quantiles(df, c, QUARTILES, max_group_rows)
+        per_column.append(row.select(F.lit(c).alias("column_name"), *[F.col(q).cast("double") for q in QUARTILES]))
+    return profile(df, columns).join(reduce(DataFrame.unionByName, per_column), "column_name")

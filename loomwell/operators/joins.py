@@ -8,7 +8,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Bytes as stored; decoded rows take several times as much on every executor.
+BROADCAST_LIMIT = 16 * 1024 * 1024
 SALTABLE = {"inner", "left", "left_semi", "left_anti"}
 
 
@@ -22,6 +23,17 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_LIMIT) -> DataF
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
+def filter_by_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, anti: bool = False) -> DataFrame:
+    """Semi join (or anti join): left rows with (without) a match on the right.
+
+    The right keys are made distinct first, with map-side combine and on the
+    partitioning the join needs anyway, so a key repeated in a large share of the
+    right rows does not land in one task.
+    """
+    matches = right.select(F.col(right_key).alias("_match")).distinct()
+    return left.join(matches, F.col(left_key) == F.col("_match"), "left_anti" if anti else "left_semi")
+
+
 def cross_with_values(df: DataFrame, name: str, values: list) -> DataFrame:
     """Cross product of a table with a short list written in the query.
 

@@ -156,15 +156,20 @@ def with_range_totals(
     totals: dict[str, Column],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Sums over rows whose ``at`` lies in [current - width, current], peers included.
+    """Sums over rows whose integer ``at`` lies in [current - width, current], peers included.
 
-    A large group is answered by two cumulative sums: the one up to the current
-    value minus the one before its lower bound. Each row adds two probes to the
-    ordered stream, so the work stays linear in the rows.
+    A sliding frame would be summed again for every row. Both routes instead
+    subtract two growing sums, up to the current value and up to just below its
+    lower bound, which is linear in the rows. In a large group each row adds two
+    probes to the ordered stream to read those sums.
     """
     if not has_large_group(df, keys, max_group_rows):
-        window = Window.partitionBy(*keys).orderBy(at).rangeBetween(-width, 0)
-        return df.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
+        ordered = Window.partitionBy(*keys).orderBy(at)
+        upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        below = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
+        return df.withColumns(
+            {n: F.sum(c).over(upto) - F.coalesce(F.sum(c).over(below), F.lit(0)) for n, c in totals.items()}
+        )
     # step 0 reads before the rows at the same value, 1 is the row, 2 reads after them
     points = F.array(
         F.struct((F.col(at) - width).alias("_at"), F.lit(0).alias("_step")),

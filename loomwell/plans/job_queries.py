@@ -27,15 +27,25 @@ from loomwell.sources.tables import load
 )
 def segment_revenue(spark: SparkSession, d: str) -> DataFrame:
     """Monthly taxed revenue and mean order value per customer segment."""
-    orders = load(spark, d, "orders").filter(F.col("o_totalprice") > 0)
-    price = money("o_totalprice")
+    # each exact price is worked out once, before the join, and reused by the sums
+    orders = (
+        load(spark, d, "orders")
+        .filter(F.col("o_totalprice") > 0)
+        .select(
+            "o_custkey",
+            F.year("o_orderdate").alias("yr"),
+            F.month("o_orderdate").alias("mon"),
+            money("o_totalprice").alias("price"),
+        )
+        .withColumn("taxed", F.col("price") + tax_on(F.col("price")))
+    )
     return (
         orders.join(load(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_mktsegment", F.year("o_orderdate").alias("yr"), F.month("o_orderdate").alias("mon"))
+        .groupBy("c_mktsegment", "yr", "mon")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum(price + tax_on(price)).cast("double").alias("total_revenue"),
-            (F.sum(price).cast("double") / F.count(F.lit(1))).alias("avg_order_value"),
+            F.sum("taxed").cast("double").alias("total_revenue"),
+            (F.sum("price").cast("double") / F.count(F.lit(1))).alias("avg_order_value"),
         )
     )
 

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money
-from loomwell.operators.joins import broadcast_if_small, cross_with_values, key_skew, salted_join, skew_join
+from loomwell.operators.joins import (
+    broadcast_if_small,
+    cross_with_values,
+    filter_by_match,
+    key_skew,
+    salted_join,
+    skew_join,
+)
 from loomwell.plans.registry import query
 from loomwell.sources.tables import load
 
@@ -62,7 +69,7 @@ def join_full(spark: SparkSession, d: str) -> DataFrame:
 def join_semi(spark: SparkSession, d: str) -> DataFrame:
     returned = load(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
     orders = load(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    return orders.join(returned, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    return filter_by_match(orders, returned, "o_orderkey", "l_orderkey")
 
 
 @query(
@@ -71,7 +78,7 @@ def join_semi(spark: SparkSession, d: str) -> DataFrame:
 )
 def join_anti(spark: SparkSession, d: str) -> DataFrame:
     orders = load(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    return orders.join(load(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    return filter_by_match(orders, load(spark, d, "lineitem"), "o_orderkey", "l_orderkey", anti=True)
 
 
 @query(

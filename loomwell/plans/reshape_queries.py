@@ -149,7 +149,7 @@ def rdd_flatmap(spark: SparkSession, d: str) -> DataFrame:
 
 @query("partition_sizes")
 def partition_sizes_query(spark: SparkSession, d: str) -> DataFrame:
-    return partition_sizes(load(spark, d, "lineitem").repartition("l_orderkey"))
+    return partition_sizes(load(spark, d, "lineitem").repartition(spark.sparkContext.defaultParallelism))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwell.operators.joins import (
     broadcast_if_small,
     estimated_bytes,
+    filter_by_match,
     hot_keys,
     key_skew,
     salted_join,
@@ -44,6 +45,7 @@ def test_filtering_kinds(pair, how, kept):
         left.join(right, "k", how),
         salted_join(left, right, ["k"], 4, how),
         skew_join(left, right, ["k"], 4, how, min_share=0.3),
+        filter_by_match(left, right, "k", "k", anti=how == "left_anti"),
     ):
         assert {r["l"] for r in joined.collect()} == kept
 

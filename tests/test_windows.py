@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwell.operators import windows as W
-from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, exact_quantiles
+from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, exact_quantiles, summarise
 from loomwell.operators.ordering import has_large_group
 
 SMALL = 7  # rows per task that forces the split route on the fixtures below
@@ -157,3 +157,7 @@ def test_chunks_hold_every_value_once(skewed, rows, limit):
     assert rows(sets.select("k", F.explode("values"))) == rows(skewed.select("k", "v").distinct())
     whole = collect_in_chunks(skewed.filter("k = 'hot'"), ["k"], "w", 1000, max_group_rows=limit)
     assert whole.count() == 1
+
+
+def test_summary_split_equals_plain(skewed, rows):
+    assert rows(summarise(skewed, ["v", "w"])) == rows(summarise(skewed, ["v", "w"], max_group_rows=SMALL))
