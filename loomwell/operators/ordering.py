@@ -1,14 +1,17 @@
-"""Exact row positions within groups of any size.
+"""Exact row positions and running totals within groups of any size.
 
 A window puts each whole group into one task. That is the cheapest plan while
-groups are small, so every function here first asks whether any group exceeds
-``max_group_rows`` (one map-side combined count over the key columns). Only then
-does it take the longer route: range-partition on (keys, order), number rows
-inside each range, and add the sizes of the earlier ranges.
+groups are small, so every function here first asks which groups exceed
+``max_group_rows`` (one map-side combined count over the key columns). Rows of
+all other groups go through the plain window. Only the rows of the large groups
+take the longer route: range-partition on (keys, order), number rows inside each
+range, and add the sizes of the earlier ranges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +20,6 @@ from loomwell.session import shared_root
 MAX_GROUP_ROWS = 5_000_000
 
 
-def has_large_group(df: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
-    """Whether some group (or, without keys, the table) has more rows than one task should hold."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return not sizes.filter(F.col("_rows") > max_group_rows).isEmpty()
-
-
 def group_by_key(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
     """One row per group: the keys packed in a struct ``_key``, and the aggregates."""
     return df.groupBy(F.struct(*keys).alias("_key")).agg(*[c.alias(n) for n, c in stats.items()])
@@ -44,6 +41,42 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return join_by_key(left, right.select(F.struct(*keys).alias("_key"), *rest), keys, how)
 
 
+def large_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame:
+    """Keys (as ``_key``) of the groups with more rows than one task should hold.
+
+    Without keys the table is the only group.
+    """
+    if not keys:
+        sizes = df.agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        sizes = group_by_key(df, keys, {"_rows": F.count(F.lit(1))})
+    return sizes.filter(F.col("_rows") > max_group_rows).drop("_rows")
+
+
+def has_large_group(df: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
+    return not large_groups(df, keys, max_group_rows).isEmpty()
+
+
+def by_group_size(
+    df: DataFrame,
+    keys: list[str],
+    max_group_rows: int,
+    plain: Callable[[DataFrame], DataFrame],
+    split: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Send rows of large groups through ``split`` and all others through ``plain``."""
+    large = large_groups(df, keys, max_group_rows)
+    if large.isEmpty():
+        return plain(df)
+    if not keys:
+        return split(df)
+    shared_root(df.sparkSession)
+    # fewer than rows / max_group_rows keys: a short list at any table size
+    large = F.broadcast(large.checkpoint())
+    rest = join_by_key(df, large, keys, "left_anti")
+    return plain(rest).unionByName(split(join_by_key(df, large, keys, "left_semi")))
+
+
 def with_position(
     df: DataFrame,
     keys: list[str],
@@ -52,12 +85,15 @@ def with_position(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the 1-based row number of each row in its group; ``order`` must be total."""
-    if not has_large_group(df, keys, max_group_rows):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-    return _position_by_range(df, keys, order, name)
+
+    def plain(d: DataFrame) -> DataFrame:
+        return d.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+    return by_group_size(df, keys, max_group_rows, plain, lambda d: position_by_range(d, keys, order, name))
 
 
-def _position_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+def position_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """``with_position`` for groups that no single task could sort."""
     spark = df.sparkSession
     shared_root(spark)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -97,15 +133,23 @@ def with_running_totals(
 
     Sum decimals or integers: their sum does not depend on how rows are blocked.
     """
-    if not has_large_group(df, keys, max_group_rows):
+
+    def plain(d: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
+        return d.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
+
+    return by_group_size(
+        df, keys, max_group_rows, plain, lambda d: running_totals_by_block(d, keys, order, totals, max_group_rows)
+    )
 
+
+def running_totals_by_block(
+    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column], block_rows: int
+) -> DataFrame:
+    """Running totals inside blocks of positions, plus the sum of the earlier blocks."""
     parts = {f"_part_{n}": c for n, c in totals.items()}
-    placed = (
-        df.withColumns(parts)
-        .transform(lambda d: _position_by_range(d, keys, order, "_pos"))
-        .withColumn("_block", F.floor((F.col("_pos") - 1) / max_group_rows))
+    placed = position_by_range(df.withColumns(parts), keys, order, "_pos").withColumn(
+        "_block", F.floor((F.col("_pos") - 1) / block_rows)
     )
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -118,8 +118,8 @@ def snapshot(
 
 def history(log: DataFrame) -> DataFrame:
     """One row per commit with its operation and its live and deleted row counts."""
-    return log.groupBy("_version").agg(
-        F.min("_operation").alias("operation"),
+    # a commit has one operation; as a grouping key it needs no sort, as a text minimum it would
+    return log.groupBy("_version", F.col("_operation").alias("operation")).agg(
         F.count_if(F.col("_op") == "U").alias("rows_written"),
         F.count_if(F.col("_op") == "D").alias("rows_deleted"),
         F.min("_committed_at").alias("committed_at"),

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from loomwell.operators.ordering import (
     MAX_GROUP_ROWS,
-    _position_by_range,
+    by_group_size,
     group_by_key,
-    has_large_group,
     join_by_key,
     join_on_keys,
+    position_by_range,
+    running_totals_by_block,
     with_position,
     with_running_totals,
 )
@@ -37,31 +38,30 @@ def with_ranks(
 ) -> DataFrame:
     """Add ``rank``, ``dense_rank`` and ``percent_rank`` on one column, ties sharing a rank."""
     order = F.col(by).desc() if descending else F.col(by).asc()
-    if not has_large_group(df, keys, max_group_rows):
+
+    def plain(d: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(order)
-        return df.withColumns(
-            {
-                "rank": F.rank().over(window),
-                "dense_rank": F.dense_rank().over(window),
-                "percent_rank": F.percent_rank().over(window),
-            }
+        ranks = {"rank": F.rank(), "dense_rank": F.dense_rank(), "percent_rank": F.percent_rank()}
+        return d.withColumns({n: c.over(window) for n, c in ranks.items()})
+
+    def split(d: DataFrame) -> DataFrame:
+        # Ties collapse in the count, so even a value shared by most rows is one row here.
+        counts = d.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+        placed = with_running_totals(
+            counts, keys, [order], {"_through": F.col("_n"), "dense_rank": F.lit(1)}, max_group_rows
         )
-    # Ties collapse in the count, so even a value shared by most rows is one row here.
-    counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_running_totals(
-        counts, keys, [order], {"_through": F.col("_n"), "dense_rank": F.lit(1)}, max_group_rows
-    )
-    rank = F.col("_through") - F.col("_n") + 1
-    ranks = with_group_stats(placed, keys, {"_size": F.sum("_n")}).select(
-        *keys,
-        by,
-        rank.cast("int").alias("rank"),
-        F.col("dense_rank").cast("int").alias("dense_rank"),
-        F.when(F.col("_size") > 1, (rank - 1).cast("double") / (F.col("_size") - 1))
-        .otherwise(0.0)
-        .alias("percent_rank"),
-    )
-    return join_on_keys(df, ranks, [*keys, by])
+        rank = F.col("_through") - F.col("_n") + 1
+        share = F.when(F.col("_size") > 1, (rank - 1).cast("double") / (F.col("_size") - 1)).otherwise(0.0)
+        ranks = with_group_stats(placed, keys, {"_size": F.sum("_n")}).select(
+            *keys,
+            by,
+            rank.cast("int").alias("rank"),
+            F.col("dense_rank").cast("int").alias("dense_rank"),
+            share.alias("percent_rank"),
+        )
+        return join_on_keys(d, ranks, [*keys, by])
+
+    return by_group_size(df, keys, max_group_rows, plain, split)
 
 
 def with_ntile(
@@ -72,10 +72,10 @@ def with_ntile(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add one tile number per entry of ``tiles``; the first tiles get the spare rows."""
-    if not has_large_group(df, keys, max_group_rows):
+
+    def plain(d: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: F.ntile(n).over(window) for name, n in tiles.items()})
-    placed = with_group_stats(_position_by_range(df, keys, order, "_pos"), keys, {"_size": F.count(F.lit(1))})
+        return d.withColumns({name: F.ntile(n).over(window) for name, n in tiles.items()})
 
     def tile(n: int) -> Column:
         zero_based = F.col("_pos") - 1
@@ -89,7 +89,12 @@ def with_ntile(
             + 1
         )
 
-    return placed.withColumns({name: tile(n) for name, n in tiles.items()}).drop("_pos", "_size")
+    def split(d: DataFrame) -> DataFrame:
+        placed = position_by_range(d, keys, order, "_pos")
+        sized = with_group_stats(placed, keys, {"_size": F.count(F.lit(1))})
+        return sized.withColumns({name: tile(n) for name, n in tiles.items()}).drop("_pos", "_size")
+
+    return by_group_size(df, keys, max_group_rows, plain, split)
 
 
 def with_neighbours(
@@ -108,19 +113,24 @@ def with_neighbours(
     ``max_group_rows`` positions, and rows near a block edge are copied into the
     neighbouring block so that every frame is complete.
     """
-    if not has_large_group(df, keys, max_group_rows):
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
-    zero_based = F.col("_pos") - 1
-    home = F.floor(zero_based / max_group_rows)
-    first_user = F.floor(F.greatest(zero_based - after, F.lit(0)) / max_group_rows)
-    last_user = F.floor((zero_based + before) / max_group_rows)
-    return (
-        _position_by_range(df, keys, order, "_pos")
-        .withColumn("_block", F.explode(F.sequence(first_user, last_user)))
-        .withColumns(build(Window.partitionBy(*keys, "_block").orderBy("_pos")))
-        .filter(F.col("_block") == home)
-        .drop("_pos", "_block")
-    )
+
+    def plain(d: DataFrame) -> DataFrame:
+        return d.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
+
+    def split(d: DataFrame) -> DataFrame:
+        zero_based = F.col("_pos") - 1
+        home = F.floor(zero_based / max_group_rows)
+        first_user = F.floor(F.greatest(zero_based - after, F.lit(0)) / max_group_rows)
+        last_user = F.floor((zero_based + before) / max_group_rows)
+        return (
+            position_by_range(d, keys, order, "_pos")
+            .withColumn("_block", F.explode(F.sequence(first_user, last_user)))
+            .withColumns(build(Window.partitionBy(*keys, "_block").orderBy("_pos")))
+            .filter(F.col("_block") == home)
+            .drop("_pos", "_block")
+        )
+
+    return by_group_size(df, keys, max_group_rows, plain, split)
 
 
 def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
@@ -163,49 +173,57 @@ def with_range_totals(
     lower bound, which is linear in the rows. In a large group each row adds two
     probes to the ordered stream to read those sums.
     """
-    if not has_large_group(df, keys, max_group_rows):
+
+    def plain(d: DataFrame) -> DataFrame:
         ordered = Window.partitionBy(*keys).orderBy(at)
         upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         below = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
-        return df.withColumns(
+        return d.withColumns(
             {n: F.sum(c).over(upto) - F.coalesce(F.sum(c).over(below), F.lit(0)) for n, c in totals.items()}
         )
-    # step 0 reads before the rows at the same value, 1 is the row, 2 reads after them
-    points = F.array(
-        F.struct((F.col(at) - width).alias("_at"), F.lit(0).alias("_step")),
-        F.struct(F.col(at).alias("_at"), F.lit(1).alias("_step")),
-        F.struct(F.col(at).alias("_at"), F.lit(2).alias("_step")),
-    )
-    stream = df.select(
-        *keys, row_id, *[c.alias(f"_v_{n}") for n, c in totals.items()], F.inline(points)
-    )
-    added = {f"_c_{n}": F.when(F.col("_step") == 1, F.col(f"_v_{n}")) for n in totals}
-    summed = with_running_totals(
-        stream, keys, [F.col("_at"), F.col("_step"), F.col(row_id)], added, max_group_rows
-    )
-    edges = summed.groupBy(row_id).agg(
-        *[F.max(F.when(F.col("_step") == 0, F.col(f"_c_{n}"))).alias(f"_lo_{n}") for n in totals],
-        *[F.max(F.when(F.col("_step") == 2, F.col(f"_c_{n}"))).alias(f"_hi_{n}") for n in totals],
-    )
-    return (
-        df.join(edges, row_id)
-        .withColumns({n: F.col(f"_hi_{n}") - F.coalesce(f"_lo_{n}", F.lit(0)) for n in totals})
-        .drop(*[f"_lo_{n}" for n in totals], *[f"_hi_{n}" for n in totals])
-    )
+
+    def split(d: DataFrame) -> DataFrame:
+        # step 0 reads before the rows at the same value, 1 is the row, 2 reads after them
+        points = F.array(
+            F.struct((F.col(at) - width).alias("_at"), F.lit(0).alias("_step")),
+            F.struct(F.col(at).alias("_at"), F.lit(1).alias("_step")),
+            F.struct(F.col(at).alias("_at"), F.lit(2).alias("_step")),
+        )
+        values = [c.alias(f"_v_{n}") for n, c in totals.items()]
+        stream = d.select(*keys, row_id, *values, F.inline(points))
+        added = {f"_c_{n}": F.when(F.col("_step") == 1, F.col(f"_v_{n}")) for n in totals}
+        in_order = [F.col("_at"), F.col("_step"), F.col(row_id)]
+        summed = running_totals_by_block(stream, keys, in_order, added, max_group_rows)
+        edges = summed.groupBy(row_id).agg(
+            *[F.max(F.when(F.col("_step") == 0, F.col(f"_c_{n}"))).alias(f"_lo_{n}") for n in totals],
+            *[F.max(F.when(F.col("_step") == 2, F.col(f"_c_{n}"))).alias(f"_hi_{n}") for n in totals],
+        )
+        return (
+            d.join(edges, row_id)
+            .withColumns({n: F.col(f"_hi_{n}") - F.coalesce(f"_lo_{n}", F.lit(0)) for n in totals})
+            .drop(*[f"_lo_{n}" for n in totals], *[f"_hi_{n}" for n in totals])
+        )
+
+    return by_group_size(df, keys, max_group_rows, plain, split)
 
 
 def with_peer_totals(
     df: DataFrame, keys: list[str], by: str, totals: dict[str, Column], max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Cumulative sums under the default ordered frame: rows equal in ``by`` share one value."""
-    if not has_large_group(df, keys, max_group_rows):
+
+    def plain(d: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(by)
-        return df.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
-    per_value = df.groupBy(*keys, by).agg(*[F.sum(c).alias(f"_v_{n}") for n, c in totals.items()])
-    summed = with_running_totals(
-        per_value, keys, [F.col(by)], {n: F.col(f"_v_{n}") for n in totals}, max_group_rows
-    )
-    return join_on_keys(df, summed.select(*keys, by, *totals), [*keys, by])
+        return d.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
+
+    def split(d: DataFrame) -> DataFrame:
+        sums = [F.sum(c).alias(f"_v_{n}") for n, c in totals.items()]
+        per_value = d.groupBy(*keys, by).agg(*sums)
+        added = {n: F.col(f"_v_{n}") for n in totals}
+        summed = with_running_totals(per_value, keys, [F.col(by)], added, max_group_rows)
+        return join_on_keys(d, summed.select(*keys, by, *totals), [*keys, by])
+
+    return by_group_size(df, keys, max_group_rows, plain, split)
 
 
 __all__ = [

@@ -11,7 +11,7 @@ from loomwell.operators.reshape import deduplicate
 from loomwell.operators.windows import with_zscore
 from loomwell.plans.jobs import clean_orders, monthly_summary, word_count
 
-MESSY = [("  LAPTOP PRO ", "Laptop Pro"), ("coffee_maker_x", "Coffee Maker X"), ("Head-SET", "Head Set"), (None, None)]
+MESSY = [("  GARDEN hose ", "Garden Hose"), ("steel_water_jug", "Steel Water Jug"), ("Desk-LAMP", "Desk Lamp"), (None, None)]
 
 
 @pytest.mark.parametrize(
@@ -84,7 +84,7 @@ def test_dirty_orders_are_cleaned(spark):
 
 
 def test_word_count(spark, rows):
-    df = spark.createDataFrame([("The cat  the\tDOG",), (" the",), ("",)], "t string")
+    df = spark.createDataFrame([("The cat  the\tDOG",), (" the",), ("",)], ["t"])
     assert rows(word_count(df, "t")) == [("cat", 1), ("dog", 1), ("the", 3)]
 
 

@@ -9,7 +9,12 @@ from loomwell.operators import windows as W
 from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, exact_quantiles, summarise
 from loomwell.operators.ordering import has_large_group
 
-SMALL = 7  # rows per task that forces the split route on the fixtures below
+SMALL = 7  # rows per task that sends every group of the skewed fixture through the split route
+MIXED = 60  # sends only its hot group there
+
+
+CASES = pytest.mark.parametrize("keys,limit", [(["k"], SMALL), (["k"], MIXED), ([], SMALL)])
+KEYED = pytest.mark.parametrize("limit", [SMALL, MIXED])
 
 
 @pytest.fixture(scope="module")
@@ -67,40 +72,40 @@ def test_large_group_check(skewed):
     assert has_large_group(skewed, [], 299)
 
 
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_position_split_equals_plain(skewed, rows, keys):
+@CASES
+def test_position_split_equals_plain(skewed, rows, keys, limit):
     order = [F.desc("v"), F.asc("id")]
     plain = W.with_position(skewed, keys, order)
-    split = W.with_position(skewed, keys, order, max_group_rows=SMALL)
+    split = W.with_position(skewed, keys, order, max_group_rows=limit)
     assert rows(plain, "id", "position") == rows(split, "id", "position")
 
 
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_running_totals_split_equals_plain(skewed, rows, keys):
+@CASES
+def test_running_totals_split_equals_plain(skewed, rows, keys, limit):
     order = [F.asc("v"), F.asc("id")]
     totals = {"s": F.when(F.col("w") > 300, F.col("w")), "n": F.lit(1)}
     plain = W.with_running_totals(skewed, keys, order, totals)
-    split = W.with_running_totals(skewed, keys, order, totals, max_group_rows=SMALL)
+    split = W.with_running_totals(skewed, keys, order, totals, max_group_rows=limit)
     assert rows(plain, "id", "s", "n") == rows(split, "id", "s", "n")
 
 
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_ranks_split_equals_plain(skewed, rows, keys):
+@CASES
+def test_ranks_split_equals_plain(skewed, rows, keys, limit):
     columns = ["id", "rank", "dense_rank", "percent_rank"]
     plain = W.with_ranks(skewed, keys, "v")
-    assert rows(plain, *columns) == rows(W.with_ranks(skewed, keys, "v", max_group_rows=SMALL), *columns)
+    assert rows(plain, *columns) == rows(W.with_ranks(skewed, keys, "v", max_group_rows=limit), *columns)
 
 
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_ntile_split_equals_plain(skewed, rows, keys):
+@CASES
+def test_ntile_split_equals_plain(skewed, rows, keys, limit):
     order, tiles = [F.asc("v"), F.desc("id")], {"t4": 4, "t10": 10, "t250": 250}
     plain = W.with_ntile(skewed, keys, order, tiles)
-    split = W.with_ntile(skewed, keys, order, tiles, max_group_rows=SMALL)
+    split = W.with_ntile(skewed, keys, order, tiles, max_group_rows=limit)
     assert rows(plain, "id", *tiles) == rows(split, "id", *tiles)
 
 
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_neighbours_split_equals_plain(skewed, rows, keys):
+@CASES
+def test_neighbours_split_equals_plain(skewed, rows, keys, limit):
     def build(w):
         return {
             "prev2": F.lag("w", 2).over(w),
@@ -111,21 +116,23 @@ def test_neighbours_split_equals_plain(skewed, rows, keys):
 
     order = [F.asc("v"), F.asc("id")]
     plain = W.with_neighbours(skewed, keys, order, build, 2, 1)
-    split = W.with_neighbours(skewed, keys, order, build, 2, 1, max_group_rows=SMALL)
+    split = W.with_neighbours(skewed, keys, order, build, 2, 1, max_group_rows=limit)
     columns = ["id", "prev2", "next1", "low", "n"]
     assert rows(plain, *columns) == rows(split, *columns)
 
 
-def test_range_totals_split_equals_plain(skewed, rows):
+@KEYED
+def test_range_totals_split_equals_plain(skewed, rows, limit):
     totals = {"s": F.col("w"), "n": F.lit(1)}
     plain = W.with_range_totals(skewed, ["k"], "v", 3, "id", totals)
-    split = W.with_range_totals(skewed, ["k"], "v", 3, "id", totals, max_group_rows=SMALL)
+    split = W.with_range_totals(skewed, ["k"], "v", 3, "id", totals, max_group_rows=limit)
     assert rows(plain, "id", "s", "n") == rows(split, "id", "s", "n")
 
 
-def test_peer_totals_split_equals_plain(skewed, rows):
+@KEYED
+def test_peer_totals_split_equals_plain(skewed, rows, limit):
     plain = W.with_peer_totals(skewed, ["k"], "v", {"s": F.col("w")})
-    split = W.with_peer_totals(skewed, ["k"], "v", {"s": F.col("w")}, max_group_rows=SMALL)
+    split = W.with_peer_totals(skewed, ["k"], "v", {"s": F.col("w")}, max_group_rows=limit)
     assert rows(plain, "id", "s") == rows(split, "id", "s")
 
 
@@ -148,7 +155,7 @@ def test_exact_quantiles_split_equals_plain(skewed):
     assert plain == exact_quantiles(skewed, "w", shares, max_group_rows=SMALL).first()
 
 
-@pytest.mark.parametrize("limit", [SMALL, 1000])
+@KEYED
 def test_chunks_hold_every_value_once(skewed, rows, limit):
     chunks = collect_in_chunks(skewed, ["k"], "w", 10, max_group_rows=limit)
     assert max(len(r["values"]) for r in chunks.collect()) == 10
