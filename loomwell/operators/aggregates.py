@@ -7,18 +7,32 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwell.operators.ordering import MAX_GROUP_ROWS, has_large_group, with_position
+from loomwell.operators.ordering import (
+    MAX_GROUP_ROWS,
+    has_large_group,
+    with_position,
+    with_running_totals,
+)
 
 
 def collect_in_chunks(
-    df: DataFrame, keys: list[str], value: str, chunk_rows: int, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    row_key: str,
+    chunk_rows: int,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """All values of each group in sorted order, as numbered arrays of ``chunk_rows`` values.
 
     A group's full list can exceed what one row may hold. The chunks of a group,
     in order, are that list; a group within ``chunk_rows`` has a single one.
+    ``row_key`` is unique and orders equal values, so that many copies of one
+    value still spread over tasks.
     """
-    placed = with_position(df.select(*keys, value), keys, [F.col(value)], "_pos", max_group_rows)
+    columns = dict.fromkeys([*keys, value, row_key])
+    in_order = [F.col(value), F.col(row_key)]
+    placed = with_position(df.select(*columns), keys, in_order, "_pos", max_group_rows)
     chunk = F.floor((F.col("_pos") - 1) / chunk_rows).cast("int").alias("chunk")
     return placed.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(value)).alias("values"))
 
@@ -27,7 +41,7 @@ def collect_set_in_chunks(
     df: DataFrame, keys: list[str], value: str, chunk_rows: int, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Distinct values of each group, de-duplicated on the map side before they travel."""
-    return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, chunk_rows, max_group_rows)
+    return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, value, chunk_rows, max_group_rows)
 
 
 def exact_quantiles(
@@ -36,23 +50,26 @@ def exact_quantiles(
     """One row of interpolated quantiles.
 
     Spark's exact percentile keeps every distinct value in the memory of one
-    task. Beyond ``max_group_rows`` rows the values are range-sorted instead and
-    the few rows at the wanted positions are read off.
+    task. Beyond ``max_group_rows`` rows, equal values are counted instead, the
+    counts are added up in value order, and each wanted position is looked up.
     """
     present = df.select(column).filter(F.col(column).isNotNull())
     if not has_large_group(present, [], max_group_rows):
         return present.agg(*[F.percentile(column, F.lit(p)).alias(n) for n, p in shares.items()])
-    total = present.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    placed = with_position(present, [], [F.col(column)], "_pos", max_group_rows).withColumn("_last", total - 1)
+    counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    last = present.agg((F.count(F.lit(1)) - 1).alias("_last")).scalar()
+    placed = with_running_totals(counts, [], [F.col(column)], {"_through": F.col("_n")}, max_group_rows)
 
     def at(p: float) -> Column:
         exact = F.col("_last") * p
-        low = F.max(F.when(F.col("_pos") - 1 == F.floor(exact), F.col(column)))
-        high = F.max(F.when(F.col("_pos") - 1 == F.ceil(exact), F.col(column)))
-        part = F.max(exact - F.floor(exact))
-        return low + (high - low) * part
 
-    return placed.agg(*[at(p).alias(n) for n, p in shares.items()])
+        def value_at(position: Column) -> Column:
+            return F.min(F.when(F.col("_through") > position, F.col(column)))
+
+        low, high = value_at(F.floor(exact)), value_at(F.ceil(exact))
+        return low + (high - low) * F.max(exact - F.floor(exact))
+
+    return placed.withColumn("_last", last).agg(*[at(p).alias(n) for n, p in shares.items()])
 
 
 def _measures(c: str, *extra: Column) -> Column:

@@ -21,16 +21,30 @@ from loomwell.operators.ordering import (
 
 
 def top_n_per_group(
-    df: DataFrame, keys: list[str], order: list[Column], n: int, ties: bool = False, name: str = "rnk"
+    df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "row_num"
 ) -> DataFrame:
-    """First ``n`` rows of each group; with ``ties`` all rows that share the n-th rank.
+    """First ``n`` rows of each group under a total order.
 
     Spark cuts each map task's groups to n rows before the shuffle, so no task
     receives a whole hot group.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    rank = F.rank() if ties else F.row_number()
-    return df.withColumn(name, rank.over(window)).filter(F.col(name) <= n)
+    return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+
+
+def top_n_with_ties(
+    df: DataFrame, keys: list[str], by: str, n: int, descending: bool = True, name: str = "rnk"
+) -> DataFrame:
+    """Rows whose rank on ``by`` is at most ``n``, with every row that ties.
+
+    The n best values of each group are found first, cut in the map tasks; they
+    fix the rank of every row that qualifies. Joining them back finds the ties
+    where they lie, so copies of one row are never gathered in one task.
+    """
+    order = F.col(by).desc() if descending else F.col(by).asc()
+    best = top_n_per_group(df.select(*keys, by), keys, [order], n, "_n")
+    ranked = best.select(*keys, by, F.rank().over(Window.partitionBy(*keys).orderBy(order)).alias(name)).distinct()
+    return join_on_keys(df, ranked, [*keys, by])
 
 
 def with_ranks(
@@ -228,6 +242,7 @@ def with_peer_totals(
 
 __all__ = [
     "top_n_per_group",
+    "top_n_with_ties",
     "with_group_stats",
     "with_neighbours",
     "with_ntile",

@@ -84,7 +84,7 @@ def joined_text(c: str) -> Column:
     """,
 )
 def agg_collect_list(spark: SparkSession, d: str) -> DataFrame:
-    chunks = collect_in_chunks(load(spark, d, "part"), ["p_brand"], "p_size", 50)
+    chunks = collect_in_chunks(load(spark, d, "part"), ["p_brand"], "p_size", "p_partkey", 50)
     return chunks.select("p_brand", "chunk", joined_text("values").alias("sizes"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money, tax_on
 from loomwell.functions.text import word_rows
-from loomwell.operators.windows import top_n_per_group
+from loomwell.operators.windows import top_n_with_ties
 
 
 def word_count(df: DataFrame, text: str) -> DataFrame:
@@ -72,13 +72,8 @@ def best_orders_per_group(
 ) -> DataFrame:
     """Large orders, joined to customers, the first n ranks per group, then group statistics."""
     kept = orders.filter(F.col("o_totalprice") >= minimum)
-    ranked = top_n_per_group(
-        kept.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(group, "o_orderkey", "o_totalprice"),
-        [group],
-        [F.desc("o_totalprice")],
-        n,
-        ties=True,
-    )
+    joined = kept.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(group, "o_orderkey", "o_totalprice")
+    ranked = top_n_with_ties(joined, [group], "o_totalprice", n)
     return ranked.groupBy(group).agg(
         F.count(F.lit(1)).alias("top_orders"),
         F.sum(money("o_totalprice")).cast("double").alias("top_total"),

@@ -61,9 +61,12 @@ def test_default_frame_shares_the_value_among_peers(ties, rows):
     assert [r[1] for r in rows(summed, "id", "s")] == [18, 13, 13, 5, 2]
 
 
-def test_top_n_with_and_without_ties(ties):
+def test_top_n_with_and_without_ties(ties, skewed, rows):
     assert W.top_n_per_group(ties, ["k"], [F.desc("v"), F.asc("id")], 2).count() == 2
-    assert W.top_n_per_group(ties, ["k"], [F.desc("v")], 2, ties=True).count() == 3
+    assert rows(W.top_n_with_ties(ties, ["k"], "v", 2), "id", "rnk") == [(0, 1), (1, 2), (2, 2)]
+    for n in (1, 4, 40):
+        by_rank = W.with_ranks(skewed, ["k"], "v").filter(F.col("rank") <= n)
+        assert rows(W.top_n_with_ties(skewed, ["k"], "v", n), "id", "rnk") == rows(by_rank, "id", "rank")
 
 
 def test_large_group_check(skewed):
@@ -157,12 +160,12 @@ def test_exact_quantiles_split_equals_plain(skewed):
 
 @KEYED
 def test_chunks_hold_every_value_once(skewed, rows, limit):
-    chunks = collect_in_chunks(skewed, ["k"], "w", 10, max_group_rows=limit)
+    chunks = collect_in_chunks(skewed, ["k"], "w", "id", 10, max_group_rows=limit)
     assert max(len(r["values"]) for r in chunks.collect()) == 10
     assert rows(chunks.select("k", F.explode("values"))) == rows(skewed, "k", "w")
     sets = collect_set_in_chunks(skewed, ["k"], "v", 5, max_group_rows=limit)
     assert rows(sets.select("k", F.explode("values"))) == rows(skewed.select("k", "v").distinct())
-    whole = collect_in_chunks(skewed.filter("k = 'hot'"), ["k"], "w", 1000, max_group_rows=limit)
+    whole = collect_in_chunks(skewed.filter("k = 'hot'"), ["k"], "w", "id", 1000, max_group_rows=limit)
     assert whole.count() == 1
 
 
