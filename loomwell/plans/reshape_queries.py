@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.functions.text import word_rows
-from loomwell.operators.layout import partition_sizes, schema_frame
+from loomwell.operators.layout import partition_sizes, schema_frame, spread_small_scan
 from loomwell.operators.reshape import append_all, replicate
 from loomwell.plans.jobs import word_count
 from loomwell.plans.registry import query
@@ -125,8 +125,9 @@ def word_count_query(spark: SparkSession, d: str) -> DataFrame:
 @query("sort_large", "SELECT l_orderkey, l_linenumber, sha256(l_orderkey || ':' || l_partkey || ':' || l_linenumber) AS payload FROM lineitem")
 def sort_large(spark: SparkSession, d: str) -> DataFrame:
     text = F.concat_ws(":", "l_orderkey", "l_partkey", "l_linenumber")
-    lines = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.sha2(text, 256).alias("payload"))
-    return lines.orderBy("payload", "l_orderkey", "l_linenumber")
+    lines = spread_small_scan(load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"))
+    hashed = lines.select("l_orderkey", "l_linenumber", F.sha2(text, 256).alias("payload"))
+    return hashed.orderBy("payload", "l_orderkey", "l_linenumber")
 
 
 @query(

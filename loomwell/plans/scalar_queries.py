@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwell.functions.numbers import money
 from loomwell.functions.text import normalise_name
 from loomwell.plans.registry import query
+from loomwell.sources.generate import LABELS, pick
 from loomwell.sources.tables import load
 
 PROPER = "array_to_string(list_transform(string_split({0}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
@@ -101,10 +102,7 @@ def str_normalise_name(spark: SparkSession, d: str) -> DataFrame:
     """,
 )
 def arr_lookup(spark: SparkSession, d: str) -> DataFrame:
-    labels = F.array(*[F.lit(x) for x in ("alpha", "beta", "gamma", "delta", "epsilon")])
-    return load(spark, d, "orders").select(
-        "o_orderkey", F.element_at(labels, (F.col("o_orderkey") % 5).cast("int") + 1).alias("label")
-    )
+    return load(spark, d, "orders").select("o_orderkey", pick(LABELS, F.col("o_orderkey")).alias("label"))
 
 
 @query(

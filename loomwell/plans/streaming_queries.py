@@ -10,6 +10,7 @@ from loomwell.operators.versions import VersionedTable
 from loomwell.plans.registry import query
 from loomwell.session import scratch_path
 from loomwell.sources.files import write_csv, write_json
+from loomwell.sources.generate import LABELS, pick
 from loomwell.sources.tables import EVENTS, load
 from loomwell.streaming import sinks
 from loomwell.streaming.event_time import sensor_readings, windowed, zoneless
@@ -141,10 +142,9 @@ def stream_json_count(spark: SparkSession, d: str) -> DataFrame:
 )
 def stream_stateless(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "stateless")
-    labels = F.array(*[F.lit(x) for x in ("alpha", "beta", "gamma", "delta", "epsilon")])
     mapped = table_feed(spark, d, "events").select(
         "event_id",
-        F.element_at(labels, (F.col("event_id") % 5).cast("int") + 1).alias("category"),
+        pick(LABELS, F.col("event_id")).alias("category"),
         F.upper("event_type").alias("event_type"),
         (F.col("value") * 2).alias("doubled"),
     )

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The category and product names the seeded order data draws from.
+# Category names of seeded orders, labels of numbered rows, sensor letters.
 CATEGORIES = ["Electronics", "Furniture", "Stationery", "Clothing", "Books", "Sports"]
+LABELS = ["alpha", "beta", "gamma", "delta", "epsilon"]
+SENSORS = ["A", "B", "C", "D"]
+
+
+def pick(values: list[str], number: Column) -> Column:
+    """The list's entry for a number, counted round and round."""
+    entries = F.array(*[F.lit(v) for v in values])
+    return F.element_at(entries, F.pmod(number, F.lit(len(values))).cast("int") + 1)
 
 
 def generate_orders(customers: DataFrame, key: str, per_customer: int) -> DataFrame:
@@ -22,9 +30,7 @@ def generate_orders(customers: DataFrame, key: str, per_customer: int) -> DataFr
         .select(
             F.concat(F.lit("ORD-"), order_no.cast("string")).alias("order_id"),
             F.col(key).alias("customer_id"),
-            F.element_at(
-                F.array(*[F.lit(c) for c in CATEGORIES]), (mixed % len(CATEGORIES)).cast("int") + 1
-            ).alias("category"),
+            pick(CATEGORIES, mixed).alias("category"),
             (mixed % 10 + 1).cast("int").alias("quantity"),
             ((F.pmod(mixed * 31, F.lit(50000)) + 500).cast("decimal(18,2)") / 100).cast("double").alias("amount"),
             F.date_add(F.lit("2023-01-01").cast("date"), (mixed % 730).cast("int")).alias("order_date"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwell.sources.generate import SENSORS, pick
+
 
 def windowed(
     df: DataFrame,
@@ -41,12 +43,9 @@ def sensor_readings(df: DataFrame, value: str, ts: str) -> DataFrame:
     The temperature is arithmetic on the number rather than a random draw, so a
     batch that is run again produces the same reading.
     """
-    letters = F.array(*[F.lit(x) for x in "ABCD"])
     return df.select(
         F.col(ts).alias("event_time"),
         F.col(value).alias("value"),
-        F.concat(F.lit("sensor_"), F.element_at(letters, (F.pmod(F.col(value), F.lit(4)) + 1).cast("int"))).alias(
-            "sensor_id"
-        ),
+        F.concat(F.lit("sensor_"), pick(SENSORS, F.col(value))).alias("sensor_id"),
         (F.pmod(F.col(value) * 7919, F.lit(2000)) / 100 + 20).alias("temperature"),
     )
