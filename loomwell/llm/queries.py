@@ -5,8 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomwell.llm import quality, simhash
+from loomwell.llm import (
+    lang_id,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    url_filter,
+)
+from loomwell.llm.packing import tokenizer_files
 from loomwell.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +80,47 @@ FROM f
 @query("op8_quality_rules", QUALITY_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(load(spark, sf_dir, "documents"))
+
+
+@query("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(load(spark, sf_dir, "pages"))
+
+
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.reported(load(spark, sf_dir, "documents"))
+
+
+@query("op4_line_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without later copies of line runs, and how many lines that took."""
+    done = line_dedup.without_repeats(load(spark, sf_dir, "documents"))
+    return done.select("_row.doc_id", "_cut.lines", "_cut.deleted", F.col("_text").alias("text"))
+
+
+@query("op5_source_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed order of all documents; every source has the same target weight."""
+    return mixing.mixed(load(spark, sf_dir, "documents"))
+
+
+@query("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(load(spark, sf_dir, "documents"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), *tokenizer_files())
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.predicted(load(spark, sf_dir, "documents"))
+
+
+@query("op10_near_duplicates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of documents with 80 % of their four-word shingles in common."""
+    return minhash.near_duplicates(load(spark, sf_dir, "documents"), size=4, percent=80)
