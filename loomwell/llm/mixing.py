@@ -123,7 +123,7 @@ def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, doc
     Rows are told apart by id, source and text; rows equal in all three get one place.
     """
     key = F.struct(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.xxhash64(text).alias("h"))
-    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))
-    places = mixed(rows.select(F.col("_key"), F.col("_key.source").alias("source")), weights, ("_key",))
-    one = places.groupBy("_key").agg(F.min(F.struct("slot", "in_block")).alias("_place"))
-    return rows.join(one, "_key").repartitionByRange("_place").sortWithinPartitions("_place").select("_row.*")
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_who"))
+    places = mixed(rows.select(F.col("_who"), F.col("_who.source").alias("source")), weights, ("_who",))
+    one = places.groupBy("_who").agg(F.min(F.struct("slot", "in_block")).alias("_place"))
+    return rows.join(one, "_who").repartitionByRange("_place").sortWithinPartitions("_place").select("_row.*")
