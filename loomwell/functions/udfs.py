@@ -6,6 +6,7 @@ large data because it stays inside generated code.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 
@@ -22,14 +23,17 @@ from loomwell.operators.windows import with_group_stats
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def capitalised(words: list[str]) -> str:
+    """Words that blanks, ``_`` or ``-`` separated, each with a capital first letter only."""
+    return " ".join(w[:1].upper() + w[1:].lower() for w in words)
+
+
 def tidy_name(name: str | None) -> str | None:
-    if name is None:
-        return None
-    return name.strip(" ").replace("_", " ").replace("-", " ").title()
+    return None if name is None else capitalised(re.split("[ _-]", name.strip(" ")))
 
 
 def tidy_series(names: pd.Series) -> pd.Series:
-    return names.str.strip(" ").str.replace("[_-]", " ", regex=True).str.title()
+    return names.str.strip(" ").str.split("[ _-]", regex=True).map(capitalised, na_action="ignore")
 
 
 # Rows travel in Arrow batches even for the row-wise form.
@@ -51,9 +55,9 @@ def price_tier_pandas(prices: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def normalise_name_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Iterator form: set-up before the loop runs once per task, not once per batch."""
-    table = str.maketrans("_-", "  ")
+    separator = re.compile("[ _-]")
     for names in batches:
-        yield names.str.strip(" ").str.translate(table).str.title()
+        yield names.map(lambda n: capitalised(separator.split(n.strip(" "))), na_action="ignore")
 
 
 def line_totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwell.operators.ordering import (
-    MAX_GROUP_ROWS,
-    has_large_group,
+    ROWS_PER_TASK,
     with_position,
     with_running_totals,
 )
@@ -21,7 +20,7 @@ def collect_in_chunks(
     value: str,
     row_key: str,
     chunk_rows: int,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """All values of each group in sorted order, as numbered arrays of ``chunk_rows`` values.
 
@@ -32,33 +31,31 @@ def collect_in_chunks(
     """
     columns = dict.fromkeys([*keys, value, row_key])
     in_order = [F.col(value), F.col(row_key)]
-    placed = with_position(df.select(*columns), keys, in_order, "_pos", max_group_rows)
+    placed = with_position(df.select(*columns), keys, in_order, "_pos", rows_per_task)
     chunk = F.floor((F.col("_pos") - 1) / chunk_rows).cast("int").alias("chunk")
     return placed.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(value)).alias("values"))
 
 
 def collect_set_in_chunks(
-    df: DataFrame, keys: list[str], value: str, chunk_rows: int, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], value: str, chunk_rows: int, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Distinct values of each group, de-duplicated on the map side before they travel."""
-    return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, value, chunk_rows, max_group_rows)
+    return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, value, chunk_rows, rows_per_task)
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, shares: dict[str, float], max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, column: str, shares: dict[str, float], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """One row of interpolated quantiles.
 
     Spark's exact percentile keeps every distinct value in the memory of one
-    task. Beyond ``max_group_rows`` rows, equal values are counted instead, the
-    counts are added up in value order, and each wanted position is looked up.
+    task. Here equal values are counted, the counts are added up in value order,
+    and each wanted position is looked up.
     """
     present = df.select(column).filter(F.col(column).isNotNull())
-    if not has_large_group(present, [], max_group_rows):
-        return present.agg(*[F.percentile(column, F.lit(p)).alias(n) for n, p in shares.items()])
     counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     last = present.agg((F.count(F.lit(1)) - 1).alias("_last")).scalar()
-    placed = with_running_totals(counts, [], [F.col(column)], {"_through": F.col("_n")}, max_group_rows)
+    placed = with_running_totals(counts, [], [F.col(column)], {"_through": F.col("_n")}, rows_per_task)
 
     def at(p: float) -> Column:
         exact = F.col("_last") * p
@@ -96,15 +93,26 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def summarise(df: DataFrame, columns: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """``profile`` plus exact quartiles; one pass while a single task can hold the values."""
-    if not has_large_group(df, [], max_group_rows):
-        shares = F.array(*[F.lit(p) for p in QUARTILES.values()])
-        quartiles = {c: F.percentile(c, shares).alias("q") for c in columns}
-        measured = df.agg(F.array(*[_measures(c, quartiles[c]) for c in columns]).alias("m")).select(F.inline("m"))
-        return measured.withColumns({n: F.get("q", F.lit(i)) for i, n in enumerate(QUARTILES)}).drop("q")
+def summarise(df: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``profile`` plus exact quartiles."""
     per_column = []
     for c in columns:
-        row = exact_quantiles(df, c, QUARTILES, max_group_rows)
+        row = exact_quantiles(df, c, QUARTILES, rows_per_task)
         per_column.append(row.select(F.lit(c).alias("column_name"), *[F.col(q).cast("double") for q in QUARTILES]))
     return profile(df, columns).join(reduce(DataFrame.unionByName, per_column), "column_name")
+
+
+def profile_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per text column: count, nulls, least and greatest value, and the mean of what reads as a number."""
+    measures = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(c).alias("n"),
+            F.count_if(F.col(c).isNull()).alias("n_null"),
+            F.avg(F.col(c).try_cast("double")).alias("mean"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+        )
+        for c in columns
+    ]
+    return df.agg(F.array(*measures).alias("m")).select(F.inline("m"))

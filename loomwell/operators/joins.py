@@ -8,8 +8,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwell.operators.ordering import ROWS_PER_TASK
+
 # Bytes as stored; decoded rows take several times as much on every executor.
 BROADCAST_LIMIT = 16 * 1024 * 1024
+NULL_SALTS = 1024
 SALTABLE = {"inner", "left", "left_semi", "left_anti"}
 
 
@@ -26,12 +29,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_LIMIT) -> DataF
 def filter_by_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, anti: bool = False) -> DataFrame:
     """Semi join (or anti join): left rows with (without) a match on the right.
 
-    The right keys are made distinct first, with map-side combine and on the
-    partitioning the join needs anyway, so a key repeated in a large share of the
-    right rows does not land in one task.
+    The right keys are made distinct first, with map-side combine, so a key repeated
+    in a large share of the right rows does not land in one task. Both sides are
+    joined on the key inside a struct: that shuffles the distinct keys once more, and
+    adaptive execution can then split a hot key of the left rows. NULL matches nothing.
     """
-    matches = right.select(F.col(right_key).alias("_match")).distinct()
-    return left.join(matches, F.col(left_key) == F.col("_match"), "left_anti" if anti else "left_semi")
+    matches = right.select(F.col(right_key).alias("_match")).dropna().distinct()
+    same = F.struct(F.col(left_key).alias("k")) == F.struct(F.col("_match").alias("k"))
+    return left.join(matches, same, "left_anti" if anti else "left_semi")
 
 
 def cross_with_values(df: DataFrame, name: str, values: list) -> DataFrame:
@@ -44,61 +49,44 @@ def cross_with_values(df: DataFrame, name: str, values: list) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
-def hash_salt(df: DataFrame, n: int, row_key: list[str] | None = None) -> Column:
-    """A salt in 0..n-1 that depends only on the row, so a re-run task repeats it."""
-    return F.pmod(F.xxhash64(*(row_key or df.columns)), F.lit(n)).cast("int")
-
-
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
-    n: int,
     how: str = "inner",
     row_key: list[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join with every right row copied ``n`` times and every left row given one of n salts.
+    """Join in which a key gets one salt per ``rows_per_task`` of its left rows.
 
-    Right and full outer joins are refused: each unmatched right row would come
-    out n times.
+    Left rows take one of their key's salts, and only the right rows of keys with
+    several are copied. Keys with several hold more than ``rows_per_task`` rows
+    each, so they are few against the rows, whatever the table size; their list
+    stays a table, which Spark broadcasts only if it is small. Right and full outer
+    joins are refused: an unmatched right row would come out once per copy.
     """
     if how not in SALTABLE:
         raise ValueError(f"salted join supports {sorted(SALTABLE)}, not {how}")
-    salted = left.withColumn("_salt", hash_salt(left, n, row_key))
-    copies = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(n)])))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    salts = key_salts(left, on, rows_per_task)
+    # NULL keys match nothing, so they are spread without any copies
+    missing = reduce(or_, [F.col(k).isNull() for k in on])
+    count = F.when(missing, F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = left.join(salts, on, "left").withColumn("_salt", F.pmod(row_hash(left, row_key), count).cast("int"))
+    copies = right.join(salts, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    return salted.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(df: DataFrame, on: list[str], min_share: float) -> DataFrame:
-    """Keys that hold more than ``min_share`` of all rows: at most 1/min_share of them."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    return counts.filter(F.col("_rows") > total * F.lit(min_share)).select(*on)
+def row_hash(df: DataFrame, row_key: list[str] | None = None) -> Column:
+    """A number that depends only on the row, so a re-run task repeats it."""
+    return F.xxhash64(*(row_key or df.columns))
 
 
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    n: int,
-    how: str = "inner",
-    min_share: float = 0.01,
-    row_key: list[str] | None = None,
-) -> DataFrame:
-    """Salt only the keys that are hot on the left, so only their right rows are copied."""
-    if how not in SALTABLE:
-        raise ValueError(f"skew join supports {sorted(SALTABLE)}, not {how}")
-    # Fewer than 1/min_share rows by construction, so this broadcast cannot grow.
-    hot = F.broadcast(hot_keys(left, on, min_share).withColumn("_hot", F.lit(True)))
-    # NULL keys match nothing, so they can be spread without any copies.
-    spread = F.col("_hot") | reduce(or_, [F.col(k).isNull() for k in on])
-    salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(spread, hash_salt(left, n, row_key)).otherwise(0)
-    )
-    copies = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), n - 1).otherwise(0)))
-    )
-    return salted.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+def key_salts(df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and ``_salts``, the tasks their rows fill."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_task)
+    return counts.select(*on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
 
 
 def key_skew(df: DataFrame, keys: list[str]) -> DataFrame:

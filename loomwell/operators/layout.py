@@ -22,16 +22,6 @@ def keys_per_partition(df: DataFrame, key: str) -> DataFrame:
     return spread.groupBy(key).agg(F.count(F.lit(1)).alias("partitions"))
 
 
-def spread_small_scan(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a table scan out to all cores when it has fewer splits than cores.
-
-    Meant before costly per-row work. A large table has many more splits than
-    there are cores and is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def sort_within(df: DataFrame, partitions: int, key: str, *order: str) -> DataFrame:
     """Equal keys together, each partition sorted; no global order."""
     return df.repartition(partitions, key).sortWithinPartitions(*order)

@@ -1,23 +1,21 @@
 """Exact row positions and running totals within groups of any size.
 
-A window puts each whole group into one task. That is the cheapest plan while
-groups are small, so every function here first asks which groups exceed
-``max_group_rows`` (one map-side combined count over the key columns). Rows of
-all other groups go through the plain window. Only the rows of the large groups
-take the longer route: range-partition on (keys, order), number rows inside each
-range, and add the sizes of the earlier ranges.
+A window gives a whole group to one task, and any group may hold a large share of
+the rows. So there is one route for all: range-partition on (keys, order) into as
+many ranges as the row count asks for, number rows inside each range, and add the
+sizes of the earlier ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwell.session import shared_root
 
-MAX_GROUP_ROWS = 5_000_000
+ROWS_PER_TASK = 250_000
 
 
 def group_by_key(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
@@ -28,11 +26,14 @@ def group_by_key(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> Da
 def join_by_key(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Add the columns of ``right``, which carries ``_key``, to the rows of ``left``.
 
-    Structs that hold NULL compare as equal, as groups do, and an aggregate that
-    was grouped on the same struct is already partitioned for this join; a
-    null-safe condition on the plain columns would shuffle it again.
+    Structs that hold NULL compare as equal, as groups do. Both sides are joined on
+    the struct inside another one: an aggregate grouped on ``_key`` is then
+    shuffled once more, one row per key, and adaptive execution can split a hot key,
+    which it does only where plain shuffles feed both sides of a join.
     """
-    return left.withColumn("_key", F.struct(*keys)).join(right, "_key", how).drop("_key")
+    inner = F.struct(F.struct(*keys).alias("_key"))
+    right = right.withColumn("_key", F.struct("_key"))
+    return left.withColumn("_key", inner).join(right, "_key", how).drop("_key")
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -41,62 +42,28 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return join_by_key(left, right.select(F.struct(*keys).alias("_key"), *rest), keys, how)
 
 
-def large_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame:
-    """Keys (as ``_key``) of the groups with more rows than one task should hold.
-
-    Without keys the table is the only group.
-    """
-    if not keys:
-        sizes = df.agg(F.count(F.lit(1)).alias("_rows"))
-    else:
-        sizes = group_by_key(df, keys, {"_rows": F.count(F.lit(1))})
-    return sizes.filter(F.col("_rows") > max_group_rows).drop("_rows")
-
-
-def has_large_group(df: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
-    return not large_groups(df, keys, max_group_rows).isEmpty()
-
-
-def by_group_size(
-    df: DataFrame,
-    keys: list[str],
-    max_group_rows: int,
-    plain: Callable[[DataFrame], DataFrame],
-    split: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Send rows of large groups through ``split`` and all others through ``plain``."""
-    large = large_groups(df, keys, max_group_rows)
-    if large.isEmpty():
-        return plain(df)
-    if not keys:
-        return split(df)
-    shared_root(df.sparkSession)
-    # fewer than rows / max_group_rows keys: a short list at any table size
-    large = F.broadcast(large.checkpoint())
-    rest = join_by_key(df, large, keys, "left_anti")
-    return plain(rest).unionByName(split(join_by_key(df, large, keys, "left_semi")))
-
-
 def with_position(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
     name: str = "position",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add the 1-based row number of each row in its group; ``order`` must be total."""
+    return position_by_range(df, keys, order, name, rows_per_task)
 
-    def plain(d: DataFrame) -> DataFrame:
-        return d.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
 
-    return by_group_size(df, keys, max_group_rows, plain, lambda d: position_by_range(d, keys, order, name))
+def range_count(df: DataFrame, rows_per_task: int) -> int:
+    """Ranges that hold about ``rows_per_task`` rows each; the count reads no columns of a stored table."""
+    return max(1, ceil(df.count() / rows_per_task))
 
 
-def position_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    """``with_position`` for groups that no single task could sort."""
-    spark = df.sparkSession
-    shared_root(spark)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def position_by_range(
+    df: DataFrame, keys: list[str], order: list[Column], name: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Row numbers from ranges of (keys, order), each in a task of its own."""
+    shared_root(df.sparkSession)
+    ranges = range_count(df, rows_per_task)
     # The range number must not change between its two uses below, even after a
     # lost executor, so it is written once to the checkpoint folder.
     ranged = (
@@ -127,20 +94,13 @@ def with_running_totals(
     keys: list[str],
     order: list[Column],
     totals: dict[str, Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add cumulative sums from the first row of the group to the current one.
 
     Sum decimals or integers: their sum does not depend on how rows are blocked.
     """
-
-    def plain(d: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return d.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
-
-    return by_group_size(
-        df, keys, max_group_rows, plain, lambda d: running_totals_by_block(d, keys, order, totals, max_group_rows)
-    )
+    return running_totals_by_block(df, keys, order, totals, rows_per_task)
 
 
 def running_totals_by_block(
@@ -148,7 +108,7 @@ def running_totals_by_block(
 ) -> DataFrame:
     """Running totals inside blocks of positions, plus the sum of the earlier blocks."""
     parts = {f"_part_{n}": c for n, c in totals.items()}
-    placed = position_by_range(df.withColumns(parts), keys, order, "_pos").withColumn(
+    placed = position_by_range(df.withColumns(parts), keys, order, "_pos", block_rows).withColumn(
         "_block", F.floor((F.col("_pos") - 1) / block_rows)
     )
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

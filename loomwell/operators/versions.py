@@ -48,14 +48,29 @@ def append_rows(log: DataFrame, change: DataFrame) -> DataFrame:
 
 
 def unique_keys(source: DataFrame, keys: list[str]) -> DataFrame:
-    """The same rows, failing at run time when a key occurs twice; NULL keys are exempt."""
-    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    fail = F.raise_error(F.lit("merge source holds the same key more than once")).cast("boolean")
-    return (
-        source.join(repeated, keys, "left")
+    """The same rows, failing at run time when a key occurs twice; NULL keys are exempt.
+
+    One aggregate counts a key's rows and carries the first of them; it combines on
+    the map side, so a key with many rows fails without gathering them.
+    """
+    rest = [c for c in source.columns if c not in keys]
+    full = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    fail = F.raise_error(F.lit("a source holds the same key more than once")).cast("boolean")
+    once = (
+        source.filter(full)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(F.lit(0).alias("_"), *rest)).alias("_row"))
         .filter(F.when(F.col("_copies") > 1, fail).otherwise(F.lit(True)))
-        .select(*source.columns)
+        .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
     )
+    return once.unionByName(source.filter(~full)).select(*source.columns)
+
+
+def refuse_narrower(source: DataFrame, columns: list[str]) -> None:
+    """An update by whole rows would erase the columns that its source lacks."""
+    missing = [c for c in columns if c not in source.columns]
+    if missing:
+        raise ValueError(f"merge source lacks the columns {missing}")
 
 
 def merge_upsert(
@@ -68,6 +83,8 @@ def merge_upsert(
     """
     if when_matched not in {"update", "delete", "ignore"}:
         raise ValueError(f"when_matched is update, delete or ignore, not {when_matched}")
+    if when_matched == "update":
+        refuse_narrower(source, target.columns)
     source = unique_keys(source, keys)
     kept = target if when_matched == "ignore" else target.join(source.select(*keys), keys, "left_anti")
     if when_matched == "update":
@@ -236,11 +253,16 @@ class VersionedTable:
         """Write version 0 if the table is absent; tells whether it did."""
         if self.versions():
             return False
-        self._commit(as_change(df, 0, "U", "CREATE", committed_at))
+        self._commit(as_change(unique_keys(df, self.keys), 0, "U", "CREATE", committed_at))
         return True
 
     def insert(self, df: DataFrame, evolve: bool = False, committed_at: Column | None = None) -> int:
-        return self._commit(as_change(self._aligned(df, evolve), 0, "U", "INSERT", committed_at))
+        """Append rows with new keys; fails at run time on a key that is there already."""
+        rows = unique_keys(self._aligned(df, evolve), self.keys)
+        fail = F.raise_error(F.lit("insert of a key that the table holds")).cast("boolean")
+        there = self.as_of().select(*self.keys, F.lit(True).alias("_there"))
+        new = rows.join(there, self.keys, "left").filter(F.when(F.col("_there"), fail).otherwise(F.lit(True)))
+        return self._commit(as_change(new.drop("_there"), 0, "U", "INSERT", committed_at))
 
     def update(self, condition: Column, assignments: dict[str, Column], committed_at: Column | None = None) -> int:
         touched = self.as_of().filter(condition)
@@ -260,6 +282,8 @@ class VersionedTable:
         committed_at: Column | None = None,
     ) -> int:
         """Upsert without reading the target: the newest row of a key wins on read."""
+        if when_matched == "update":
+            refuse_narrower(source, [c for c in self.as_of().columns])
         source = self._aligned(unique_keys(source, self.keys), evolve)
         present = self.as_of().select(*self.keys)
         parts = []
@@ -281,6 +305,7 @@ class VersionedTable:
         changed = [f.name for f in df.schema.fields if known.get(f.name, f.dataType) != f.dataType]
         if changed:
             raise ValueError(f"schema mismatch: changed types {changed}")
+        df = unique_keys(df, self.keys)
         gone = live.join(df.select(*self.keys), self.keys, "left_anti").select(*self.keys)
         rows = as_change(df, 0, "U", "OVERWRITE", committed_at)
         dead = as_change(gone, 0, "D", "OVERWRITE", committed_at)

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loomwell.operators.ordering import (
-    MAX_GROUP_ROWS,
-    by_group_size,
+    ROWS_PER_TASK,
     group_by_key,
     join_by_key,
     join_on_keys,
@@ -48,34 +47,25 @@ def top_n_with_ties(
 
 
 def with_ranks(
-    df: DataFrame, keys: list[str], by: str, descending: bool = True, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], by: str, descending: bool = True, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Add ``rank``, ``dense_rank`` and ``percent_rank`` on one column, ties sharing a rank."""
     order = F.col(by).desc() if descending else F.col(by).asc()
-
-    def plain(d: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(order)
-        ranks = {"rank": F.rank(), "dense_rank": F.dense_rank(), "percent_rank": F.percent_rank()}
-        return d.withColumns({n: c.over(window) for n, c in ranks.items()})
-
-    def split(d: DataFrame) -> DataFrame:
-        # Ties collapse in the count, so even a value shared by most rows is one row here.
-        counts = d.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-        placed = with_running_totals(
-            counts, keys, [order], {"_through": F.col("_n"), "dense_rank": F.lit(1)}, max_group_rows
-        )
-        rank = F.col("_through") - F.col("_n") + 1
-        share = F.when(F.col("_size") > 1, (rank - 1).cast("double") / (F.col("_size") - 1)).otherwise(0.0)
-        ranks = with_group_stats(placed, keys, {"_size": F.sum("_n")}).select(
-            *keys,
-            by,
-            rank.cast("int").alias("rank"),
-            F.col("dense_rank").cast("int").alias("dense_rank"),
-            share.alias("percent_rank"),
-        )
-        return join_on_keys(d, ranks, [*keys, by])
-
-    return by_group_size(df, keys, max_group_rows, plain, split)
+    # Ties collapse in the count, so even a value shared by most rows is one row here.
+    counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+    placed = with_running_totals(
+        counts, keys, [order], {"_through": F.col("_n"), "dense_rank": F.lit(1)}, rows_per_task
+    )
+    rank = F.col("_through") - F.col("_n") + 1
+    share = F.when(F.col("_size") > 1, (rank - 1).cast("double") / (F.col("_size") - 1)).otherwise(0.0)
+    ranks = with_group_stats(placed, keys, {"_size": F.sum("_n")}).select(
+        *keys,
+        by,
+        rank.cast("int").alias("rank"),
+        F.col("dense_rank").cast("int").alias("dense_rank"),
+        share.alias("percent_rank"),
+    )
+    return join_on_keys(df, ranks, [*keys, by])
 
 
 def with_ntile(
@@ -83,14 +73,10 @@ def with_ntile(
     keys: list[str],
     order: list[Column],
     tiles: dict[str, int],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add one tile number per entry of ``tiles``; the first tiles get the spare rows."""
 
-    def plain(d: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return d.withColumns({name: F.ntile(n).over(window) for name, n in tiles.items()})
-
     def tile(n: int) -> Column:
         zero_based = F.col("_pos") - 1
         small = F.floor(F.col("_size") / n)
@@ -103,12 +89,9 @@ def with_ntile(
             + 1
         )
 
-    def split(d: DataFrame) -> DataFrame:
-        placed = position_by_range(d, keys, order, "_pos")
-        sized = with_group_stats(placed, keys, {"_size": F.count(F.lit(1))})
-        return sized.withColumns({name: tile(n) for name, n in tiles.items()}).drop("_pos", "_size")
-
-    return by_group_size(df, keys, max_group_rows, plain, split)
+    placed = position_by_range(df, keys, order, "_pos", rows_per_task)
+    sized = with_group_stats(placed, keys, {"_size": F.count(F.lit(1))})
+    return sized.withColumns({name: tile(n) for name, n in tiles.items()}).drop("_pos", "_size")
 
 
 def with_neighbours(
@@ -118,41 +101,35 @@ def with_neighbours(
     build: Callable[[WindowSpec], dict[str, Column]],
     before: int,
     after: int,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Windows that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``build`` receives the ordered window and returns the new columns: lag, lead
-    or row frames within those bounds. A large group is cut into blocks of
-    ``max_group_rows`` positions, and rows near a block edge are copied into the
+    or row frames within those bounds. A group is cut into blocks of
+    ``rows_per_task`` positions, and rows near a block edge are copied into the
     neighbouring block so that every frame is complete.
     """
-
-    def plain(d: DataFrame) -> DataFrame:
-        return d.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
-
-    def split(d: DataFrame) -> DataFrame:
-        zero_based = F.col("_pos") - 1
-        home = F.floor(zero_based / max_group_rows)
-        first_user = F.floor(F.greatest(zero_based - after, F.lit(0)) / max_group_rows)
-        last_user = F.floor((zero_based + before) / max_group_rows)
-        return (
-            position_by_range(d, keys, order, "_pos")
-            .withColumn("_block", F.explode(F.sequence(first_user, last_user)))
-            .withColumns(build(Window.partitionBy(*keys, "_block").orderBy("_pos")))
-            .filter(F.col("_block") == home)
-            .drop("_pos", "_block")
-        )
-
-    return by_group_size(df, keys, max_group_rows, plain, split)
+    zero_based = F.col("_pos") - 1
+    home = F.floor(zero_based / rows_per_task)
+    first_user = F.floor(F.greatest(zero_based - after, F.lit(0)) / rows_per_task)
+    last_user = F.floor((zero_based + before) / rows_per_task)
+    return (
+        position_by_range(df, keys, order, "_pos", rows_per_task)
+        .withColumn("_block", F.explode(F.sequence(first_user, last_user)))
+        .withColumns(build(Window.partitionBy(*keys, "_block").orderBy("_pos")))
+        .filter(F.col("_block") == home)
+        .drop("_pos", "_block")
+    )
 
 
 def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
     """Add whole-group aggregates to every row.
 
     An unordered window would gather each group in one task. Aggregating first
-    combines on the map side, and the join back is split by adaptive execution
-    (or broadcast when the measured size allows).
+    combines on the map side; both sides of the join back are plain shuffles, the
+    aggregate's with one row per key, so adaptive execution splits a hot key (or
+    broadcasts the aggregate when its measured size allows).
     """
     if not keys:
         totals = df.agg(F.struct(*[c.alias(n) for n, c in stats.items()]).alias("_t")).scalar()
@@ -178,66 +155,50 @@ def with_range_totals(
     width: int,
     row_id: str,
     totals: dict[str, Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Sums over rows whose integer ``at`` lies in [current - width, current], peers included.
 
-    A sliding frame would be summed again for every row. Both routes instead
-    subtract two growing sums, up to the current value and up to just below its
-    lower bound, which is linear in the rows. In a large group each row adds two
-    probes to the ordered stream to read those sums.
+    A sliding frame would be summed again for every row. Instead each row adds two
+    probes to the ordered stream, which read the growing sums below its lower bound
+    and up to its own value; their difference is linear in the rows. As in Spark's
+    frame, rows with a NULL ``at`` see each other only, and a frame without a
+    value has a NULL sum. ``row_id`` is unique.
     """
+    # step 0 reads before the rows at the same value, 1 is the row, 2 reads after them
+    points = F.array(
+        F.struct((F.col(at) - width).alias("_at"), F.lit(0).alias("_step")),
+        F.struct(F.col(at).alias("_at"), F.lit(1).alias("_step")),
+        F.struct(F.col(at).alias("_at"), F.lit(2).alias("_step")),
+    )
+    values = [c.alias(f"_v_{n}") for n, c in totals.items()]
+    stream = df.select(*keys, row_id, *values, F.inline(points))
+    is_row = F.col("_step") == 1
+    added = {}
+    for n in totals:
+        value = F.col(f"_v_{n}")
+        added[f"_c_{n}"] = F.when(is_row, F.coalesce(value, F.lit(0))).otherwise(F.lit(0))
+        added[f"_n_{n}"] = (is_row & value.isNotNull()).cast("long")
+    in_order = [F.col("_at"), F.col("_step"), F.col(row_id)]
+    summed = running_totals_by_block(stream, keys, in_order, added, rows_per_task)
 
-    def plain(d: DataFrame) -> DataFrame:
-        ordered = Window.partitionBy(*keys).orderBy(at)
-        upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        below = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
-        return d.withColumns(
-            {n: F.sum(c).over(upto) - F.coalesce(F.sum(c).over(below), F.lit(0)) for n, c in totals.items()}
-        )
+    def between(name: str) -> Column:
+        low, high = (F.max(F.when(F.col("_step") == step, F.col(name))) for step in (0, 2))
+        return high - low
 
-    def split(d: DataFrame) -> DataFrame:
-        # step 0 reads before the rows at the same value, 1 is the row, 2 reads after them
-        points = F.array(
-            F.struct((F.col(at) - width).alias("_at"), F.lit(0).alias("_step")),
-            F.struct(F.col(at).alias("_at"), F.lit(1).alias("_step")),
-            F.struct(F.col(at).alias("_at"), F.lit(2).alias("_step")),
-        )
-        values = [c.alias(f"_v_{n}") for n, c in totals.items()]
-        stream = d.select(*keys, row_id, *values, F.inline(points))
-        added = {f"_c_{n}": F.when(F.col("_step") == 1, F.col(f"_v_{n}")) for n in totals}
-        in_order = [F.col("_at"), F.col("_step"), F.col(row_id)]
-        summed = running_totals_by_block(stream, keys, in_order, added, max_group_rows)
-        edges = summed.groupBy(row_id).agg(
-            *[F.max(F.when(F.col("_step") == 0, F.col(f"_c_{n}"))).alias(f"_lo_{n}") for n in totals],
-            *[F.max(F.when(F.col("_step") == 2, F.col(f"_c_{n}"))).alias(f"_hi_{n}") for n in totals],
-        )
-        return (
-            d.join(edges, row_id)
-            .withColumns({n: F.col(f"_hi_{n}") - F.coalesce(f"_lo_{n}", F.lit(0)) for n in totals})
-            .drop(*[f"_lo_{n}" for n in totals], *[f"_hi_{n}" for n in totals])
-        )
-
-    return by_group_size(df, keys, max_group_rows, plain, split)
+    sums = [F.when(between(f"_n_{n}") > 0, between(f"_c_{n}")).alias(n) for n in totals]
+    return df.join(summed.groupBy(row_id).agg(*sums), row_id)
 
 
 def with_peer_totals(
-    df: DataFrame, keys: list[str], by: str, totals: dict[str, Column], max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], by: str, totals: dict[str, Column], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Cumulative sums under the default ordered frame: rows equal in ``by`` share one value."""
-
-    def plain(d: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(by)
-        return d.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
-
-    def split(d: DataFrame) -> DataFrame:
-        sums = [F.sum(c).alias(f"_v_{n}") for n, c in totals.items()]
-        per_value = d.groupBy(*keys, by).agg(*sums)
-        added = {n: F.col(f"_v_{n}") for n in totals}
-        summed = with_running_totals(per_value, keys, [F.col(by)], added, max_group_rows)
-        return join_on_keys(d, summed.select(*keys, by, *totals), [*keys, by])
-
-    return by_group_size(df, keys, max_group_rows, plain, split)
+    sums = [F.sum(c).alias(f"_v_{n}") for n, c in totals.items()]
+    per_value = df.groupBy(*keys, by).agg(*sums)
+    added = {n: F.col(f"_v_{n}") for n in totals}
+    summed = with_running_totals(per_value, keys, [F.col(by)], added, rows_per_task)
+    return join_on_keys(df, summed.select(*keys, by, *totals), [*keys, by])
 
 
 __all__ = [

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money
-from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, profile, summarise
+from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, profile, profile_text, summarise
 from loomwell.operators.windows import with_ntile, with_zscore
 from loomwell.plans.registry import query
 from loomwell.sources.tables import load
@@ -230,6 +230,22 @@ def stats_describe(spark: SparkSession, d: str) -> DataFrame:
     return rounded(described, "mean", "stddev")
 
 
+@query(
+    "stats_describe_text",
+    """
+    SELECT 'o_orderpriority' AS column_name, count(o_orderpriority) AS n, count(*) - count(o_orderpriority) AS n_null,
+           avg(TRY_CAST(o_orderpriority AS double)) AS mean, min(o_orderpriority) AS min, max(o_orderpriority) AS max
+    FROM orders
+    UNION ALL
+    SELECT 'o_orderstatus', count(o_orderstatus), count(*) - count(o_orderstatus),
+           avg(TRY_CAST(o_orderstatus AS double)), min(o_orderstatus), max(o_orderstatus)
+    FROM orders
+    """,
+)
+def stats_describe_text(spark: SparkSession, d: str) -> DataFrame:
+    return profile_text(load(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"])
+
+
 @query("stats_summary", describe_oracle("orders", ["o_totalprice", "o_custkey"], True))
 def stats_summary(spark: SparkSession, d: str) -> DataFrame:
     described = summarise(load(spark, d, "orders"), ["o_totalprice", "o_custkey"])

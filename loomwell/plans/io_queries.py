@@ -175,11 +175,19 @@ def io_merge_schema(spark: SparkSession, d: str) -> DataFrame:
     return files.read_merged(spark, path).select(*base, "o_orderpriority")
 
 
-@query("io_file_layout")
+@query(
+    "io_file_layout",
+    "SELECT o_orderstatus, count(*) AS rows, true AS has_files, true AS has_bytes FROM orders GROUP BY 1",
+)
 def io_file_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per folder, and that each folder has files and bytes; their numbers depend on the cluster."""
     path = scratch_path(spark, "layout")
     files.write_partitioned(load(spark, d, "orders"), path, ["o_orderstatus"])
-    return files.file_layout(spark.read.parquet(path), ["o_orderstatus"])
+    table = spark.read.parquet(path)
+    layout = files.file_layout(table, ["o_orderstatus"]).groupBy("o_orderstatus").agg(
+        (F.sum("files") > 0).alias("has_files"), (F.sum("bytes") > 0).alias("has_bytes")
+    )
+    return table.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows")).join(layout, "o_orderstatus")
 
 
 @query(
@@ -189,7 +197,7 @@ def io_file_layout(spark: SparkSession, d: str) -> DataFrame:
                FROM customer, (VALUES (0), (1), (2)) s(seq)),
          m AS (SELECT *, (order_no * 7919) % 100003 AS mixed FROM n)
     SELECT 'ORD-' || CAST(order_no AS varchar) AS order_id, c_custkey AS customer_id,
-           ['Electronics', 'Furniture', 'Stationery', 'Clothing', 'Books', 'Sports'][CAST(mixed % 6 AS int) + 1] AS category,
+           ['Electronics', 'Clothing', 'Food', 'Sports', 'Home', 'Books'][CAST(mixed % 6 AS int) + 1] AS category,
            CAST(mixed % 10 + 1 AS int) AS quantity,
            CAST((mixed * 31) % 50000 + 500 AS double) / 100 AS amount,
            CAST(DATE '2023-01-01' + CAST(mixed % 730 AS int) AS date) AS order_date

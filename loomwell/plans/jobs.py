@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money, tax_on
 from loomwell.functions.text import word_rows
-from loomwell.operators.layout import spread_small_scan
 from loomwell.operators.windows import top_n_with_ties
 
 
 def word_count(df: DataFrame, text: str) -> DataFrame:
     """Occurrences of each lower-case word over whole texts."""
     return (
-        spread_small_scan(df.select(text))
+        df.select(text)
         .select(word_rows(F.col(text)))
         .filter(F.col("word") != "")
         .groupBy("word")

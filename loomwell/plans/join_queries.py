@@ -12,7 +12,6 @@ from loomwell.operators.joins import (
     filter_by_match,
     key_skew,
     salted_join,
-    skew_join,
 )
 from loomwell.plans.registry import query
 from loomwell.sources.tables import load
@@ -158,14 +157,14 @@ def join_skewed_baseline(spark: SparkSession, d: str) -> DataFrame:
 @query("join_salted", SKEWED + "SELECT o_orderkey, c_custkey, c_mktsegment FROM s JOIN customer ON k = c_custkey")
 def join_salted(spark: SparkSession, d: str) -> DataFrame:
     customers = load(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    joined = salted_join(skewed_orders(spark, d), customers, ["c_custkey"], 8, row_key=["o_orderkey"])
+    joined = salted_join(skewed_orders(spark, d), customers, ["c_custkey"], row_key=["o_orderkey"], rows_per_task=1000)
     return joined.select("o_orderkey", "c_custkey", "c_mktsegment")
 
 
 @query("join_salted_agg", SKEWED_AGG)
 def join_salted_agg(spark: SparkSession, d: str) -> DataFrame:
     customers = load(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return by_segment(skew_join(skewed_orders(spark, d), customers, ["c_custkey"], 8, row_key=["o_orderkey"]))
+    return by_segment(salted_join(skewed_orders(spark, d), customers, ["c_custkey"], row_key=["o_orderkey"]))
 
 
 FILTERED_JOIN = """

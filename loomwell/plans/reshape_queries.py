@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomwell.functions.text import word_rows
-from loomwell.operators.layout import partition_sizes, schema_frame, spread_small_scan
+from loomwell.operators.layout import keys_per_partition, partition_sizes, schema_frame, sort_within
 from loomwell.operators.reshape import append_all, replicate
 from loomwell.plans.jobs import word_count
 from loomwell.plans.registry import query
@@ -125,7 +125,7 @@ def word_count_query(spark: SparkSession, d: str) -> DataFrame:
 @query("sort_large", "SELECT l_orderkey, l_linenumber, sha256(l_orderkey || ':' || l_partkey || ':' || l_linenumber) AS payload FROM lineitem")
 def sort_large(spark: SparkSession, d: str) -> DataFrame:
     text = F.concat_ws(":", "l_orderkey", "l_partkey", "l_linenumber")
-    lines = spread_small_scan(load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"))
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     hashed = lines.select("l_orderkey", "l_linenumber", F.sha2(text, 256).alias("payload"))
     return hashed.orderBy("payload", "l_orderkey", "l_linenumber")
 
@@ -148,9 +148,38 @@ def rdd_flatmap(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "conversations").select("conv_id", "turn", word_rows(F.col("text")))
 
 
-@query("partition_sizes")
+@query("partition_sizes", "SELECT count(*) AS rows, true AS has_partitions, true AS is_even FROM lineitem")
 def partition_sizes_query(spark: SparkSession, d: str) -> DataFrame:
-    return partition_sizes(load(spark, d, "lineitem").repartition(spark.sparkContext.defaultParallelism))
+    """All rows, and that a round-robin deal leaves partitions of nearly one size."""
+    parts = spark.sparkContext.defaultParallelism
+    sizes = partition_sizes(load(spark, d, "lineitem").repartition(parts))
+    return sizes.agg(
+        F.sum("rows").alias("rows"),
+        (F.count(F.lit(1)) > 0).alias("has_partitions"),
+        # each task that deals starts anew, so they may differ by its number
+        (F.max("rows") - F.min("rows") <= F.greatest(F.lit(64), F.max("rows") * 0.1)).alias("is_even"),
+    )
+
+
+@query("keys_per_partition", "SELECT DISTINCT l_suppkey, CAST(1 AS bigint) AS partitions FROM lineitem")
+def keys_per_partition_query(spark: SparkSession, d: str) -> DataFrame:
+    """After a deal by key every key lies in one partition."""
+    parts = spark.sparkContext.defaultParallelism
+    return keys_per_partition(load(spark, d, "lineitem").select("l_suppkey").repartition(parts, "l_suppkey"), "l_suppkey")
+
+
+@query("sort_within_partitions", "SELECT count(*) AS rows, CAST(0 AS bigint) AS out_of_order FROM orders")
+def sort_within_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that follow a greater one inside their partition after a sort within partitions: none."""
+    orders = load(spark, d, "orders").select("o_custkey", "o_orderkey")
+    placed = sort_within(orders, spark.sparkContext.defaultParallelism, "o_custkey", "o_custkey", "o_orderkey").select(
+        "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+    )
+    before = F.lag(F.struct("o_custkey", "o_orderkey")).over(Window.partitionBy("part", "o_custkey").orderBy("at"))
+    return placed.withColumn("before", before).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("before") > F.struct("o_custkey", "o_orderkey")).alias("out_of_order"),
+    )
 
 
 @query(

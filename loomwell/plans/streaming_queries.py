@@ -14,8 +14,8 @@ from loomwell.sources.generate import LABELS, pick
 from loomwell.sources.tables import EVENTS, load
 from loomwell.streaming import sinks
 from loomwell.streaming.event_time import sensor_readings, windowed, zoneless
-from loomwell.streaming.feeds import file_feed, stream_session, table_feed, with_event_time
-from loomwell.streaming.state import merge_parts, running_user_totals
+from loomwell.streaming.feeds import dealt_feed, file_feed, in_event_order, stream_session, table_feed, with_event_time
+from loomwell.streaming.state import merge_parts, parts_for, running_user_totals
 
 HOUR = """
     SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
@@ -45,6 +45,13 @@ def event_stream(spark: SparkSession, d: str) -> DataFrame:
     return with_event_time(table_feed(stream_session(spark), d, "events"), "ts")
 
 
+def ordered_events(spark: SparkSession, d: str, out: str) -> DataFrame:
+    """The events in four micro-batches in event order, so that none is late."""
+    events = load(spark, d, "events")
+    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", in_event_order(events, "ts", 4))
+    return with_event_time(feed, "ts")
+
+
 def flat(df: DataFrame) -> DataFrame:
     return zoneless(df, "window_start", "window_end")
 
@@ -74,7 +81,7 @@ WINDOW_KEYS = ["window_start", "window_end", "event_type"]
 def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "sliding")
     sliding = windowed(
-        event_stream(spark, d), "ts", "2 hours", ["event_type"], measures(), slide="30 minutes", lateness="1 hour"
+        ordered_events(spark, d, out), "ts", "2 hours", ["event_type"], measures(), slide="30 minutes", lateness="1 hour"
     )
     sinks.to_batches(flat(sliding), f"{out}/rows", f"{out}/state", "update")
     return sinks.last_update(spark, f"{out}/rows", WINDOW_KEYS)
@@ -83,11 +90,41 @@ def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_watermark_append", f"SELECT * FROM ({HOUR}) " + FINAL.format("30 seconds"))
 def stream_watermark_append(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "append")
-    hourly = windowed(event_stream(spark, d), "ts", "1 hour", ["event_type"], measures(), lateness="30 seconds")
+    hourly = windowed(ordered_events(spark, d, out), "ts", "1 hour", ["event_type"], measures(), lateness="30 seconds")
     sinks.to_files(flat(hourly), f"{out}/rows", f"{out}/state")
     return spark.read.parquet(f"{out}/rows")
 
 
+LATE_CUT = """
+    (SELECT to_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2 // 3600000000 * 3600)::TIMESTAMP FROM events)
+"""
+
+
+@query(
+    "stream_late_rows",
+    f"""
+    SELECT event_type, CAST(count(*) AS bigint) AS events FROM events WHERE ts >= {LATE_CUT} GROUP BY 1
+    """,
+)
+def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Later half of the time first: the earlier half is late by more than the watermark allows and is dropped.
+
+    The halves meet at a full hour, so no hourly window holds rows of both.
+    """
+    out = scratch_path(spark, "late")
+    events = load(spark, d, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    if ends["low"] is None:
+        return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    middle = (ends["low"] + ends["high"]) // 2 // 3_600_000_000 * 3_600_000_000
+    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", [micros >= middle, micros < middle])
+    hourly = windowed(with_event_time(feed, "ts"), "ts", "1 hour", ["event_type"], measures(), lateness="1 hour")
+    sinks.to_batches(flat(hourly), f"{out}/rows", f"{out}/state", "update")
+    latest = sinks.last_update(spark, f"{out}/rows", WINDOW_KEYS)
+    return latest.groupBy("event_type").agg(F.sum("events").cast("long").alias("events"))
+
+
 @query("stream_update_latest", "SELECT user_id, count(*) AS events, CAST(sum(CAST(value AS decimal(18,2))) AS double) AS total, max(value) AS largest FROM events GROUP BY 1")
 def stream_update_latest(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "update")
@@ -178,12 +215,32 @@ def stream_foreach_batch_upsert(spark: SparkSession, d: str) -> DataFrame:
     """,
 )
 def stream_keyed_state(spark: SparkSession, d: str) -> DataFrame:
+    return keyed_totals(spark, d, F.col("value"))
+
+
+def keyed_totals(spark: SparkSession, d: str, value: Column) -> DataFrame:
     out = scratch_path(spark, "keyed-state")
-    pieces = running_user_totals(table_feed(stream_session(spark), d, "events"), parts=4)
+    events = load(spark, d, "events")
+    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", in_event_order(events, "ts", 2))
+    pieces = running_user_totals(feed.withColumn("value", value), parts_for(events))
     sinks.to_batches(pieces, f"{out}/rows", f"{out}/state", "update")
     return merge_parts(sinks.last_update(spark, f"{out}/rows", ["user_id", "part"]))
 
 
+@query(
+    "stream_keyed_state_nulls",
+    """
+    WITH v AS (SELECT user_id, CASE WHEN user_id % 9 > 0 AND event_id % 4 > 0 THEN CAST(round((value - 1000000) * 100) AS bigint) END AS cents FROM events)
+    SELECT user_id, count(*) AS event_count, CAST(sum(cents) AS bigint) AS value_cents, max(cents) AS largest_cents
+    FROM v GROUP BY 1
+    """,
+)
+def stream_keyed_state_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """All values below zero, and users without any value."""
+    known = (F.col("user_id") % 9 > 0) & (F.col("event_id") % 4 > 0)
+    return keyed_totals(spark, d, F.when(known, F.col("value") - 1_000_000))
+
+
 @query(
     "pipe_stream_windows",
     """
@@ -196,7 +253,7 @@ def stream_keyed_state(spark: SparkSession, d: str) -> DataFrame:
 )
 def pipe_stream_windows(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "sensors")
-    readings = sensor_readings(event_stream(spark, d), "event_id", "ts")
+    readings = sensor_readings(ordered_events(spark, d, out), "event_id", "ts")
     hundredths = F.sum(F.round(F.col("temperature") * 100).cast("long")).cast("double")
     per_minute = windowed(
         readings,

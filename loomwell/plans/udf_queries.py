@@ -50,8 +50,9 @@ def udf_pandas_iter(spark: SparkSession, d: str) -> DataFrame:
     "SELECT count(*) AS names, CAST(0 AS bigint) AS differing FROM part",
 )
 def udf_vs_builtin(spark: SparkSession, d: str) -> DataFrame:
+    odd = F.concat("raw_name", F.lit("o'neil-3rd_x2y "))
     both = messy_names(spark, d).select(
-        udfs.normalise_name_udf("raw_name").alias("by_python"), normalise_name(F.col("raw_name")).alias("by_spark")
+        udfs.normalise_name_udf(odd).alias("by_python"), normalise_name(odd).alias("by_spark")
     )
     return both.agg(
         F.count(F.lit(1)).alias("names"), F.count_if(~F.col("by_python").eqNullSafe(F.col("by_spark"))).alias("differing")

@@ -223,27 +223,52 @@ def win_share_of_total(spark: SparkSession, d: str) -> DataFrame:
 )
 def win_global(spark: SparkSession, d: str) -> DataFrame:
     by_price = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    placed = W.with_position(orders_of(spark, d), [], by_price, "overall_rank", max_group_rows=1_000_000)
+    placed = W.with_position(orders_of(spark, d), [], by_price, "overall_rank")
     return placed.select("o_orderkey", "overall_rank")
 
 
+WEEK = 7 * 86400 * 1_000_000  # microseconds
+
+
 @query(
     "win_range_7d",
     """
     SELECT event_id, CAST(sum(CAST(value AS decimal(18,2))) OVER w AS double) AS value_7d, count(*) OVER w AS events_7d
-    FROM (SELECT *, CAST(floor(epoch(ts)) AS bigint) AS sec FROM events)
-    WINDOW w AS (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)
+    FROM (SELECT *, epoch_us(ts) AS micros FROM events)
+    WINDOW w AS (PARTITION BY user_id ORDER BY micros RANGE BETWEEN 604800000000 PRECEDING AND CURRENT ROW)
     """,
 )
 def win_range_7d(spark: SparkSession, d: str) -> DataFrame:
     events = load(spark, d, "events").select(
-        "event_id", "user_id", "value", F.unix_seconds(F.col("ts").cast("timestamp")).alias("sec")
+        "event_id", "user_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
     )
     totals = {"value_7d": money("value"), "events_7d": F.lit(1)}
-    summed = W.with_range_totals(events, ["user_id"], "sec", 7 * 86400, "event_id", totals)
+    summed = W.with_range_totals(events, ["user_id"], "micros", WEEK, "event_id", totals)
     return summed.select("event_id", F.col("value_7d").cast("double").alias("value_7d"), "events_7d")
 
 
+@query(
+    "win_range_nulls",
+    """
+    SELECT event_id, CAST(sum(v) OVER w AS double) AS value_7d
+    FROM (SELECT event_id, user_id, CASE WHEN event_id % 3 > 0 THEN CAST(value AS decimal(18,2)) END AS v,
+                 CASE WHEN event_id % 5 > 0 THEN epoch_us(ts) END AS micros FROM events)
+    WINDOW w AS (PARTITION BY user_id ORDER BY micros NULLS FIRST RANGE BETWEEN 604800000000 PRECEDING AND CURRENT ROW)
+    """,
+)
+def win_range_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Missing times see each other only; a frame without a value has no sum."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = load(spark, d, "events").select(
+        "event_id",
+        "user_id",
+        F.when(F.col("event_id") % 3 > 0, money("value")).alias("v"),
+        F.when(F.col("event_id") % 5 > 0, micros).alias("micros"),
+    )
+    summed = W.with_range_totals(events, ["user_id"], "micros", WEEK, "event_id", {"value_7d": F.col("v")})
+    return summed.select("event_id", F.col("value_7d").cast("double").alias("value_7d"))
+
+
 @query(
     "win_default_frame",
     "SELECT p_partkey, p_brand, p_size, CAST(sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_size) AS bigint) AS size_so_far FROM part",

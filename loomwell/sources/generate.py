@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Category names of seeded orders, labels of numbered rows, sensor letters.
-CATEGORIES = ["Electronics", "Furniture", "Stationery", "Clothing", "Books", "Sports"]
+CATEGORIES = ["Electronics", "Clothing", "Food", "Sports", "Home", "Books"]
 LABELS = ["alpha", "beta", "gamma", "delta", "epsilon"]
 SENSORS = ["A", "B", "C", "D"]
 

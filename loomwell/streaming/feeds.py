@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -57,6 +57,33 @@ def table_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return file_feed(spark, "parquet", f"{sf_dir}/{{{name}}}.parquet", schema)
 
 
+def dealt_feed(spark: SparkSession, rows: DataFrame, path: str, portions: list[Column]) -> DataFrame:
+    """Rows as a stream of one micro-batch per portion, in the order of the portions.
+
+    Each portion is a condition; its rows are written by a job of their own, as one
+    file per core, before the next portion's, and a trigger takes as many files.
+    A watermark moves between micro-batches only, so the order of portions decides
+    which rows are late, and no batch holds the whole table. Portions need a few
+    rows per core, as empty files are not written.
+    """
+    files = spark.sparkContext.defaultParallelism
+    for portion in portions:
+        rows.filter(portion).repartition(files).write.mode("append").parquet(path)
+    return file_feed(spark, "parquet", path, rows.schema, files)
+
+
+def in_event_order(rows: DataFrame, ts: str, batches: int) -> list[Column]:
+    """Conditions that cut rows into portions of about equal size along the time ``ts``."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    shares = [k / batches for k in range(1, batches)]
+    cuts = rows.agg(F.percentile_approx(micros, F.array(*map(F.lit, shares)))).first()[0]
+    if not cuts:
+        return [F.lit(True)]
+    edges = sorted(set(cuts))
+    inner = [(micros > low) & (micros <= high) for low, high in zip(edges, edges[1:])]
+    return [micros <= edges[0], *inner, micros > edges[-1]]
+
+
 def with_event_time(df: DataFrame, ts: str) -> DataFrame:
     """Watermarks need a zoned timestamp; zone-less columns are read in the session zone."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))

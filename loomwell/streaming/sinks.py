@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from loomwell.operators.layout import persisted
 from loomwell.operators.versions import VersionedTable
 
 
@@ -23,13 +24,15 @@ def to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") ->
 
 
 def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQuery:
-    """Complete or update mode on files: each micro-batch owns one folder.
+    """Complete or update mode on files: each micro-batch writes a folder of its own.
 
     A batch that is run again overwrites its own folder, so the result does not
-    depend on restarts.
+    depend on restarts. In complete mode a batch holds the whole result, so two
+    folders take turns and storage does not grow with the batches.
     """
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        slot = batch_id % 2 if mode == "complete" else batch_id
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/slot={slot}")
 
     writer = df.writeStream.outputMode(mode).foreachBatch(save)
     return run_to_end(writer.option("checkpointLocation", checkpoint))
@@ -39,12 +42,12 @@ def last_batch(spark: SparkSession, path: str) -> DataFrame:
     """Result of a complete-mode query: the whole table as of its final batch."""
     batches = spark.read.parquet(path)
     newest = batches.agg(F.max("batch_id").alias("b")).scalar()
-    return batches.filter(F.col("batch_id") == newest).drop("batch_id")
+    return batches.filter(F.col("batch_id") == newest).drop("batch_id", "slot")
 
 
 def last_update(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Result of an update-mode query: the newest row of every key."""
-    batches = spark.read.parquet(path)
+    batches = spark.read.parquet(path).drop("slot")
     rest = [c for c in batches.columns if c not in (*keys, "batch_id")]
     newest = F.max(F.struct("batch_id", *rest)).alias("_row")
     return batches.groupBy(*keys).agg(newest).select(*keys, *[f"_row.{c}" for c in rest])
@@ -59,8 +62,9 @@ def to_memory(df: DataFrame, name: str, mode: str, checkpoint: str) -> Streaming
 def to_versioned_table(df: DataFrame, table: VersionedTable, checkpoint: str) -> StreamingQuery:
     """Upsert every micro-batch. A batch run again appends equal rows, which changes no read."""
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if not table.create(batch):
-            table.merge(batch)
+        with persisted(batch) as held:  # the commit checks the rows and writes them
+            if not table.create(held):
+                table.merge(held)
 
     writer = df.writeStream.outputMode("update").foreachBatch(upsert)
     return run_to_end(writer.option("checkpointLocation", checkpoint))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from math import ceil
 from typing import Any
 
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from loomwell.operators.ordering import ROWS_PER_TASK
+
 # Send these functions themselves to the executors, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -22,19 +25,21 @@ STATE = "event_count long, value_cents long, largest_cents long"
 def _accumulate(
     key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
-    count, total, largest = state.get if state.exists else (0, 0, 0)
+    count, total, largest = state.get if state.exists else (0, None, None)
     for pdf in frames:
         count += len(pdf)
-        total += int(pdf["value_cents"].sum())
-        largest = max(largest, int(pdf["value_cents"].max()))
+        seen = pdf["value_cents"].dropna()
+        if len(seen):
+            total = (total or 0) + int(seen.sum())
+            largest = int(seen.max()) if largest is None else max(largest, int(seen.max()))
     state.update((count, total, largest))
     yield pd.DataFrame(
         {
             "user_id": [key[0]],
             "part": [key[1]],
             "event_count": [count],
-            "value_cents": [total],
-            "largest_cents": [largest],
+            "value_cents": pd.array([total], dtype="Int64"),
+            "largest_cents": pd.array([largest], dtype="Int64"),
         }
     )
 
@@ -43,8 +48,9 @@ def running_user_totals(events: DataFrame, parts: int) -> DataFrame:
     """Count, sum and maximum per user kept in state and emitted when they change.
 
     The state of a user is held in ``parts`` pieces chosen by event id, so one
-    very busy user still spreads over that many tasks; ``merge_parts`` adds the
-    pieces up.
+    very busy user still spreads over that many tasks (``parts_for`` derives the
+    number from rows seen before); ``merge_parts`` adds the pieces up. NULL values
+    count as events only; a user without a value has a NULL sum and maximum.
     """
     keyed = events.select(
         "user_id",
@@ -56,6 +62,12 @@ def running_user_totals(events: DataFrame, parts: int) -> DataFrame:
     )
 
 
+def parts_for(events: DataFrame, rows_per_part: int = ROWS_PER_TASK) -> int:
+    """Pieces for the busiest user of the events seen so far."""
+    busiest = events.groupBy("user_id").count().agg(F.max("count")).first()[0]
+    return max(1, ceil((busiest or 0) / rows_per_part))
+
+
 def merge_parts(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("user_id").agg(
         F.sum("event_count").alias("event_count"),

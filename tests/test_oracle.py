@@ -4,8 +4,10 @@ import __spark_entry__ as entry_file
 import pytest
 from compare import connect, differences
 
-QUERIES = entry_file.queries()
-ORACLES = entry_file.oracle_sql()
+from loomwell.plans.catalogue import REGISTRY
+
+QUERIES = {name: item.run for name, item in REGISTRY.items()}
+ORACLES = {name: item.oracle for name, item in REGISTRY.items() if item.oracle}
 
 
 @pytest.fixture(scope="module")
@@ -26,5 +28,6 @@ def test_entry(spark):
     assert entry_file.entry(spark).count() > 0
 
 
-def test_only_layout_queries_lack_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"io_file_layout", "partition_sizes"}
+def test_every_query_has_an_oracle_and_is_exported():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries()) and ORACLES.items() <= entry_file.oracle_sql().items()

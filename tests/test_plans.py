@@ -1,17 +1,18 @@
 """What the physical plans must look like, and partition and cache behaviour."""
 
-import __spark_entry__ as entry_file
 import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from loomwell.operators import layout as L
 from loomwell.operators.windows import top_n_per_group, with_group_stats
+from loomwell.operators.joins import filter_by_match
+from loomwell.plans.catalogue import REGISTRY
 from loomwell.plans.io_queries import orders_by_month
 from loomwell.session import scratch_path, shared_root
 from loomwell.sources.tables import load
 
-QUERIES = entry_file.queries()
+QUERIES = {name: item.run for name, item in REGISTRY.items()}
 
 
 def plan(spark, sf, name):
@@ -67,13 +68,32 @@ def test_aggregation_is_partial_then_final(spark, sf):
     assert "partial_count" in text and L.exchange_count(QUERIES["agg_group_count"](spark, sf)) == 1
 
 
-def test_group_stats_shuffle_each_side_once(spark, sf):
-    orders = load(spark, sf, "orders")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("build", ["stats", "semi"])
+def test_a_hot_key_is_split(spark, build):
+    """95 % of the rows on one key and no broadcast: adaptive execution must split its partition."""
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 20 > 0, 0).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        assert L.exchange_count(with_group_stats(orders, ["o_custkey"], {"n": F.count(F.lit(1))})) == 2
+        if build == "stats":
+            joined = with_group_stats(rows, ["k"], {"n": F.count(F.lit(1))})
+        else:
+            joined = filter_by_match(rows, spark.range(100).withColumnRenamed("id", "m"), "k", "m")
+        joined = joined.select("k", F.length("x").alias("x"))
+        joined.collect()
+        assert "skew=true" in L.plan_text(joined, "simple")
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in settings:
+            spark.conf.unset(name)
 
 
 def test_constant_folding(spark, sf):

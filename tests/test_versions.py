@@ -177,3 +177,28 @@ def test_failed_version_is_overwritten(spark, rows):
     assert t.versions() == [0]
     t.insert(spark.createDataFrame([(3,)], "k int"))
     assert rows(t.as_of()) == [(1,), (3,)]
+
+
+def test_repeated_and_present_keys_are_refused(spark, rows):
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    t = V.VersionedTable(spark, scratch_path(spark, "repeated"), ["k"])
+    with pytest.raises(Exception, match="same key more than once"):
+        t.create(twice)
+    t.create(twice.filter("v <> 'b'"))
+    for write in (t.insert, t.overwrite):
+        with pytest.raises(Exception, match="same key more than once"):
+            write(twice)
+    with pytest.raises(Exception, match="key that the table holds"):
+        t.insert(spark.createDataFrame([(2, "x"), (3, "y")], "k int, v string"))
+    assert rows(t.as_of()) == [(1, "a"), (2, "c")]
+
+
+def test_a_narrower_source_is_refused(spark):
+    target = spark.createDataFrame([(1, "a", "keep")], "k int, v string, w string")
+    source = spark.createDataFrame([(1, "b")], "k int, v string")
+    t = V.VersionedTable(spark, scratch_path(spark, "narrow"), ["k"])
+    t.create(target)
+    for merge in (lambda: V.merge_upsert(target, source, ["k"]), lambda: t.merge(source)):
+        with pytest.raises(ValueError, match="lacks the columns"):
+            merge()
+    assert t.as_of().collect()[0]["w"] == "keep"

@@ -1,16 +1,17 @@
-"""Golden rows for rankings and frames, and the split route against the plain one."""
+"""Golden rows for rankings and frames, and the range route against Spark's own windows."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomwell.operators import windows as W
-from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, exact_quantiles, summarise
-from loomwell.operators.ordering import has_large_group
+from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, exact_quantiles, profile_text, summarise
+from loomwell.operators.ordering import range_count
 
-SMALL = 7  # rows per task that sends every group of the skewed fixture through the split route
-MIXED = 60  # sends only its hot group there
+SMALL = 7  # rows per task that cuts every group of the skewed fixture
+MIXED = 60  # cuts only its hot group
 
 
 CASES = pytest.mark.parametrize("keys,limit", [(["k"], SMALL), (["k"], MIXED), ([], SMALL)])
@@ -69,46 +70,49 @@ def test_top_n_with_and_without_ties(ties, skewed, rows):
         assert rows(W.top_n_with_ties(skewed, ["k"], "v", n), "id", "rnk") == rows(by_rank, "id", "rank")
 
 
-def test_large_group_check(skewed):
-    assert has_large_group(skewed, ["k"], 199)
-    assert not has_large_group(skewed, ["k"], 300)
-    assert has_large_group(skewed, [], 299)
+def test_ranges_grow_with_the_rows(spark):
+    assert [range_count(spark.range(n), 100) for n in (0, 100, 1000, 10_000)] == [1, 1, 10, 100]
+
+
+def native(keys, *order):
+    return Window.partitionBy(*keys).orderBy(*order)
 
 
 @CASES
-def test_position_split_equals_plain(skewed, rows, keys, limit):
+def test_positions(skewed, rows, keys, limit):
     order = [F.desc("v"), F.asc("id")]
-    plain = W.with_position(skewed, keys, order)
-    split = W.with_position(skewed, keys, order, max_group_rows=limit)
+    plain = skewed.withColumn("position", F.row_number().over(native(keys, *order)))
+    split = W.with_position(skewed, keys, order, rows_per_task=limit)
     assert rows(plain, "id", "position") == rows(split, "id", "position")
 
 
 @CASES
-def test_running_totals_split_equals_plain(skewed, rows, keys, limit):
+def test_running_totals(skewed, rows, keys, limit):
     order = [F.asc("v"), F.asc("id")]
     totals = {"s": F.when(F.col("w") > 300, F.col("w")), "n": F.lit(1)}
-    plain = W.with_running_totals(skewed, keys, order, totals)
-    split = W.with_running_totals(skewed, keys, order, totals, max_group_rows=limit)
+    window = native(keys, *order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = skewed.withColumns({n: F.sum(c).over(window) for n, c in totals.items()})
+    split = W.with_running_totals(skewed, keys, order, totals, rows_per_task=limit)
     assert rows(plain, "id", "s", "n") == rows(split, "id", "s", "n")
 
 
 @CASES
-def test_ranks_split_equals_plain(skewed, rows, keys, limit):
-    columns = ["id", "rank", "dense_rank", "percent_rank"]
-    plain = W.with_ranks(skewed, keys, "v")
-    assert rows(plain, *columns) == rows(W.with_ranks(skewed, keys, "v", max_group_rows=limit), *columns)
+def test_ranks(skewed, rows, keys, limit):
+    ranks = {"rank": F.rank(), "dense_rank": F.dense_rank(), "percent_rank": F.percent_rank()}
+    plain = skewed.withColumns({n: c.over(native(keys, F.desc("v"))) for n, c in ranks.items()})
+    assert rows(plain, "id", *ranks) == rows(W.with_ranks(skewed, keys, "v", rows_per_task=limit), "id", *ranks)
 
 
 @CASES
-def test_ntile_split_equals_plain(skewed, rows, keys, limit):
+def test_ntiles(skewed, rows, keys, limit):
     order, tiles = [F.asc("v"), F.desc("id")], {"t4": 4, "t10": 10, "t250": 250}
-    plain = W.with_ntile(skewed, keys, order, tiles)
-    split = W.with_ntile(skewed, keys, order, tiles, max_group_rows=limit)
+    plain = skewed.withColumns({n: F.ntile(t).over(native(keys, *order)) for n, t in tiles.items()})
+    split = W.with_ntile(skewed, keys, order, tiles, rows_per_task=limit)
     assert rows(plain, "id", *tiles) == rows(split, "id", *tiles)
 
 
 @CASES
-def test_neighbours_split_equals_plain(skewed, rows, keys, limit):
+def test_neighbours(skewed, rows, keys, limit):
     def build(w):
         return {
             "prev2": F.lag("w", 2).over(w),
@@ -118,24 +122,33 @@ def test_neighbours_split_equals_plain(skewed, rows, keys, limit):
         }
 
     order = [F.asc("v"), F.asc("id")]
-    plain = W.with_neighbours(skewed, keys, order, build, 2, 1)
-    split = W.with_neighbours(skewed, keys, order, build, 2, 1, max_group_rows=limit)
+    plain = skewed.withColumns(build(native(keys, *order)))
+    split = W.with_neighbours(skewed, keys, order, build, 2, 1, rows_per_task=limit)
     columns = ["id", "prev2", "next1", "low", "n"]
     assert rows(plain, *columns) == rows(split, *columns)
 
 
 @KEYED
-def test_range_totals_split_equals_plain(skewed, rows, limit):
+def test_range_totals_equal_the_native_frame_with_nulls(skewed, rows, limit):
+    some = skewed.withColumns(
+        {"v": F.when(F.col("id") % 4 > 0, F.col("v").cast("long")), "w": F.when(F.col("id") % 3 > 0, F.col("w"))}
+    )
     totals = {"s": F.col("w"), "n": F.lit(1)}
-    plain = W.with_range_totals(skewed, ["k"], "v", 3, "id", totals)
-    split = W.with_range_totals(skewed, ["k"], "v", 3, "id", totals, max_group_rows=limit)
+    frame = native(["k"], "v").rangeBetween(-3, 0)
+    plain = some.withColumns({n: F.sum(c).over(frame) for n, c in totals.items()})
+    split = W.with_range_totals(some, ["k"], "v", 3, "id", totals, rows_per_task=limit)
     assert rows(plain, "id", "s", "n") == rows(split, "id", "s", "n")
 
 
+def test_range_totals_of_nulls_alone(spark, rows):
+    df = spark.createDataFrame([("a", 1, None, 5), ("a", 2, None, 7), ("a", 3, 4, None)], "k string, id int, t long, x int")
+    assert rows(W.with_range_totals(df, ["k"], "t", 5, "id", {"s": F.col("x")}), "id", "s") == [(1, 12), (2, 12), (3, None)]
+
+
 @KEYED
-def test_peer_totals_split_equals_plain(skewed, rows, limit):
-    plain = W.with_peer_totals(skewed, ["k"], "v", {"s": F.col("w")})
-    split = W.with_peer_totals(skewed, ["k"], "v", {"s": F.col("w")}, max_group_rows=limit)
+def test_peer_totals(skewed, rows, limit):
+    plain = skewed.withColumn("s", F.sum("w").over(native(["k"], "v")))
+    split = W.with_peer_totals(skewed, ["k"], "v", {"s": F.col("w")}, rows_per_task=limit)
     assert rows(plain, "id", "s") == rows(split, "id", "s")
 
 
@@ -152,22 +165,25 @@ def test_zscore_undefined_for_single_and_constant_groups(spark, rows):
     assert scored == {"one1.0": None, "same2.0": None, "ok1.0": -0.707, "ok3.0": 0.707}
 
 
-def test_exact_quantiles_split_equals_plain(skewed):
+def test_exact_quantiles(skewed):
     shares = {"lo": 0.1, "mid": 0.5, "q": 0.75, "top": 1.0}
-    plain = exact_quantiles(skewed, "w", shares).first()
-    assert plain == exact_quantiles(skewed, "w", shares, max_group_rows=SMALL).first()
+    plain = skewed.agg(*[F.percentile("w", F.lit(p)).alias(n) for n, p in shares.items()]).first()
+    assert plain == exact_quantiles(skewed, "w", shares, rows_per_task=SMALL).first()
 
 
 @KEYED
 def test_chunks_hold_every_value_once(skewed, rows, limit):
-    chunks = collect_in_chunks(skewed, ["k"], "w", "id", 10, max_group_rows=limit)
+    chunks = collect_in_chunks(skewed, ["k"], "w", "id", 10, rows_per_task=limit)
     assert max(len(r["values"]) for r in chunks.collect()) == 10
     assert rows(chunks.select("k", F.explode("values"))) == rows(skewed, "k", "w")
-    sets = collect_set_in_chunks(skewed, ["k"], "v", 5, max_group_rows=limit)
+    sets = collect_set_in_chunks(skewed, ["k"], "v", 5, rows_per_task=limit)
     assert rows(sets.select("k", F.explode("values"))) == rows(skewed.select("k", "v").distinct())
-    whole = collect_in_chunks(skewed.filter("k = 'hot'"), ["k"], "w", "id", 1000, max_group_rows=limit)
+    whole = collect_in_chunks(skewed.filter("k = 'hot'"), ["k"], "w", "id", 1000, rows_per_task=limit)
     assert whole.count() == 1
 
 
-def test_summary_split_equals_plain(skewed, rows):
-    assert rows(summarise(skewed, ["v", "w"])) == rows(summarise(skewed, ["v", "w"], max_group_rows=SMALL))
+def test_summary_and_text_profile(skewed, rows):
+    got = rows(summarise(skewed, ["v", "w"], rows_per_task=SMALL), "column_name", "n", "q50")
+    assert got == [(c, 300, skewed.agg(F.percentile(c, F.lit(0.5))).first()[0]) for c in ("v", "w")]
+    (text,) = profile_text(skewed, ["k"]).collect()
+    assert (text["min"], text["max"], text["mean"]) == ("a", "hot", None) and text["n"] + text["n_null"] == 300
