@@ -10,8 +10,9 @@ retained values fewer than ``NEEDED`` (44 %) in common has a probability below
 1e-5, and an estimate below one half over 64 values one below 1e-7. Sets that have
 t of m values in common meet in the m - t + 1 rarest ones of each, so only those
 are listed; values that one document alone has are in no list. Within a list every
-document is first paired with the list's smallest one; then all pairs whose
-documents are still in different components are compared, however many these are.
+document is first paired with the list's smallest one, and estimates sort out most
+of these pairs. Then all pairs of a list whose documents are still in different
+components are compared by their full sets, in blocks, however many these are.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -28,10 +30,13 @@ from pyspark.sql import Window
 
 from loomwell.llm.common import bound_batches, written
 from loomwell.llm.graph import components
+from loomwell.operators.ordering import with_running_totals
 
 KEPT, LISTED, NEEDED = 64, 32, 0.44
 BROADCAST_IDS = 1_000_000  # eight bytes each
 CACHED_WORDS = 500_000
+# shingles in a block of a list, what a small set counts as, and columns of a matrix
+BLOCK_ITEMS, LEAST_WEIGHT, MATRIX_COLUMNS = 1 << 16, 128, 8192
 
 
 class WordHashes(dict):
@@ -172,6 +177,74 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
     )
 
 
+def forest(unit: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of one unit of work that join different components, at most one per component less one.
+
+    A unit holds the sets of one or two blocks; with two, only pairs across count.
+    Overlaps of all pairs are products of incidence matrices over shared shingles.
+    """
+    ids, blocks = unit["doc_id"].to_numpy(), unit["block"].to_numpy()
+    component = np.unique(unit["component"], return_inverse=True)[1]
+    sizes = unit["items"].map(len).to_numpy()
+    left, right = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+    owner = np.repeat(np.arange(len(unit)), sizes)
+    code, counts = np.unique(np.concatenate(unit["items"].to_list()), return_inverse=True, return_counts=True)[1:]
+    order = np.argsort(code, kind="stable")
+    order = order[counts[code[order]] > 1]
+    column = np.unique(code[order], return_inverse=True)[1]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
+        part = slice(*np.searchsorted(column, (low, low + MATRIX_COLUMNS)))
+        holds = np.zeros((len(unit), MATRIX_COLUMNS), np.float32)
+        holds[owner[order[part]], column[part] - low] = 1
+        both += holds[left] @ holds[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - both
+    a, b = np.nonzero((100 * both >= percent * union) & (component[left][:, None] != component[right][None, :]))
+    parent = list(range(int(component.max()) + 1))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for x, y in zip(left[a].tolist(), right[b].tolist()):
+        r, q = root(component[x]), root(component[y])
+        if r != q:
+            parent[r] = q
+            links.append((ids[x], ids[y]))
+    return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+
+
+def unsettled_links(texts: DataFrame, placed: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between documents of one list that are in different components.
+
+    The members of a list are ordered by component and cut into blocks of bounded
+    size, so the pairs of blocks that lie in one and the same component drop out.
+    Each pair of blocks that remains is one unit of work with the full sets.
+    """
+    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    members = written(placed.join(mixed.filter("low < high").select("value"), "value"), "minhash-open")
+    weight = F.greatest("n", F.lit(LEAST_WEIGHT))
+    cut = with_running_totals(members, ["value"], [F.col("component"), F.col("doc_id")], {"through": weight})
+    cut = written(
+        cut.select("value", "doc_id", "component", F.floor((F.col("through") - weight) / BLOCK_ITEMS).alias("block")),
+        "minhash-blocks",
+    )
+    spans = cut.groupBy("value", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    a, b = spans.alias("a"), spans.alias("b")
+    one_component = (F.col("a.low") == F.col("a.high")) & (F.col("b.low") == F.col("b.high")) & (F.col("a.low") == F.col("b.low"))
+    units = a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.block") <= F.col("b.block")) & ~one_component).select(
+        F.col("a.value").alias("value"),
+        F.col("a.block").alias("i"),
+        F.col("b.block").alias("j"),
+        F.explode(F.array_distinct(F.array("a.block", "b.block"))).alias("block"),
+    )
+    sets = written(full_sets(texts, members.select("doc_id").distinct(), size), "minhash-open-sets")
+    work = units.join(cut, ["value", "block"]).join(sets, "doc_id").select("value", "i", "j", "block", "doc_id", "component", "items")
+    return work.groupBy("value", "i", "j").applyInPandas(lambda unit: forest(unit, percent), "u long, v long")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -214,25 +287,7 @@ def near_duplicates(
         "component", F.coalesce("component", "doc_id")
     )
     placed = written(placed, "minhash-placed")
-    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_lists = written(
-        placed.join(mixed.filter("low < high").select("value"), "value").join(nodes.select("doc_id", "sketch"), "doc_id"),
-        "minhash-open",
-    )
-    a, b = open_lists.alias("a"), open_lists.alias("b")
-    rest = (
-        a.join(
-            b,
-            (F.col("a.value") == F.col("b.value"))
-            & (F.col("a.doc_id") < F.col("b.doc_id"))
-            & (F.col("a.component") != F.col("b.component"))
-            & alike(F.col("a.n"), F.col("b.n"), percent)
-            & (estimate(F.col("a.sketch"), F.col("b.sketch")) >= 0.5),
-        )
-        .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
-        .distinct()
-    )
-    more = confirmed(texts, nodes, written(rest, "minhash-rest"), size, percent)
+    more = unsettled_links(texts, placed, size, percent)
     same_id = filled.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("doc_id")
     ids = filled.join(same_id, "doc_id", "left_semi").join(classes, "digest").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     final = components(linked.union(more).union(ids))
