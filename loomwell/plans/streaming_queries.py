@@ -107,9 +107,10 @@ LATE_CUT = """
     """,
 )
 def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Later half of the time first: the earlier half is late by more than the watermark allows and is dropped.
+    """The later half of the time comes in two micro-batches, then the earlier half, too late by far.
 
-    The halves meet at a full hour, so no hourly window holds rows of both.
+    A micro-batch drops what is older than the watermark with which the one before
+    it ran. All portions meet at full hours, so no hourly window holds rows of two.
     """
     out = scratch_path(spark, "late")
     events = load(spark, d, "events")
@@ -118,7 +119,9 @@ def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
     if ends["low"] is None:
         return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
     middle = (ends["low"] + ends["high"]) // 2 // 3_600_000_000 * 3_600_000_000
-    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", [micros >= middle, micros < middle])
+    recent = (middle + ends["high"]) // 2 // 3_600_000_000 * 3_600_000_000
+    portions = [micros >= recent, (micros >= middle) & (micros < recent), micros < middle]
+    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", portions)
     hourly = windowed(with_event_time(feed, "ts"), "ts", "1 hour", ["event_type"], measures(), lateness="1 hour")
     sinks.to_batches(flat(hourly), f"{out}/rows", f"{out}/state", "update")
     latest = sinks.last_update(spark, f"{out}/rows", WINDOW_KEYS)
