@@ -73,6 +73,16 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.size(
         F.array_distinct(F.flatten(F.transform("d", lambda e: F.array(*[e["i"] + k for k in range(WINDOW)]))))
     )
+    measures = F.struct(
+        F.size("w").cast("long").alias("n_words"),
+        F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        (F.char_length("t") - F.char_length(F.regexp_replace("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.size("l").cast("long").alias("n_lines"),
+        (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
+        covered.cast("long").alias("n_repeat_words"),
+    )
+    # The measurements leave through a list of one: no later filter can then be
+    # moved below them, where it would evaluate the whole chain anew per list element.
     return (
         docs.select(F.struct("*").alias("row"), whole(F.col(text)).alias("t"))
         .select("row", "t", words(F.col("t")).alias("w"), lines.alias("l"))
@@ -80,17 +90,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         # most texts repeat no window: only the others are sorted
         .withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), ordered).otherwise(F.array().cast("array<struct<x:bigint,i:int>>")))
         .withColumn("d", twice)
-        .select(
-            "row",
-            F.struct(
-                F.size("w").cast("long").alias("n_words"),
-                F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
-                (F.char_length("t") - F.char_length(F.regexp_replace("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-                F.size("l").cast("long").alias("n_lines"),
-                (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
-                covered.cast("long").alias("n_repeat_words"),
-            ).alias("m"),
-        )
+        .select("row", F.explode(F.array(measures)).alias("m"))
     )
 
 
