@@ -144,19 +144,24 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same result; NULL ids count as one id, before all others.
     """
     gone = deleted_lines(docs, doc_id, text, min_words)
-    lines = F.split("_row." + text, "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    kept = F.array_join(F.transform(left, lambda j: F.get(lines, j)), "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")
+    kept = F.array_join(F.transform(left, lambda j: F.get("_lines", j)), "\n")
     cut = F.struct(
-        F.coalesce(F.size(lines), F.lit(0)).alias("lines"),
+        F.when(F.col("gone").isNull(), F.col("_row")[text]).otherwise(kept).alias("text"),
+        F.coalesce(F.size("_lines"), F.lit(0)).alias("lines"),
         F.coalesce(F.size("gone"), F.lit(0)).alias("deleted"),
-        F.col("_text").rlike(f"[^{BLANK[1:]}").alias("words_left"),
     )
+    # Through a list of one, so that no later filter moves below and splits the text once per line.
     return (
         docs.select(F.struct("*").alias("_row"), key_of(doc_id, text).alias("key"))
         .join(gone, "key", "left")
-        .withColumn("_text", F.when(F.col("gone").isNull(), F.col("_row." + text)).otherwise(kept))
-        .select("_row", "_text", cut.alias("_cut"))
+        .select("_row", "gone", F.split(F.col("_row")[text], "\n").alias("_lines"))
+        .select("_row", F.explode(F.array(cut)).alias("_c"))
+        .select(
+            "_row",
+            F.col("_c.text").alias("_text"),
+            F.struct("_c.lines", "_c.deleted", F.col("_c.text").rlike(f"[^{BLANK[1:]}").alias("words_left")).alias("_cut"),
+        )
     )
 
 
