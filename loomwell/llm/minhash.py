@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -177,30 +176,36 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
     )
 
 
-def forest(unit: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links of one unit of work that join different components, at most one per component less one.
-
-    A unit holds the sets of one or two blocks; with two, only pairs across count.
-    Overlaps of all pairs are products of incidence matrices over shared shingles.
-    """
-    ids, blocks = unit["doc_id"].to_numpy(), unit["block"].to_numpy()
-    component = np.unique(unit["component"], return_inverse=True)[1]
-    sizes = unit["items"].map(len).to_numpy()
-    left, right = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
-    owner = np.repeat(np.arange(len(unit)), sizes)
-    code, counts = np.unique(np.concatenate(unit["items"].to_list()), return_inverse=True, return_counts=True)[1:]
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shared items of every left and every right set, as products of incidence matrices."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    code, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
     order = np.argsort(code, kind="stable")
     order = order[counts[code[order]] > 1]
-    column = np.unique(code[order], return_inverse=True)[1]
     both = np.zeros((len(left), len(right)), np.float32)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
+    if not len(order):
+        return both
+    column = np.unique(code[order], return_inverse=True)[1]
+    for low in range(0, int(column[-1]) + 1, MATRIX_COLUMNS):
         part = slice(*np.searchsorted(column, (low, low + MATRIX_COLUMNS)))
-        holds = np.zeros((len(unit), MATRIX_COLUMNS), np.float32)
+        holds = np.zeros((len(sets), int(column[part][-1]) - low + 1), np.float32)
         holds[owner[order[part]], column[part] - low] = 1
         both += holds[left] @ holds[right].T
+    return both
+
+
+def forest(blocks: np.ndarray, ids: np.ndarray, components_of: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of one unit of work that join different components, at most one per component less one.
+
+    A unit holds the sets of one or two blocks; with two, only pairs across count.
+    """
+    component = np.unique(components_of, return_inverse=True)[1]
+    left, right = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+    sizes = np.array([len(s) for s in sets], np.float32)
+    both = overlaps(sets, left, right)
     union = sizes[left][:, None] + sizes[right][None, :] - both
     a, b = np.nonzero((100 * both >= percent * union) & (component[left][:, None] != component[right][None, :]))
-    parent = list(range(int(component.max()) + 1))
+    parent = list(range(len(ids)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -212,8 +217,45 @@ def forest(unit: pd.DataFrame, percent: int) -> pd.DataFrame:
         r, q = root(component[x]), root(component[y])
         if r != q:
             parent[r] = q
-            links.append((ids[x], ids[y]))
-    return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+            links.append((int(ids[x]), int(ids[y])))
+    return links
+
+
+LINKS = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
+
+
+def unit_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of all units in a partition whose rows are sorted by unit.
+
+    Columns: the unit (value, i, j), block, document, component, items. One unit
+    is held at a time, whose size the blocks bound.
+    """
+    held: list[tuple[np.ndarray, list[np.ndarray]]] = []
+
+    def close() -> list[tuple[int, int]]:
+        rows = np.concatenate([r for r, _ in held])
+        sets = [s for _, part in held for s in part]
+        held.clear()
+        return forest(rows[:, 3], rows[:, 4], rows[:, 5], sets, percent)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)], axis=1)
+        ends = batch.column(6).offsets.to_numpy()
+        flat = batch.column(6).values.to_numpy()
+        changes = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        found = []
+        if held and (held[-1][0][-1, :3] != rows[0, :3]).any():
+            found += close()
+        for low, high in zip([0, *changes.tolist()], [*changes.tolist(), len(rows)]):
+            if low:
+                found += close()
+            held.append((rows[low:high], [flat[ends[k] : ends[k + 1]].copy() for k in range(low, high)]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=LINKS.names)
+    if held and (found := close()):
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=LINKS.names)
 
 
 def unsettled_links(texts: DataFrame, placed: DataFrame, size: int, percent: int) -> DataFrame:
@@ -223,8 +265,18 @@ def unsettled_links(texts: DataFrame, placed: DataFrame, size: int, percent: int
     size, so the pairs of blocks that lie in one and the same component drop out.
     Each pair of blocks that remains is one unit of work with the full sets.
     """
-    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    members = written(placed.join(mixed.filter("low < high").select("value"), "value"), "minhash-open")
+    mixed = placed.groupBy("value").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        # two hashes of the member set: lists with the same members are compared once
+        F.struct(
+            F.count(F.lit(1)).alias("rows"),
+            F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+            F.bit_xor(F.xxhash64(F.lit("member"), "doc_id")).alias("y"),
+        ).alias("members"),
+    )
+    values = written(mixed.filter("low < high").groupBy("members").agg(F.min("value").alias("value")).select("value"), "minhash-mixed")
+    members = written(placed.join(values, "value"), "minhash-open")
     weight = F.greatest("n", F.lit(LEAST_WEIGHT))
     cut = with_running_totals(members, ["value"], [F.col("component"), F.col("doc_id")], {"through": weight})
     cut = written(
@@ -242,7 +294,8 @@ def unsettled_links(texts: DataFrame, placed: DataFrame, size: int, percent: int
     )
     sets = written(full_sets(texts, members.select("doc_id").distinct(), size), "minhash-open-sets")
     work = units.join(cut, ["value", "block"]).join(sets, "doc_id").select("value", "i", "j", "block", "doc_id", "component", "items")
-    return work.groupBy("value", "i", "j").applyInPandas(lambda unit: forest(unit, percent), "u long, v long")
+    unit = ["value", "i", "j"]
+    return work.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(lambda rows: unit_links(rows, percent), LINKS)
 
 
 def near_duplicates(
