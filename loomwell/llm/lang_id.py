@@ -102,7 +102,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict:
     np.add.at(counts, (table.column("bucket").to_numpy(), column), table.column("n").to_numpy())
     docs_of = np.zeros(len(names))
     np.add.at(docs_of, column, table.column("docs").to_numpy())
-    by_order = counts.reshape(len(ORDERS), -1, len(names))
+    by_order = counts.reshape(len(ORDERS), 1 << BUCKET_BITS, len(names))
     logs = np.log(by_order / by_order.sum(axis=1, keepdims=True)).reshape(size, len(names))
     return {"names": names, "logs": logs.astype(np.float32), "prior": np.log(docs_of / max(docs_of.sum(), 1))}
 

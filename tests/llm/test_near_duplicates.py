@@ -5,11 +5,11 @@ import re
 from hashlib import sha256
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from loomwell.llm import minhash, simhash
 from loomwell.llm.graph import components
-from pyspark.sql import functions as F
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -99,10 +99,14 @@ def long_hash(value):
 
 def print_of(text):
     words = WORD.findall(text)
+    if not words:
+        return [0, 0]
     terms = [word_hash(a, b) for a, b in zip(["", *words], words)]
     halves = []
     for hashes in (terms, [long_hash(t) for t in terms]):
-        halves.append(sum(1 << k for k in range(simhash.BITS) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes)))
+        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        votes = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+        halves.append(sum(1 << k for k in range(simhash.BITS) if votes[k]))
     return halves
 
 
