@@ -333,7 +333,11 @@ def reported(docs: DataFrame) -> DataFrame:
         return F.struct(kind.alias("kind"), parts(span)[1].cast("long").alias("start"), span.alias("span"))
 
     every = F.transform(F.sort_array(F.transform(F.concat("base", "added"), place)), lambda e: e["span"])
-    counts = [F.size(F.filter("base", lambda s, k=k: s.startswith(f"{k}:"))).cast("long").alias(f"n_{k}") for k in KINDS]
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
+    counts = [number(k) for k in KINDS]
     return personal_data(docs).select(
         "doc_id", *counts, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans")
     )
