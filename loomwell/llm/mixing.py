@@ -1,34 +1,46 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's rows are cut into blocks of equal row counts. Time runs in slots of one
-block. Per round of ``ROUND`` slots a source owns as many slots as its weight gives;
-block k of its c blocks in a round of L slots is released at floor(k L / c) and due
-at ceil((k + 1) L / c), and in each slot the released block with the earliest
-deadline runs. So a source is always less than one block away from its share. A
+block. In the ideal flow every source runs at the speed that its weight gives it among
+the sources that still have blocks: after virtual time v, source i with b blocks of
+weight w has got min(v w, b) of them, and the sum over all sources is the time in slots,
+T(v). Block k is released at floor(T(k / w)) and due at ceil(T((k + 1) / w)), and in each
+slot the released block with the earliest deadline runs. So a source is always less than
+one block away from its share in the flow, for any weights and until the last slot. A
 source that runs out leaves its slots to the others: no row is dropped or repeated.
+Weights are taken as the decimals they are written as, and all arithmetic is exact.
 
-A round depends only on how many blocks each source still has in it, and that
-changes at most twice per source. So the schedule is a short plan, made from the row
-counts of the sources; the rows look up their slots in it.
+While no source runs out, the schedule repeats after as many slots as the weights, as
+whole numbers in lowest terms, add up to. So the driver works out a plan of single blocks
+and repeated rounds from the row counts of the sources; the blocks are listed and joined
+to the rows in Spark.
 """
 
 from __future__ import annotations
 
-from math import ceil, floor
+from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heapify, heappop, heappush
+from itertools import batched
+from math import ceil, floor, gcd, lcm
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.operators.ordering import join_on_keys, position_by_range
+from loomwell.session import scratch_path
 
-ROUND = 240
+ROUND = 240  # slots in which shares are stated
 BLOCK_ROWS = 8
 MAX_SOURCES = ROUND
-PLAN = "source string, k long, pattern int, slot_in_round long, first_round long, starts_at long, length long"
+LONGEST = 1 << 20  # slots of a round that is looked for; longer ones are planned block by block
+PLAN_ROWS, REPEATS = 1 << 18, 1 << 16
+PLAN = "source string, block long, slot long, blocks long, slots long, rounds long"
 
 
 def round_slots(weights: list[float]) -> list[int]:
-    """Slots per round: one each, and the rest by weight with largest remainders."""
+    """Whole slots of a round, rounded: one each, and the rest by weight with largest remainders."""
     spare, total = ROUND - len(weights), sum(weights)
     exact = [spare * w / total for w in weights]
     slots = [1 + floor(x) for x in exact]
@@ -38,36 +50,140 @@ def round_slots(weights: list[float]) -> list[int]:
     return slots
 
 
+def whole_weights(weights: list[float]) -> list[int]:
+    """Whole numbers in the same proportion as the weights, in lowest terms."""
+    exact = [Fraction(str(w)) for w in weights]
+    if min(exact) <= 0:
+        raise ValueError("weights must be above 0")
+    scale = lcm(*(w.denominator for w in exact))
+    numbers = [int(w * scale) for w in exact]
+    common = gcd(*numbers)
+    return [n // common for n in numbers]
+
+
+class Flow:
+    """The ideal flow: T(v) is a line between the times at which sources run out."""
+
+    def __init__(self, blocks: list[int], weights: list[int]):
+        self.weights = weights
+        self.by_end = sorted(range(len(blocks)), key=lambda i: Fraction(blocks[i], weights[i]))
+        self.ends: list[Fraction] = []
+        self.gone, self.speed, self.left = [0], [sum(weights)], [0]
+        for at, i in enumerate(self.by_end, 1):
+            end = Fraction(blocks[i], weights[i])
+            if self.ends and self.ends[-1] == end:
+                self.gone[-1] += blocks[i]
+                self.speed[-1] -= weights[i]
+                self.left[-1] = at
+            else:
+                self.ends.append(end)
+                self.gone.append(self.gone[-1] + blocks[i])
+                self.speed.append(self.speed[-1] - weights[i])
+                self.left.append(at)
+        self.phase = [0] * len(blocks)
+
+    def time(self, i: int, k: int) -> tuple[int, int]:
+        """T(k / w) of source i as a fraction of whole numbers; k must not fall between the calls for a source."""
+        w, p = self.weights[i], self.phase[i]
+        end = self.ends[p]
+        if k * end.denominator > end.numerator * w:
+            p = self.phase[i] = bisect_left(self.ends, Fraction(k, w), p)
+        return self.gone[p] * w + k * self.speed[p], w
+
+    def release(self, i: int, k: int) -> int:
+        over, w = self.time(i, k)
+        return over // w
+
+    def due(self, i: int, k: int) -> int:
+        over, w = self.time(i, k + 1)
+        return -(-over // w)
+
+
+def schedule(blocks: list[int], weights: list[int]) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """Source, block and slot, then how many blocks and slots later the same holds, and how often, itself included.
+
+    A source has at least one block. A round is repeated once the sources stand at its
+    end as at its start, as far as all its deadlines come before a source runs out.
+    """
+    flow = Flow(blocks, weights)
+    total, done, slot = sum(blocks), [0] * len(blocks), 0
+    waiting: list[tuple[int, int]] = [(0, i) for i in range(len(blocks))]
+    ready: list[tuple[int, int]] = []
+
+    def run(until: int) -> Iterator[tuple[int, int, int]]:
+        nonlocal slot
+        while slot < until:
+            while waiting and waiting[0][0] <= slot:
+                i = heappop(waiting)[1]
+                heappush(ready, (flow.due(i, done[i]), i))
+            i = heappop(ready)[1]
+            yield i, done[i], slot
+            slot += 1
+            done[i] += 1
+            if done[i] < blocks[i]:
+                heappush(waiting, (flow.release(i, done[i]), i))
+
+    for p, end in enumerate(flow.ends):
+        ends_at = flow.gone[p] + end * flow.speed[p]
+        active = flow.by_end[flow.left[p] :]
+        common = 0
+        # a round has at least one slot per active source
+        if floor(ends_at) - slot >= 5 * len(active):
+            common = gcd(*(weights[i] for i in active))
+        length = flow.speed[p] // common if common else 0
+        while 0 < length <= LONGEST and floor(ends_at) - slot >= 5 * length:
+            start, before = slot, {i: done[i] for i in active}
+            held = list(run(slot + length))
+            if any(done[i] - before[i] != weights[i] // common for i in active):
+                yield from ((*x, 0, 0, 1) for x in held)
+                continue
+            rounds = (floor(ends_at) - start) // length - 3
+            yield from ((i, k, s, weights[i] // common, length, rounds) for i, k, s in held)
+            slot = start + rounds * length
+            for i in active:
+                done[i] = before[i] + rounds * (weights[i] // common)
+            waiting[:] = [(flow.release(i, done[i]), i) for i in active]
+            ready.clear()
+            heapify(waiting)
+            break
+        yield from ((*x, 0, 0, 1) for x in run(min(total, ceil(ends_at))))
+
+
 def earliest_deadline_first(counts: list[int]) -> list[int]:
-    """Which source runs in each slot of a round in which source i has ``counts[i]`` blocks."""
-    length, done, out = sum(counts), [0] * len(counts), []
-    for slot in range(length):
-        ready = [
-            (-(-(done[i] + 1) * length // c), i)
-            for i, c in enumerate(counts)
-            if done[i] < c and done[i] * length // c <= slot
-        ]
-        chosen = min(ready)[1]
-        done[chosen] += 1
-        out.append(chosen)
+    """Which source runs in each slot if source i has ``counts[i]`` blocks and that weight."""
+    out = [0] * sum(counts)
+    for i, _, slot, _, slots, rounds in schedule(counts, whole_weights(counts)):
+        for r in range(rounds):
+            out[slot + r * slots] = i
     return out
 
 
-def plan(sources: list[tuple[str | None, int]], weights: dict[str, float], default: float, block_rows: int) -> tuple[list[tuple], list[int], dict]:
-    """The plan's rows, the rounds at which a new pattern begins, and the slots a round gives to each source."""
+def plan(
+    sources: list[tuple[str | None, int]], weights: dict[str, float], default: float, block_rows: int
+) -> tuple[Iterator[tuple], int, dict]:
+    """The plan's rows, the number of blocks, and the exact part of ``ROUND`` slots that each source is to get."""
     names = [n for n, _ in sources]
     blocks = [ceil(rows / block_rows) for _, rows in sources]
-    slots = round_slots([weights.get(n, default) for n in names])
-    edges = sorted({0, *(b // a for b, a in zip(blocks, slots)), *(ceil(b / a) for b, a in zip(blocks, slots))})
-    rows = []
-    for pattern, first in enumerate(edges):
-        counts = [max(0, min(a, b - first * a)) for a, b in zip(slots, blocks)]
-        starts_at = sum(min(b, first * a) for a, b in zip(slots, blocks))
-        seen = [0] * len(names)
-        for at, i in enumerate(earliest_deadline_first(counts)):
-            rows.append((names[i], seen[i], pattern, at, first, starts_at, sum(counts)))
-            seen[i] += 1
-    return rows, edges, dict(zip(names, slots))
+    numbers = whole_weights([weights.get(n, default) for n in names])
+
+    def rows() -> Iterator[tuple]:
+        for i, block, slot, step, slots, rounds in schedule(blocks, numbers):
+            for r in range(0, rounds, REPEATS):
+                yield names[i], block + r * step, slot + r * slots, step, slots, min(REPEATS, rounds - r)
+
+    return rows(), sum(blocks), {n: Fraction(ROUND * w, sum(numbers)) for n, w in zip(names, numbers)}
+
+
+def plan_table(spark: SparkSession, lines: Iterator[tuple]) -> DataFrame:
+    """The plan as a table; a long one is written in parts, so that the driver holds one part at a time."""
+    parts = batched(lines, PLAN_ROWS)
+    table, path = spark.createDataFrame(next(parts), PLAN), None
+    for part in parts:
+        if path is None:
+            path = scratch_path(spark, "mixing-plan")
+            table.write.parquet(path)
+        spark.createDataFrame(part, PLAN).write.mode("append").parquet(path)
+    return spark.read.parquet(path) if path else table
 
 
 def mixed(
@@ -89,30 +205,28 @@ def mixed(
     placed = position_by_range(rows, ["source"], [F.col(c) for c in order], "nth")
     sizes = placed.groupBy("source").agg(F.max("nth").alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"a round of {ROUND} slots serves at most {MAX_SOURCES} sources")
+        raise ValueError(f"at most {MAX_SOURCES} sources")
     if not sizes:
         return rows.selectExpr("*", "0L AS block", "0L AS slot", "0L AS in_block")
     found = sorted(((r["source"], r["rows"]) for r in sizes), key=lambda x: (x[0] is not None, x[0] or ""))
-    lines, edges, slots = plan(found, weights or {}, default, block_rows)
-    per_round = F.lit(slots.get(None, 1))
-    for name, count in slots.items():
-        if name is not None:
-            per_round = F.when(F.col("source") == name, F.lit(count)).otherwise(per_round)
-    table = spark.createDataFrame(lines, PLAN)  # at most (2 * sources + 1) * ROUND rows
-    round_no = F.floor(F.col("block") / per_round)
-    keyed = placed.withColumn("block", F.floor((F.col("nth") - 1) / block_rows)).withColumns(
-        {
-            "round": round_no,
-            "k": F.col("block") % per_round,
-            "pattern": F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= round_no)) - 1,
-        }
+    lines, _, _ = plan(found, weights or {}, default, block_rows)
+    # one row per block
+    places = (
+        plan_table(spark, lines)
+        .repartition("source", "block")
+        .withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rounds") - 1)))
+        .select(
+            "source",
+            (F.col("block") + F.col("r") * F.col("blocks")).alias("block"),
+            (F.col("slot") + F.col("r") * F.col("slots")).alias("slot"),
+        )
     )
-    in_round = (F.col("round") - F.col("first_round")) * F.col("length") + F.col("slot_in_round")
-    return join_on_keys(keyed, F.broadcast(table), ["source", "k", "pattern"]).select(
+    keyed = placed.withColumn("block", F.floor((F.col("nth") - 1) / block_rows))
+    return join_on_keys(keyed, places, ["source", "block"]).select(
         *order,
         "source",
         "block",
-        (F.col("starts_at") + in_round).alias("slot"),
+        "slot",
         ((F.col("nth") - 1) % block_rows + 1).alias("in_block"),
     )
 

@@ -55,6 +55,52 @@ def test_mixed_order(spark):
     assert mixing.mixed(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "weights", [[1] * 7, [1] * 21, [90] + [1] * 100, [0.5, 0.25, 100], [0.1, 0.7, 13.37], [120, 60, 30, 29, 1]]
+)
+def test_lag_against_the_given_weights(spark, weights):
+    """Many rounds, in Spark, measured against the weights and not against whole slots."""
+    named = {f"s{k:03}": w for k, w in enumerate(weights)}
+    shares = [max(3, int(6000 * w / sum(weights))) for w in weights]
+    rows = [(k, s) for s, n in zip(named, shares) for k in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mixed(frame, named, ("doc_id",), block_rows=1).orderBy("slot").collect()
+    assert [r["slot"] for r in got] == list(range(len(rows)))
+    total = sum(map(mixing.Fraction, map(str, weights)))
+    exact = {s: mixing.Fraction(str(w)) for s, w in named.items()}
+    until = int(min(n * total / exact[s] for s, n in zip(named, shares)))
+    done = Counter()
+    for t, r in enumerate(got[:until], 1):
+        done[r["source"]] += 1
+        assert all(abs(done[s] - t * w / total) < 1 for s, w in exact.items())
+
+
+def test_lag_after_sources_have_run_out():
+    rnd = random.Random(8)
+    for _ in range(100):
+        weights = mixing.whole_weights([rnd.choice([1, 1, 3, 0.5, 7, 100]) for _ in range(rnd.randint(1, 8))])
+        blocks = [rnd.choice([1, 5, 30, 300]) + rnd.randrange(5) for _ in weights]
+        order = [None] * sum(blocks)
+        for i, block, slot, step, slots, rounds in mixing.schedule(blocks, weights):
+            for r in range(rounds):
+                assert order[slot + r * slots] is None
+                order[slot + r * slots] = i, block + r * step
+        done = [0] * len(blocks)
+        shares, left = [mixing.Fraction(0)] * len(blocks), set(range(len(blocks)))
+        for i, block in order:
+            assert block == done[i]
+            done[i] += 1
+            room = mixing.Fraction(1)
+            while room and left:  # one slot of the ideal flow, source after source running out
+                speed = sum(weights[j] for j in left)
+                step = min(room / speed, *((blocks[j] - shares[j]) / weights[j] for j in left))
+                for j in left:
+                    shares[j] += step * weights[j]
+                room -= step * speed
+                left = {j for j in left if shares[j] < blocks[j]}
+            assert all(abs(d - s) < 1 for d, s in zip(done, shares))
+
+
 def test_stored_order(spark):
     rows = [(k, f"s{k % 4}", f"t {k}", k) for k in range(400)] + [(5, "s1", "t 5", 5)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, text string, _place long")
