@@ -101,6 +101,15 @@ def test_lag_after_sources_have_run_out():
             assert all(abs(d - s) < 1 for d, s in zip(done, shares))
 
 
+def test_many_sources(spark):
+    rows = [(k, f"site{k % 700}") for k in range(5000)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, source string"), {"site1": 2.5}, block_rows=2).collect()
+    assert sorted((r["doc_id"], r["source"]) for r in got) == rows
+    blocks = {r["slot"]: (r["source"], r["block"]) for r in got}
+    assert sorted(blocks) == list(range(len(blocks))) and len(set(blocks.values())) == len(blocks)
+    assert Counter(blocks[s][0] for s in range(701))["site1"] in (2, 3)
+
+
 def test_stored_order(spark):
     rows = [(k, f"s{k % 4}", f"t {k}", k) for k in range(400)] + [(5, "s1", "t 5", 5)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, text string, _place long")
