@@ -2,11 +2,11 @@
 
 Two variable-order Markov models, one of accepted and one of rejected URLs, are
 counted from the URLs that the rules decide. A character's probability blends its
-counts after the longest kept context with the next shorter one (Witten-Bell). A
-context is kept as far as at least one in ``SHARE`` characters of its class stands
-after it, so at most SHARE contexts per order exist, however much text was counted.
-The score is the difference of the two log likelihoods per character; the threshold
-is calibrated on decided URLs that the counts did not see.
+counts after the longest context seen with the next shorter one (Witten-Bell). All
+counts stay, in a table: the distinct grams of the URLs to score are joined to it, one
+order after the other. Frequent grams (at most ``SHARE``) are broadcast to the scoring,
+the rest is joined. The score is the difference of the two log likelihoods per
+character; the threshold is calibrated on decided URLs that the counts did not see.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwell.llm.common import bound_batches, whole
+from loomwell.llm.common import bound_batches, whole, written
 
 # (verdict, host and path): a rule holds for the host and its subdomains
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 ORDER = 4
-SHARE = 1 << 16
+SHARE = 1 << 16  # a gram is broadcast if at least one in so many is equal to it
+UNIT = 1 << 40  # log likelihoods are added up as whole numbers, so that order does not matter
 ALPHABET = 128
 BINS, SPAN = 400, 8.0  # scores between -SPAN and SPAN
 HELD_OUT = 5  # one in so many decided URLs calibrates
@@ -33,12 +34,12 @@ HELD_OUT = 5  # one in so many decided URLs calibrates
 GRAMS = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())]
 )
-SCORES = T.StructType(
+PARTS = T.StructType(
     [
-        T.StructField("page_id", T.LongType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("score", T.DoubleType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("gram", T.StringType()),
+        T.StructField("times", T.LongType()),
+        T.StructField("held", T.LongType()),
     ]
 )
 
@@ -75,8 +76,8 @@ def symbols(url: str) -> str:
     return "\x01" * ORDER + "".join(c if c < "\x7f" else "\x7f" for c in url.lower())
 
 
-def grams(decided: DataFrame) -> DataFrame:
-    """``kind``, ``gram`` and ``n``: the counts of contexts with their next character, for every order."""
+def grams(decided: DataFrame, least: int = 0) -> DataFrame:
+    """``kind``, ``gram`` and ``n``: the counts of contexts with their next character, for every order from ``least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,7 +85,7 @@ def grams(decided: DataFrame) -> DataFrame:
             for kind, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held, text = sums.setdefault(kind, Counter()), symbols(url)
                 for k in range(ORDER, len(text)):
-                    held.update([text[k - o : k + 1] for o in range(ORDER + 1)])
+                    held.update([text[k - o : k + 1] for o in range(least, ORDER + 1)])
             for kind, held in sums.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([kind] * len(held)), pa.array(list(held)), pa.array(list(held.values()), pa.int64())],
@@ -95,34 +96,90 @@ def grams(decided: DataFrame) -> DataFrame:
     return decided.select("kind", "url").mapInArrow(run, GRAMS).groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(decided: DataFrame) -> dict[str, dict[str, tuple[int, int, dict[str, int]]]]:
-    """For each class: context -> (characters after it, different ones, counts of the kept ones).
+def model_table(decided: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``gram`` and ``value``: log likelihood as accepted less that as rejected, in ``UNIT``, for all wanted grams.
 
-    Contexts and successors below the share are summed into their context's totals
-    before anything leaves Spark; at most ORDER + 1 times SHARE rows a class remain.
+    A context has at most ALPHABET different successors, so no join here has a hot key.
     """
-    counted = grams(decided)
-    totals = {r["kind"]: r["n"] for r in counted.filter(F.length("gram") == 1).groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    least = F.lit(1)
-    for kind, n in totals.items():
-        least = F.when(F.col("kind") == kind, F.lit(max(1, -(-n // SHARE)))).otherwise(least)
+    kinds = ("allow", "block")
+    counts = {k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)) for k in kinds}
+    counted = written(grams(decided).groupBy("gram").agg(*[c.alias(k) for k, c in counts.items()]), "url-grams")
     context = F.expr("left(gram, length(gram) - 1)")
-    after = F.struct(F.expr("right(gram, 1)").alias("c"), "n")
-    kept = (
-        counted.withColumns({"least": least, "context": context})
-        .groupBy("kind", "context", "least")
-        .agg(
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("types"),
-            # at most ALPHABET entries
-            F.collect_list(F.when(F.col("n") >= F.col("least"), after)).alias("next"),
+    sums = [F.sum(k).alias(f"{k}_n") for k in kinds] + [F.count_if(F.col(k) > 0).alias(f"{k}_types") for k in kinds]
+    contexts = counted.groupBy(context.alias("context")).agg(*sums)
+    tails = F.explode(F.array(*[F.expr(f"right(gram, {o + 1})") for o in range(ORDER + 1)]))
+    asked = wanted.select(tails.alias("gram")).distinct().withColumn("context", context)
+    facts = written(asked.join(counted, "gram", "left").join(contexts, "context", "left"), "url-facts")
+
+    def blended(k: str, lower: Column) -> Column:
+        n, types = F.col(f"{k}_n"), F.col(f"{k}_types")
+        return F.when(n > 0, (F.coalesce(k, F.lit(0)) + types * lower) / (n + types)).otherwise(lower)
+
+    at = facts.filter(F.length("gram") == 1).select("gram", *[blended(k, F.lit(1 / ALPHABET)).alias(f"{k}_p") for k in kinds])
+    for o in range(1, ORDER + 1):
+        longer = facts.filter(F.length("gram") == o + 1).withColumn("tail", F.expr(f"right(gram, {o})"))
+        at = longer.join(at.withColumnRenamed("gram", "tail"), "tail").select(
+            "gram", *[blended(k, F.col(f"{k}_p")).alias(f"{k}_p") for k in kinds]
         )
-        .filter(F.col("n") >= F.col("least"))
-        .select("kind", "context", "n", "types", "next")
+    return at.select("gram", F.round((F.log("allow_p") - F.log("block_p")) * UNIT).cast("long").alias("value"))
+
+
+def url_key(url: Column) -> Column:
+    return F.md5(whole(url).cast("binary"))
+
+
+def scored(pages: DataFrame, decided: DataFrame) -> DataFrame:
+    """``key`` and ``score`` of every distinct URL that is not empty, by the models of the decided ones."""
+    urls = written(pages.filter("url <> ''").select("url").distinct(), "urls")
+    wanted = written(grams(urls.select(F.lit("").alias("kind"), "url"), ORDER).select("gram", "n"), "url-wanted")
+    values = written(wanted.join(model_table(decided, wanted), "gram"), "url-values")
+    total = values.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = F.col("n") >= max(1, -(-total // SHARE))
+    hot = {r["gram"]: r["value"] for r in values.filter(often).select("gram", "value").collect()}  # at most SHARE
+    held = pages.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known, out = held.value, []
+            for key, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                text, rest, here = symbols(url), Counter(), 0
+                for k in range(ORDER, len(text)):
+                    value = known.get(gram := text[k - ORDER : k + 1])
+                    if value is None:
+                        rest[gram] += 1
+                    else:
+                        here += value
+                # a URL's own sum goes under its key, which no gram equals
+                out.append((key, key, 1, here))
+                out += [(key, gram, n, None) for gram, n in rest.items()]
+            columns = zip(*out) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=PARTS.names
+            )
+
+    bound_batches(pages.sparkSession)
+    parts = urls.select(url_key(F.col("url")), "url").mapInArrow(run, PARTS)
+    summed = (
+        parts.join(values.filter(~often).select("gram", "value"), "gram", "left")
+        .groupBy("key")
+        .agg(F.sum(F.coalesce("held", F.col("times") * F.col("value"))).alias("sum"))
     )
+    lengths = urls.select(url_key(F.col("url")).alias("key"), F.char_length("url").alias("chars"))
+    return written(summed.join(lengths, "key").select("key", (F.col("sum") / F.lit(float(UNIT)) / F.col("chars")).alias("score")), "url-scores")
+
+
+def with_scores(rows: DataFrame, scores: DataFrame) -> DataFrame:
+    """Add ``score``, 0 for an empty URL."""
+    keyed = rows.withColumn("key", url_key(F.col("url")))
+    return keyed.join(scores, "key", "left").withColumn("score", F.coalesce("score", F.lit(0.0))).drop("key")
+
+
+def train(decided: DataFrame) -> dict[str, dict[str, tuple[int, int, dict[str, int]]]]:
+    """The models of a small table as plain values, to check scores by: context -> (characters, different ones, counts)."""
     models: dict = {kind: {} for kind in ("allow", "block")}
-    for r in kept.collect():
-        models[r["kind"]][r["context"]] = (r["n"], r["types"], {x["c"]: x["n"] for x in r["next"]})
+    for r in grams(decided).collect():
+        n, types, following = models[r["kind"]].get(r["gram"][:-1], (0, 0, {}))
+        models[r["kind"]][r["gram"][:-1]] = (n + r["n"], types + 1, following | {r["gram"][-1]: r["n"]})
     return models
 
 
@@ -148,18 +205,6 @@ def score(url: str | None, models: dict) -> float:
     return (log_likelihood(text, models["allow"]) - log_likelihood(text, models["block"])) / len(url)
 
 
-def scored(pages: DataFrame, models: dict) -> DataFrame:
-    held = pages.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [score(u, held.value) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores, pa.float64())], names=SCORES.names)
-
-    bound_batches(pages.sparkSession)
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "kind").mapInArrow(run, SCORES)
-
-
 def calibrate(known: DataFrame) -> float:
     """The threshold with the best mean of both classes' accuracy on scored, decided URLs; 0 without both classes."""
     width = 2 * SPAN / BINS
@@ -189,7 +234,9 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> Data
     """
     rows = ruled(pages.select("page_id", "url"), rules)
     decided = rows.filter("kind IS NOT NULL").withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)))
-    models = train(decided.filter("fold > 0"))
-    threshold = calibrate(scored(decided.filter("fold = 0"), models))
+    scores = scored(rows, decided.filter("fold > 0"))
+    threshold = calibrate(with_scores(decided.filter("fold = 0"), scores))
     verdict = F.coalesce("kind", F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")))
-    return ruled(scored(rows, models).drop("kind"), rules).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
+    return with_scores(rows, scores).select(
+        F.col("page_id").cast("long").alias("page_id"), "host", "path", "rule", verdict.alias("verdict"), "score"
+    )

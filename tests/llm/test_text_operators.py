@@ -9,6 +9,7 @@ import pytest
 from compare import connect, differences
 from loomwell.llm import lang_id, line_dedup, pii, quality, url_filter
 from loomwell.llm.queries import ORACLES, QUERIES
+from pyspark.sql import functions as F
 
 
 def test_quality_equals_its_sql(spark, sf):
@@ -208,3 +209,22 @@ def test_url_models_are_distributions(spark):
         text = "\x01" * 0 + context.rjust(4, "\x01")
         total = sum(exp(url_filter.log_likelihood(text[-4:] + chr(c), model)) for c in range(128))
         assert total == pytest.approx(1, abs=1e-9)
+
+
+def test_url_models_keep_rare_grams(spark):
+    """Over 65,536 characters a class, URLs seen once still count in full, and scores equal the plain ones."""
+    urls = [f"http://h{k % 900}.org/fr/{k * 7919 % 100_003}" for k in range(4000)]
+    urls += [f"http://g{k % 700}.net/{k * 104_729 % 99_991}" for k in range(4000)]
+    rare = "http://quokka.org/fr/zyxw"
+    urls += [f"{rare}{k}" for k in range(3)] + ["http://quokka.com/zyxw", "http://zebra.com/", None, "", "http://zebra.com/"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_filter.judged(frame).collect()
+    assert sorted(r["page_id"] for r in rows) == list(range(len(urls)))
+    fold = F.pmod(F.xxhash64("url"), F.lit(url_filter.HELD_OUT))
+    models = url_filter.train(url_filter.ruled(frame).filter("kind IS NOT NULL").filter(fold > 0))
+    assert models["allow"][""][0] > url_filter.SHARE and "zyxw" in models["allow"]
+    for r in rows[::97] + rows[-9:]:
+        assert r["score"] == pytest.approx(url_filter.score(urls[r["page_id"]], models), abs=1e-9)
+    by = {r["page_id"]: r["score"] for r in rows}
+    for k in range(len(urls) - 8, len(urls)):
+        assert by[k] == pytest.approx(url_filter.score(urls[k], models), abs=1e-9)
