@@ -73,7 +73,7 @@ def dealt_feed(spark: SparkSession, rows: DataFrame, path: str, portions: list[C
 
 
 def in_event_order(rows: DataFrame, ts: str, batches: int) -> list[Column]:
-    """Conditions that cut rows into portions of about equal size along the time ``ts``."""
+    """Conditions that cut rows into portions of about equal size along the time ``ts``; rows without a time come first."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     shares = [k / batches for k in range(1, batches)]
     cuts = rows.agg(F.percentile_approx(micros, F.array(*map(F.lit, shares)))).first()[0]
@@ -81,7 +81,7 @@ def in_event_order(rows: DataFrame, ts: str, batches: int) -> list[Column]:
         return [F.lit(True)]
     edges = sorted(set(cuts))
     inner = [(micros > low) & (micros <= high) for low, high in zip(edges, edges[1:])]
-    return [micros <= edges[0], *inner, micros > edges[-1]]
+    return [micros.isNull() | (micros <= edges[0]), *inner, micros > edges[-1]]
 
 
 def with_event_time(df: DataFrame, ts: str) -> DataFrame:

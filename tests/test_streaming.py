@@ -11,7 +11,7 @@ from loomwell.session import scratch_path
 from loomwell.sources.tables import EVENTS
 from loomwell.streaming import sinks
 from loomwell.streaming.event_time import sensor_readings, windowed
-from loomwell.streaming.feeds import file_feed, rate_feed, stream_session
+from loomwell.streaming.feeds import file_feed, in_event_order, rate_feed, stream_session
 
 READING = "ts timestamp, sensor string, temp double"
 
@@ -181,3 +181,11 @@ def test_streaming_sort_is_rejected_outside_complete_mode(spark, base):
     drop_file(spark, f"{base}/in", "1", [("2024-01-01 00:00:10", "A", 1.0)], 300)
     with pytest.raises(Exception, match="(?i)sort"):
         sinks.to_files(feed(spark, base).orderBy("ts"), f"{base}/out", f"{base}/state")
+
+
+def test_portions_hold_every_row_once(spark):
+    frame = spark.sql("SELECT id, CASE WHEN id % 5 > 0 THEN timestamp_micros(id * 1000003) END AS ts FROM range(100)")
+    portions = in_event_order(frame, "ts", 4)
+    ids = [[r["id"] for r in frame.filter(p).collect()] for p in portions]
+    assert len(ids) == 4 and sorted(sum(ids, [])) == list(range(100))
+    assert {k for k in range(0, 100, 5)} <= set(ids[0])
