@@ -123,11 +123,14 @@ def block_tables(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.select("*", F.inline(F.array(*rows)))
 
 
-def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """How many rows of ``prints`` lie within ``radius`` bits of each query fingerprint.
+def pairs_within(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Query fingerprints (``a``, ``b``) with each fingerprint of ``prints`` (``found_a``, ``found_b``) within
+    ``radius`` bits, their ``distance`` and the ``rows`` of ``prints`` that hold the found one.
 
     Both hold ``a`` and ``b``. Equal fingerprints are counted first and searched
-    once; a pair is emitted by the first table in which it meets only.
+    once; a pair is emitted by the first table in which it meets only. Join the
+    found fingerprints to those of the documents for the documents: copies are not
+    expanded here.
     """
     if not 0 <= radius < BLOCKS:
         raise ValueError(f"the radius must lie between 0 and {BLOCKS - 1}")
@@ -142,9 +145,21 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -
     meet = F.col("q.table") == F.col("p.table")
     for k in range(BLOCKS - radius):
         meet = meet & (F.col(f"q.k{k}") == F.col(f"p.k{k}"))
-    near = distance(F.col("q.a"), F.col("q.b"), F.col("p.a"), F.col("p.b")) <= radius
-    pairs = asked.alias("q").join(counted.alias("p"), meet & near & (F.col("q.table") == first))
-    return pairs.groupBy(F.col("q.a").alias("a"), F.col("q.b").alias("b")).agg(F.sum("p.rows").alias("rows"))
+    apart = distance(F.col("q.a"), F.col("q.b"), F.col("p.a"), F.col("p.b"))
+    pairs = asked.alias("q").join(counted.alias("p"), meet & (apart <= radius) & (F.col("q.table") == first))
+    return pairs.select(
+        F.col("q.a").alias("a"),
+        F.col("q.b").alias("b"),
+        F.col("p.a").alias("found_a"),
+        F.col("p.b").alias("found_b"),
+        apart.cast("long").alias("distance"),
+        F.col("p.rows").alias("rows"),
+    )
+
+
+def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """How many rows of ``prints`` lie within ``radius`` bits of each query fingerprint."""
+    return pairs_within(prints, queries, radius).groupBy("a", "b").agg(F.sum("rows").alias("rows"))
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

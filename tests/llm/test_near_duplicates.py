@@ -149,6 +149,16 @@ def test_radius_search_finds_every_pair(spark):
     assert got == {p: sum(near(p, q) for q in rows) for p in rows}
 
 
+def test_radius_search_names_what_it_finds(spark):
+    rows = [(0, 0), (1, 0), (1, 0), (3, 1), (15, 0), (1 << 62, 1 << 62), (7, 1)]
+    asked = [(0, 0), (1 << 62, 1 << 62), (0, 0)]
+    frame, queries = (spark.createDataFrame(x, "a long, b long") for x in (rows, asked))
+    got = [tuple(r) for r in simhash.pairs_within(frame, queries).collect()]
+    apart = lambda p, q: (p[0] ^ q[0]).bit_count() + (p[1] ^ q[1]).bit_count()
+    pairs = {(*p, *q, apart(p, q), rows.count(q)) for p in asked for q in rows if apart(p, q) <= simhash.RADIUS}
+    assert len(got) == len(pairs) and set(got) == pairs
+
+
 def test_simhash_odd_rows(spark):
     docs = [(5, None), (1, ""), (9, "a b c d"), (9, "a b c d"), (None, "solo"), (7, "😀é " * 3000)]
     frame = spark.createDataFrame([(*d, "k") for d in docs], "doc_id long, text string, key string")
