@@ -32,6 +32,7 @@ from loomwell.llm.graph import components
 from loomwell.operators.ordering import with_running_totals
 
 KEPT, LISTED, NEEDED = 64, 32, 0.44
+LEAST_PERCENT = 80  # NEEDED and the limit of the estimate lose links below it
 BROADCAST_IDS = 1_000_000  # eight bytes each
 CACHED_WORDS = 500_000
 # shingles in a block of a list, what a small set counts as, and columns of a matrix
@@ -308,7 +309,10 @@ def near_duplicates(
     has no shingle and no link. A NULL id is linked with nothing, has a NULL
     component and is kept. Rows with one id are one node: equal rows come back as
     often as they came. Other columns are ignored, whatever their names.
+    A ``percent`` below LEAST_PERCENT is refused.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must lie between {LEAST_PERCENT} and 100")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     drawn = written(sketches(rows, size), "minhash-sketches")
     filled = drawn.filter("n > 0 AND doc_id IS NOT NULL")

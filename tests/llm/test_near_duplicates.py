@@ -149,6 +149,12 @@ def test_radius_search_finds_every_pair(spark):
     assert got == {p: sum(near(p, q) for q in rows) for p in rows}
 
 
+@pytest.mark.parametrize("percent", [50, 79, 101])
+def test_percents_that_would_lose_links_are_refused(spark, percent):
+    with pytest.raises(ValueError, match="percent"):
+        minhash.near_duplicates(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), percent=percent)
+
+
 def test_radius_search_names_what_it_finds(spark):
     rows = [(0, 0), (1, 0), (1, 0), (3, 1), (15, 0), (1 << 62, 1 << 62), (7, 1)]
     asked = [(0, 0), (1 << 62, 1 << 62), (0, 0)]
