@@ -60,9 +60,10 @@ def rewrite(text: str, h: list[int], pattern: regex.Pattern, marks: tuple[str, s
 
 def check_marks(marks: tuple[str, str, str]) -> None:
     """Marks must be told apart wherever they stand: no end of one may begin another."""
-    for a in marks:
-        for b in marks:
-            if not a or (a is not b and a in b) or any(a[-k:] == b[:k] for k in range(1, min(len(a), len(b)) + (a is not b))):
+    for i, a in enumerate(marks):
+        for j, b in enumerate(marks):
+            meet = any(a[-k:] == b[:k] for k in range(1, min(len(a), len(b)) + (i != j)))
+            if not a or meet or (i != j and a in b):
                 raise ValueError(f"the marks {marks} overlap")
 
 
