@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import sys
+from dataclasses import dataclass
+from itertools import combinations
+from math import ceil, floor, inf, isinf, nan
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwell.operators.ordering import (
     ROWS_PER_TASK,
+    join_by_key,
+    join_on_keys,
+    read_once,
     with_position,
     with_running_totals,
 )
@@ -43,30 +50,179 @@ def collect_set_in_chunks(
     return collect_in_chunks(df.select(*keys, value).distinct(), keys, value, value, chunk_rows, rows_per_task)
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, shares: dict[str, float], rows_per_task: int = ROWS_PER_TASK
+def levels_of(keys: list[str], how: str) -> list[list[str]]:
+    """The groupings of a rollup (shrinking prefixes) or a cube (all subsets)."""
+    if how == "rollup":
+        return [keys[:n] for n in range(len(keys), -1, -1)]
+    if how == "cube":
+        return [list(c) for n in range(len(keys), -1, -1) for c in combinations(keys, n)]
+    raise ValueError(f"subtotals are by rollup or cube, not {how}")
+
+
+def with_dense_code(df: DataFrame, value: str, name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Number the distinct values of a column from 1 on, in their order; a NULL has no number."""
+    values = df.select(value).filter(F.col(value).isNotNull()).distinct()
+    return join_on_keys(df, with_position(values, [], [F.asc(value)], name, rows_per_task), [value], "left")
+
+
+def distinct_by_level(
+    df: DataFrame, keys: list[str], value: str, how: str = "rollup", name: str = "distinct_values"
+) -> DataFrame:
+    """Exact distinct counts of an integer column at every level of a rollup or cube.
+
+    A distinct count cannot be added up, so Spark copies every input row once per
+    level. Bitmaps can be merged: the input is reduced to one bitmap per group and
+    block of 32768 values (4 KB), map-side first, and only these are copied to the
+    levels above and merged there by block. No task holds more than one block of a
+    group, whatever the group. It suits columns whose values lie dense, such as keys
+    of a dimension; code others by ``with_dense_code`` first.
+
+    ``level`` is Spark's grouping id: bit k, from the right, is set where the key that
+    many places from the last is a subtotal. NULLs are not counted; a group of NULLs
+    alone has the count 0; NULL keys are groups.
+    """
+    blocks = df.groupBy(*keys, F.bitmap_bucket_number(value).alias("_block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("_bits")
+    )
+    # the block is never summed over, so its own bit in the grouping id, the last, is always 0
+    sets = [[*map(F.col, level), F.col("_block")] for level in levels_of(keys, how)]
+    merged = blocks.groupingSets(sets, *keys, "_block").agg(
+        F.bitmap_or_agg("_bits").alias("_bits"), F.shiftright(F.grouping_id(), 1).alias("level")
+    )
+    return merged.groupBy(*keys, "level").agg(F.sum(F.bitmap_count("_bits")).alias(name))
+
+
+BINS = 4096  # per narrowed interval and round
+
+
+@dataclass
+class Sought:
+    """One wanted place of a column's sorted values, and the interval that is known to hold it."""
+
+    column: int
+    rank: int  # 0-based, within the interval
+    low: float
+    high: float
+
+    @property
+    def found(self) -> bool:
+        return not self.low < self.high
+
+
+def _narrowed(values: DataFrame, columns: list[str], sought: list[Sought], bins: int) -> None:
+    """Shrink the intervals of all wanted places in one scan.
+
+    Every interval is cut into ``bins`` of equal width. The rows inside are counted
+    by bin on the map side, with the least and greatest value of each bin; the bin
+    that holds a wanted rank gives its next interval. The least and the greatest value
+    of an interval never share a bin, so each round narrows it.
+    """
+    intervals = list(dict.fromkeys((s.column, s.low, s.high) for s in sought))
+    entries = []
+    for n, (column, low, high) in enumerate(intervals):
+        v = F.col(columns[column])
+        # the width of an interval may exceed the largest double
+        scale = 0.5 if isinf(high - low) else 1.0
+        place = (v * scale - low * scale) / (high * scale - low * scale) * bins
+        inside = F.struct(F.lit(n).alias("i"), F.least(F.floor(place), F.lit(bins - 1)).cast("int").alias("bin"), v.alias("v"))
+        entries.append(F.when(v.between(low, high), inside))
+    listed = values.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
+    counted = listed.groupBy("i", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    # at most ``bins`` rows per interval from here on
+    through = F.sum("n").over(Window.partitionBy("i").orderBy("bin"))
+    wanted = [(k, intervals.index((s.column, s.low, s.high)), s.rank) for k, s in enumerate(sought)]
+    ranks = values.sparkSession.createDataFrame(wanted, "k int, i int, rank long")
+    held = counted.withColumn("through", through).join(F.broadcast(ranks), "i")
+    hits = held.filter((F.col("through") > F.col("rank")) & (F.col("through") - F.col("n") <= F.col("rank")))
+    for row in hits.select("k", "low", "high", (F.col("rank") - F.col("through") + F.col("n")).alias("rank")).collect():
+        s = sought[row["k"]]
+        s.rank, s.low, s.high = row["rank"], row["low"], row["high"]
+
+
+def _ends(c: str) -> Column:
+    finite = F.when(F.col(c).between(-sys.float_info.max, sys.float_info.max), F.col(c))
+    return F.struct(
+        F.count(c).alias("n"),
+        F.count_if(F.col(c) == -inf).alias("below"),
+        F.count(finite).alias("finite"),
+        F.count_if(F.col(c) == inf).alias("above"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
+    )
+
+
+def select_quantiles(df: DataFrame, columns: list[str], shares: dict[str, float], bins: int = BINS) -> DataFrame:
+    """One row per column with its interpolated quantiles, exact over all rows.
+
+    No values are sorted and none travel: all wanted places of all columns are
+    narrowed together by scans that send at most ``bins`` counters per place and task.
+    A few scans do, as each divides the intervals by ``bins``. Values are taken as
+    doubles, NULLs are left out, NaN counts as the largest value, and a column without
+    a value has NULL quantiles. The input is worked out once.
+    """
+    if bins < 2:
+        raise ValueError("an interval needs two bins to shrink")
+    names = [f"c{k}" for k in range(len(columns))]
+    doubles = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(n) for c, n in zip(columns, names)])
+    with read_once(doubles) as values:
+        ends = values.agg(F.array(*map(_ends, names)).alias("ends")).first()["ends"]
+        places: dict[tuple[int, int], Sought] = {}
+        for k, e in enumerate(ends):
+            for share in shares.values() if e["n"] else ():
+                for rank in (floor(share * (e["n"] - 1)), ceil(share * (e["n"] - 1))):
+                    # in sorted order: minus infinity, finite numbers, infinity, NaN
+                    if e["below"] <= rank < e["below"] + e["finite"]:
+                        places[k, rank] = Sought(k, rank - e["below"], e["low"], e["high"])
+                    else:
+                        value = -inf if rank < e["below"] else inf if rank < e["below"] + e["finite"] + e["above"] else nan
+                        places[k, rank] = Sought(k, rank, value, value)
+        while open_places := [s for s in places.values() if not s.found]:
+            _narrowed(values, names, open_places, bins)
+
+    def at(k: int, share: float) -> float | None:
+        rows = ends[k]["n"]
+        if not rows:
+            return None
+        place = share * (rows - 1)
+        low, high = places[k, floor(place)].low, places[k, ceil(place)].low
+        return low if low == high else low + (high - low) * (place - floor(place))
+
+    fields = [T.StructField("column_name", T.StringType()), *[T.StructField(n, T.DoubleType()) for n in shares]]
+    found = [(c, *[at(k, share) for share in shares.values()]) for k, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(found, T.StructType(fields))
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """One row of interpolated quantiles of one column."""
+    return select_quantiles(df, [column], shares).drop("column_name")
+
+
+def quantiles_by_group(
+    df: DataFrame, keys: list[str], column: str, shares: dict[str, float], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """One row of interpolated quantiles.
+    """One row of interpolated quantiles per group, for any number of groups of any size.
 
-    Spark's exact percentile keeps every distinct value in the memory of one
-    task. Here equal values are counted, the counts are added up in value order,
-    and each wanted position is looked up.
+    Spark's exact percentile keeps every distinct value of a group in the memory of
+    one task. Here equal values are counted, the counts are added up in value order,
+    and each wanted place is looked up. NULL keys are a group; NULL values are left
+    out, and a group without a value has NULL quantiles.
     """
-    present = df.select(column).filter(F.col(column).isNotNull())
-    counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    last = present.agg((F.count(F.lit(1)) - 1).alias("_last")).scalar()
-    placed = with_running_totals(counts, [], [F.col(column)], {"_through": F.col("_n")}, rows_per_task)
+    values = df.select(*keys, F.col(column).cast("double").alias("_value"))
+    counts = values.groupBy(*keys, "_value").agg(F.count("_value").alias("_n"))
+    placed = with_running_totals(counts, keys, [F.asc("_value")], {"_through": F.col("_n")}, rows_per_task)
+    sizes = counts.groupBy(F.struct(*keys).alias("_key")).agg((F.sum("_n") - 1).alias("_last"))
+    sized = join_by_key(placed, sizes, keys)
 
-    def at(p: float) -> Column:
-        exact = F.col("_last") * p
+    def at(share: float) -> Column:
+        place = F.col("_last") * share
 
-        def value_at(position: Column) -> Column:
-            return F.min(F.when(F.col("_through") > position, F.col(column)))
+        def value_at(rank: Column) -> Column:
+            return F.min(F.when((F.col("_n") > 0) & (F.col("_through") > rank), F.col("_value")))
 
-        low, high = value_at(F.floor(exact)), value_at(F.ceil(exact))
-        return low + (high - low) * F.max(exact - F.floor(exact))
+        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
+        return F.when(low == high, low).otherwise(low + (high - low) * F.max(place - F.floor(place)))
 
-    return placed.withColumn("_last", last).agg(*[at(p).alias(n) for n, p in shares.items()])
+    return sized.groupBy(*keys).agg(*[at(p).alias(n) for n, p in shares.items()])
 
 
 def _measures(c: str, *extra: Column) -> Column:
@@ -93,13 +249,9 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def summarise(df: DataFrame, columns: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def summarise(df: DataFrame, columns: list[str]) -> DataFrame:
     """``profile`` plus exact quartiles."""
-    per_column = []
-    for c in columns:
-        row = exact_quantiles(df, c, QUARTILES, rows_per_task)
-        per_column.append(row.select(F.lit(c).alias("column_name"), *[F.col(q).cast("double") for q in QUARTILES]))
-    return profile(df, columns).join(reduce(DataFrame.unionByName, per_column), "column_name")
+    return profile(df, columns).join(F.broadcast(select_quantiles(df, columns, QUARTILES)), "column_name")
 
 
 def profile_text(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.operators.ordering import ROWS_PER_TASK
@@ -49,6 +49,35 @@ def cross_with_values(df: DataFrame, name: str, values: list) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
+def product_of_small(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Every left row with every right row, of two tables that both have at most ``max_rows`` rows.
+
+    The sizes are counted, not estimated, up to one row more than allowed, and a
+    larger table is refused: a product grows with the square of the data.
+    """
+    for side in (left, right):
+        if side.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"a product takes tables of at most {max_rows} rows")
+    return left.crossJoin(F.broadcast(right))
+
+
+def runtime_filter_session(spark: SparkSession, least_scan_bytes: int = 0) -> SparkSession:
+    """A session whose shuffle joins filter their large side at the scan.
+
+    Spark builds a Bloom filter of the join keys that are left on the side that is
+    filtered, and tests the other side's rows against it before they are shuffled,
+    wherever that side reads at least ``least_scan_bytes``. The filter has a bounded
+    number of bits; rows that pass by chance are dropped by the join.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    session.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", True)
+    session.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", least_scan_bytes)
+    return session
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

@@ -1,21 +1,28 @@
-"""Exact row positions and running totals within groups of any size.
+"""Exact row positions and running aggregates within groups of any size.
 
 A window gives a whole group to one task, and any group may hold a large share of
 the rows. So there is one route for all: range-partition on (keys, order) into as
-many ranges as the row count asks for, number rows inside each range, and add the
-sizes of the earlier ranges.
+many ranges as the row count asks for, work inside each range, and add what the
+earlier ranges of the same group hold. Only groups that go on from one range into the
+next have any such carry, and at most one group goes on into each range.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 from math import ceil
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwell.session import shared_root
+from loomwell.operators.layout import persisted
+from loomwell.sources.files import stored
 
 ROWS_PER_TASK = 250_000
+LEAST_ROWS_PER_TASK = 20_000  # below it a range of its own does not pay
 
 
 def group_by_key(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
@@ -42,6 +49,85 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return join_by_key(left, right.select(F.struct(*keys).alias("_key"), *rest), keys, how)
 
 
+@contextmanager
+def read_once(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame for several jobs in a row, worked out by the first; one that its owner keeps is left as it is."""
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        yield df
+    else:
+        with persisted(df) as held:
+            yield held
+
+
+def range_count(df: DataFrame, rows_per_task: int) -> int:
+    """Ranges that hold about ``rows_per_task`` rows each; a small input still uses the cores there are."""
+    rows = df.count()
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, ceil(rows / LEAST_ROWS_PER_TASK))
+    return max(1, ceil(rows / rows_per_task), cores)
+
+
+def in_ranges(df: DataFrame, keys: list[str], order: list[Column], rows_per_task: int) -> DataFrame:
+    """The rows with the number ``_range`` of their range of (keys, order).
+
+    The input is worked out once: counting, drawing the bounds and dealing all read
+    the kept rows. What is dealt is written, so that range numbers cannot change
+    between their uses, even after a lost executor.
+    """
+    with read_once(df) as rows:
+        ranges = range_count(rows, rows_per_task)
+        dealt = rows.repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
+        return stored(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+# How an aggregate combines over rows, and over two parts of which either may be NULL.
+OVER_ROWS = {"sum": F.sum, "min": F.min, "max": F.max}
+OF_TWO = {
+    "sum": lambda a, b: F.when(a.isNull(), b).otherwise(a + F.coalesce(b, F.lit(0))),
+    "min": F.least,
+    "max": F.greatest,
+}
+
+
+def carried(ranged: DataFrame, keys: list[str], kinds: dict[str, str], back: bool) -> DataFrame:
+    """Per group and range: the aggregates ``_carry_*`` over the ranges before (with ``back``, after) it.
+
+    Only groups that begin a range can have begun before it; these are found first,
+    one per range, so no table of all groups is shuffled. Fewer rows than ranges.
+    """
+    if keys:
+        first = F.struct(F.min(F.struct(*keys)).alias("_key"))
+        heads = ranged.groupBy("_range").agg(first.alias("_key")).select("_key").distinct()
+        inner = F.struct(F.struct(*keys).alias("_key"))
+        ranged = ranged.withColumn("_key", inner).join(F.broadcast(heads), "_key", "left_semi").drop("_key")
+    sums = ranged.groupBy(*keys, "_range").agg(*[OVER_ROWS[k](f"_part_{n}").alias(f"_part_{n}") for n, k in kinds.items()])
+    turn = F.desc("_range") if back else F.asc("_range")
+    others = Window.partitionBy(*keys).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
+    carry = [OVER_ROWS[k](f"_part_{n}").over(others).alias(f"_carry_{n}") for n, k in kinds.items()]
+    some = [F.col(f"_carry_{n}").isNotNull() for n in kinds]
+    return sums.select(*keys, "_range", *carry).filter(reduce(or_, some))
+
+
+def running(
+    ranged: DataFrame, keys: list[str], order: list[Column], parts: dict[str, tuple[str, Column]], back: bool = False
+) -> DataFrame:
+    """Add aggregates from the group's first row in ``order`` to the current one; ``parts`` gives kind and value.
+
+    ``ranged`` comes from ``in_ranges``. With ``back``, ``order`` is the reverse of
+    the order of its ranges.
+    """
+    kinds = {n: kind for n, (kind, _) in parts.items()}
+    valued = ranged.withColumns({f"_part_{n}": c for n, (_, c) in parts.items()})
+    carry = carried(valued, keys, kinds, back)
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    both = {n: OF_TWO[k](OVER_ROWS[k](f"_part_{n}").over(inside), F.col(f"_carry_{n}")) for n, k in kinds.items()}
+    return (
+        join_on_keys(valued, F.broadcast(carry), [*keys, "_range"], "left")
+        .withColumns(both)
+        .drop(*[f"_part_{n}" for n in kinds], *[f"_carry_{n}" for n in kinds])
+    )
+
+
 def with_position(
     df: DataFrame,
     keys: list[str],
@@ -53,40 +139,12 @@ def with_position(
     return position_by_range(df, keys, order, name, rows_per_task)
 
 
-def range_count(df: DataFrame, rows_per_task: int) -> int:
-    """Ranges that hold about ``rows_per_task`` rows each; the count reads no columns of a stored table."""
-    return max(1, ceil(df.count() / rows_per_task))
-
-
 def position_by_range(
     df: DataFrame, keys: list[str], order: list[Column], name: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Row numbers from ranges of (keys, order), each in a task of its own."""
-    shared_root(df.sparkSession)
-    ranges = range_count(df, rows_per_task)
-    # The range number must not change between its two uses below, even after a
-    # lost executor, so it is written once to the checkpoint folder.
-    ranged = (
-        df.repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranged.groupBy(*keys, "_range")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.sum("_rows").over(earlier))
-        .filter(F.col("_before") > 0)
-        .select(*keys, "_range", "_before")
-    )
-    # At most one key continues into each range, so ``starts`` has fewer rows
-    # than there are ranges, whatever the table size.
-    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
-    return (
-        join_on_keys(ranged, F.broadcast(starts), [*keys, "_range"], "left")
-        .withColumn(name, F.row_number().over(inside) + F.coalesce("_before", F.lit(0)))
-        .drop("_range", "_before")
-    )
+    ranged = in_ranges(df, keys, order, rows_per_task)
+    return running(ranged, keys, order, {name: ("sum", F.lit(1))}).drop("_range")
 
 
 def with_running_totals(
@@ -96,36 +154,9 @@ def with_running_totals(
     totals: dict[str, Column],
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add cumulative sums from the first row of the group to the current one.
+    """Add cumulative sums from the first row of the group to the current one; ``order`` must be total.
 
-    Sum decimals or integers: their sum does not depend on how rows are blocked.
+    Sum decimals or integers: their sum does not depend on how rows are dealt.
     """
-    return running_totals_by_block(df, keys, order, totals, rows_per_task)
-
-
-def running_totals_by_block(
-    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column], block_rows: int
-) -> DataFrame:
-    """Running totals inside blocks of positions, plus the sum of the earlier blocks."""
-    parts = {f"_part_{n}": c for n, c in totals.items()}
-    placed = position_by_range(df.withColumns(parts), keys, order, "_pos", block_rows).withColumn(
-        "_block", F.floor((F.col("_pos") - 1) / block_rows)
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        placed.groupBy(*keys, "_block")
-        .agg(*[F.sum(p).alias(p) for p in parts])
-        .select(*keys, "_block", *[F.sum(p).over(earlier).alias(f"_carry{p}") for p in parts])
-        .filter(F.col("_block") > 0)
-    )
-    inside = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-
-    def total(name: str) -> Column:
-        local, carry = F.sum(f"_part_{name}").over(inside), F.col(f"_carry_part_{name}")
-        return F.when(local.isNull(), carry).otherwise(local + F.coalesce(carry, F.lit(0)))
-
-    return (
-        join_on_keys(placed, carried, [*keys, "_block"], "left")
-        .withColumns({n: total(n) for n in totals})
-        .drop("_pos", "_block", *parts, *[f"_carry{p}" for p in parts])
-    )
+    ranged = in_ranges(df, keys, order, rows_per_task)
+    return running(ranged, keys, order, {n: ("sum", c) for n, c in totals.items()}).drop("_range")

@@ -11,7 +11,9 @@ versions. One writer at a time.
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import sha256
 from operator import and_
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -195,10 +197,16 @@ class VersionedTable:
 
     Spark's own ``_SUCCESS`` marker tells a finished version from a failed one,
     and a failed version is overwritten by the next change.
+
+    With ``buckets``, every commit is written as that many files, dealt by a hash of
+    the keys and sorted by them, and a read goes through a catalog table that says
+    so. A commit shuffles its own rows; a read, and a join of the log on its keys,
+    shuffles nothing of the log, however many versions it holds. Choose at least as
+    many buckets as shuffle partitions, and keep the number for the table's life.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path, keys
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int | None = None):
+        self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
 
     def versions(self) -> list[int]:
         jvm = self.spark._jvm
@@ -221,9 +229,25 @@ class VersionedTable:
     def log(self, version: int | None = None) -> DataFrame:
         """Committed changes up to a version; older folders are pruned by name."""
         last = max(v for v in self.versions() if version is None or v <= version)
+        if self.buckets:
+            return self.spark.table(self._catalog_table(last)).filter(F.col("_version") <= last)
         schema = StructType(self.schema(last).fields).add("_version", "long")
         return self.spark.read.schema(schema).parquet(self.path).filter(F.col("_version") <= last)
 
+    def _catalog_table(self, last: int) -> str:
+        """The name of a table over the commits up to ``last``, which tells Spark how their files are dealt."""
+        name = f"log_{sha256(self.path.encode()).hexdigest()[:24]}_{last}"
+        if not self.spark.catalog.tableExists(name):
+            fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(last).fields]
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({', '.join(fields)}, _version BIGINT) USING parquet PARTITIONED BY (_version)"
+                f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            )
+            parts = " ".join(f"PARTITION (_version = {v})" for v in self.versions() if v <= last)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        return name
+
     def as_of(self, version: int | None = None, timestamp: str | None = None) -> DataFrame:
         return snapshot(self.log(version), self.keys, version, timestamp)
 
@@ -236,9 +260,19 @@ class VersionedTable:
         no_key = reduce(and_, [F.col(k).isNotNull() for k in self.keys])
         fail = F.raise_error(F.lit("a versioned table needs non-NULL keys")).cast("boolean")
         checked = change.filter(F.when(no_key, F.lit(True)).otherwise(fail))
-        checked.drop("_version").write.mode("overwrite").parquet(f"{self.path}/_version={version}")
+        self._write(checked.drop("_version"), version)
         return version
 
+    def _write(self, rows: DataFrame, version: int) -> None:
+        folder = f"{self.path}/_version={version}"
+        if not self.buckets:
+            rows.write.mode("overwrite").parquet(folder)
+            return
+        name = f"commit_{uuid4().hex}"
+        dealt = rows.repartition(self.buckets, *self.keys).write.mode("overwrite").option("path", folder)
+        dealt.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay
+
     def _aligned(self, df: DataFrame, evolve: bool) -> DataFrame:
         known = {f.name: f.dataType for f in self.schema().fields if f.name not in META}
         given = {f.name: f.dataType for f in df.schema.fields}
@@ -316,10 +350,10 @@ class VersionedTable:
 
     def compact_to(self, path: str, retain_version: int) -> VersionedTable:
         """The table as of ``retain_version`` as a new base, with the later commits copied as they are."""
-        slim = VersionedTable(self.spark, path, self.keys)
+        slim = VersionedTable(self.spark, path, self.keys, self.buckets)
         base = newest_rows(self.log(retain_version), self.keys).withColumn("_operation", F.lit("COMPACT"))
-        base.drop("_version").write.parquet(f"{path}/_version={retain_version}")
+        slim._write(base.drop("_version"), retain_version)
         for v in self.versions():
             if v > retain_version:
-                self.spark.read.parquet(f"{self.path}/_version={v}").write.parquet(f"{path}/_version={v}")
+                slim._write(self.spark.read.parquet(f"{self.path}/_version={v}"), v)
         return slim

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loomwell.operators.ordering import (
+    OF_TWO,
+    OVER_ROWS,
     ROWS_PER_TASK,
     group_by_key,
+    in_ranges,
     join_by_key,
     join_on_keys,
     position_by_range,
-    running_totals_by_block,
+    running,
     with_position,
     with_running_totals,
 )
@@ -47,9 +50,14 @@ def top_n_with_ties(
 
 
 def with_ranks(
-    df: DataFrame, keys: list[str], by: str, descending: bool = True, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    keys: list[str],
+    by: str,
+    descending: bool = True,
+    rows_per_task: int = ROWS_PER_TASK,
+    percent: bool = True,
 ) -> DataFrame:
-    """Add ``rank``, ``dense_rank`` and ``percent_rank`` on one column, ties sharing a rank."""
+    """Add ``rank``, ``dense_rank`` and, unless told not to, ``percent_rank`` on one column, ties sharing a rank."""
     order = F.col(by).desc() if descending else F.col(by).asc()
     # Ties collapse in the count, so even a value shared by most rows is one row here.
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
@@ -57,14 +65,11 @@ def with_ranks(
         counts, keys, [order], {"_through": F.col("_n"), "dense_rank": F.lit(1)}, rows_per_task
     )
     rank = F.col("_through") - F.col("_n") + 1
-    share = F.when(F.col("_size") > 1, (rank - 1).cast("double") / (F.col("_size") - 1)).otherwise(0.0)
-    ranks = with_group_stats(placed, keys, {"_size": F.sum("_n")}).select(
-        *keys,
-        by,
-        rank.cast("int").alias("rank"),
-        F.col("dense_rank").cast("int").alias("dense_rank"),
-        share.alias("percent_rank"),
-    )
+    added = {"rank": rank.cast("int"), "dense_rank": F.col("dense_rank").cast("int")}
+    if percent:
+        placed = with_group_stats(placed, keys, {"_size": F.sum("_n")})
+        added["percent_rank"] = F.when(F.col("_size") > 1, (rank - 1).cast("double") / (F.col("_size") - 1)).otherwise(0.0)
+    ranks = placed.select(*keys, by, *[c.alias(n) for n, c in added.items()])
     return join_on_keys(df, ranks, [*keys, by])
 
 
@@ -148,46 +153,80 @@ def with_zscore(df: DataFrame, keys: list[str], value: str, name: str, digits: i
     )
 
 
-def with_range_totals(
+def with_range_frames(
     df: DataFrame,
     keys: list[str],
     at: str,
     width: int,
-    row_id: str,
-    totals: dict[str, Column],
+    measures: dict[str, tuple[str, Column]],
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Sums over rows whose integer ``at`` lies in [current - width, current], peers included.
-
-    A sliding frame would be summed again for every row. Instead each row adds two
-    probes to the ordered stream, which read the growing sums below its lower bound
-    and up to its own value; their difference is linear in the rows. As in Spark's
-    frame, rows with a NULL ``at`` see each other only, and a frame without a
-    value has a NULL sum. ``row_id`` is unique.
+    """Sums and extremes over rows whose integer ``at`` lies in [current - width, current], peers included.
+
+    ``measures`` gives each new column its kind (sum, min or max) and its value. A
+    sliding frame would be worked out again for every row. Instead the values of
+    ``at`` are cut into blocks ``width`` wide. A frame that ends in a block begins in
+    the one before it: it is the running aggregate of its own block up to the current
+    value, and the running aggregate of the block before it, taken from its end back
+    to the frame's lower bound. A probe at that bound reads the second one, so every
+    distinct value adds two points to the ordered stream, and the cost is linear.
+
+    Rows with equal keys and ``at`` collapse before they travel. As in Spark's
+    frame, rows with a NULL ``at`` see each other only, and a frame without a value
+    has a NULL result. Sums must be of decimals or integers.
     """
-    # step 0 reads before the rows at the same value, 1 is the row, 2 reads after them
-    points = F.array(
-        F.struct((F.col(at) - width).alias("_at"), F.lit(0).alias("_step")),
-        F.struct(F.col(at).alias("_at"), F.lit(1).alias("_step")),
-        F.struct(F.col(at).alias("_at"), F.lit(2).alias("_step")),
-    )
-    values = [c.alias(f"_v_{n}") for n, c in totals.items()]
-    stream = df.select(*keys, row_id, *values, F.inline(points))
-    is_row = F.col("_step") == 1
-    added = {}
-    for n in totals:
-        value = F.col(f"_v_{n}")
-        added[f"_c_{n}"] = F.when(is_row, F.coalesce(value, F.lit(0))).otherwise(F.lit(0))
-        added[f"_n_{n}"] = (is_row & value.isNotNull()).cast("long")
-    in_order = [F.col("_at"), F.col("_step"), F.col(row_id)]
-    summed = running_totals_by_block(stream, keys, in_order, added, rows_per_task)
+    if width < 0:
+        raise ValueError("the width must not be negative")
+    kinds = {n: kind for n, (kind, _) in measures.items()}
+    point = df.groupBy(*keys, at).agg(*[OVER_ROWS[k](c).alias(f"_v_{n}") for n, (k, c) in measures.items()])
+    point = point.withColumnRenamed(at, "_at")
+    found = {n: F.col(f"_v_{n}") for n in kinds}
+    if width:
+        with_frames = point.filter(F.col("_at").isNotNull())
+        block = F.col("_at") - F.pmod("_at", F.lit(width))
+        values = {n: F.col(f"_v_{n}") for n in kinds}
+        none = [F.lit(None).cast(with_frames.schema[f"_v_{n}"].dataType).alias(f"_v_{n}") for n in kinds]
+        own = F.struct(block.alias("_block"), F.col("_at").alias("_place"), F.lit(1).alias("_step"), *[c.alias(f"_v_{n}") for n, c in values.items()])
+        # the probe stands before the rows at the lower bound, which belong to the frame
+        probe = F.struct((block - width).alias("_block"), (F.col("_at") - width).alias("_place"), F.lit(0).alias("_step"), *none)
+        stream = with_frames.select(*keys, F.inline(F.array(own, probe)))
+        group = [*keys, "_block"]
+        ranged = in_ranges(stream, group, [F.asc("_place"), F.asc("_step")], rows_per_task)
+        up = {f"_up_{n}": (k, F.col(f"_v_{n}")) for n, k in kinds.items()}
+        down = {f"_down_{n}": (k, F.col(f"_v_{n}")) for n, k in kinds.items()}
+        # each step reads the ranges that are written
+        ends = running(ranged, group, [F.asc("_place"), F.asc("_step")], up)
+        starts = running(ranged, group, [F.desc("_place"), F.desc("_step")], down, back=True)
+        upper = ends.filter("_step = 1").select(*keys, F.col("_place").alias("_at"), *up)
+        lower = starts.filter("_step = 0").select(*keys, (F.col("_place") + width).alias("_at"), *down)
+        both = join_on_keys(upper, lower, [*keys, "_at"])
+        framed = both.select(*keys, "_at", *[OF_TWO[k](F.col(f"_up_{n}"), F.col(f"_down_{n}")).alias(n) for n, k in kinds.items()])
+        alone = point.filter(F.col("_at").isNull()).select(*keys, "_at", *[c.alias(n) for n, c in found.items()])
+        result = framed.unionByName(alone)
+    else:
+        result = point.select(*keys, "_at", *[c.alias(n) for n, c in found.items()])
+    return join_on_keys(df, result.withColumnRenamed("_at", at), [*keys, at])
 
-    def between(name: str) -> Column:
-        low, high = (F.max(F.when(F.col("_step") == step, F.col(name))) for step in (0, 2))
-        return high - low
 
-    sums = [F.when(between(f"_n_{n}") > 0, between(f"_c_{n}")).alias(n) for n in totals]
-    return df.join(summed.groupBy(row_id).agg(*sums), row_id)
+def with_range_totals(
+    df: DataFrame, keys: list[str], at: str, width: int, totals: dict[str, Column], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Sums over rows whose ``at`` lies in [current - width, current], peers included."""
+    return with_range_frames(df, keys, at, width, {n: ("sum", c) for n, c in totals.items()}, rows_per_task)
+
+
+def with_range_extremes(
+    df: DataFrame,
+    keys: list[str],
+    at: str,
+    width: int,
+    least: dict[str, Column],
+    greatest: dict[str, Column],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Least and greatest values over rows whose ``at`` lies in [current - width, current], peers included."""
+    measures = {n: ("min", c) for n, c in least.items()} | {n: ("max", c) for n, c in greatest.items()}
+    return with_range_frames(df, keys, at, width, measures, rows_per_task)
 
 
 def with_peer_totals(
@@ -209,6 +248,8 @@ __all__ = [
     "with_ntile",
     "with_peer_totals",
     "with_position",
+    "with_range_extremes",
+    "with_range_frames",
     "with_range_totals",
     "with_ranks",
     "with_running_totals",

@@ -6,7 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money
-from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, profile, profile_text, summarise
+from loomwell.operators.aggregates import (
+    QUARTILES,
+    collect_in_chunks,
+    collect_set_in_chunks,
+    distinct_by_level,
+    profile,
+    profile_text,
+    quantiles_by_group,
+    summarise,
+    with_dense_code,
+)
 from loomwell.operators.windows import with_ntile, with_zscore
 from loomwell.plans.registry import query
 from loomwell.sources.tables import load
@@ -150,6 +160,37 @@ def agg_cube(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "customer").cube("c_mktsegment", "c_nationkey").agg(*subtotal_columns())
 
 
+@query(
+    "agg_rollup_distinct",
+    """
+    SELECT l_returnflag, l_linestatus, CAST(grouping(l_returnflag, l_linestatus) AS bigint) AS level,
+           count(DISTINCT l_partkey) AS parts
+    FROM lineitem GROUP BY ROLLUP(l_returnflag, l_linestatus)
+    """,
+)
+def agg_rollup_distinct(spark: SparkSession, d: str) -> DataFrame:
+    return distinct_by_level(load(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_partkey", "rollup", "parts")
+
+
+@query(
+    "agg_cube_distinct",
+    """
+    SELECT event_type, weekday, k, CAST(grouping(event_type, weekday, k) AS bigint) AS level, count(DISTINCT value) AS amounts
+    FROM (SELECT event_type, CAST(isodow(ts) AS int) AS weekday, nullif(event_id % 4, 3) AS k, CASE WHEN event_id % 11 > 0 THEN value END AS value FROM events)
+    GROUP BY CUBE(event_type, weekday, k)
+    """,
+)
+def agg_cube_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Amounts are no integers, so they are numbered first; some are NULL, as is one of the keys."""
+    events = load(spark, d, "events").select(
+        "event_type",
+        (F.weekday("ts") + 1).alias("weekday"),
+        F.nullif(F.col("event_id") % 4, F.lit(3)).alias("k"),
+        F.when(F.col("event_id") % 11 > 0, F.col("value")).alias("value"),
+    )
+    return distinct_by_level(with_dense_code(events, "value", "code"), ["event_type", "weekday", "k"], "code", "cube", "amounts")
+
+
 @query(
     "agg_null_key",
     """
@@ -252,6 +293,26 @@ def stats_summary(spark: SparkSession, d: str) -> DataFrame:
     return rounded(described, "mean", "stddev", "q25", "q50", "q75")
 
 
+@query("stats_summary_wide", describe_oracle("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey"], True))
+def stats_summary_wide(spark: SparkSession, d: str) -> DataFrame:
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey"]
+    return rounded(summarise(load(spark, d, "lineitem"), columns), "mean", "stddev", "q25", "q50", "q75")
+
+
+@query(
+    "stats_quartiles_by_group",
+    """
+    SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.25), 4) AS q25,
+           round(quantile_cont(l_extendedprice, 0.5), 4) AS q50, round(quantile_cont(l_extendedprice, 0.75), 4) AS q75
+    FROM lineitem GROUP BY 1, 2
+    """,
+)
+def stats_quartiles_by_group(spark: SparkSession, d: str) -> DataFrame:
+    lines = load(spark, d, "lineitem")
+    quartiles = quantiles_by_group(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice", QUARTILES)
+    return rounded(quartiles, *QUARTILES)
+
+
 @query(
     "stats_zscore_check",
     """

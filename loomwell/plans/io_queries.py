@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money
+from loomwell.operators.joins import broadcast_if_small
+from loomwell.operators.layout import write_clustered
 from loomwell.plans.registry import query
 from loomwell.session import scratch_path
 from loomwell.sources import files
@@ -206,3 +208,39 @@ def io_file_layout(spark: SparkSession, d: str) -> DataFrame:
 )
 def gen_orders(spark: SparkSession, d: str) -> DataFrame:
     return generate_orders(load(spark, d, "customer"), "c_custkey", 3)
+
+
+@query(
+    "io_clustered_scan",
+    """
+    SELECT l_orderkey, l_partkey, l_suppkey, l_quantity FROM lineitem
+    WHERE l_partkey BETWEEN (SELECT max(l_partkey) // 2 FROM lineitem) AND (SELECT max(l_partkey) // 2 + max(l_partkey) // 20 FROM lineitem)
+      AND l_orderkey <= (SELECT max(l_orderkey) // 10 FROM lineitem)
+    """,
+)
+def io_clustered_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Files clustered by two columns, so that a filter on both skips most row groups."""
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    top = lines.agg(F.max("l_partkey").alias("part"), F.max("l_orderkey").alias("order")).first()
+    path = scratch_path(spark, "clustered")
+    write_clustered(lines, path, ["l_partkey", "l_orderkey"], files=16)
+    half = (top["part"] or 0) // 2
+    wanted = F.col("l_partkey").between(half, half + (top["part"] or 0) // 20) & (F.col("l_orderkey") <= (top["order"] or 0) // 10)
+    return spark.read.schema(lines.schema).parquet(path).filter(wanted)
+
+
+@query(
+    "io_dynamic_prune",
+    """
+    SELECT c_custkey, c_acctbal, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'
+    """,
+)
+def io_dynamic_prune(spark: SparkSession, d: str) -> DataFrame:
+    """Customers stored by nation; which nations are read is known only once the joined dimension is."""
+    path = scratch_path(spark, "by-nation")
+    files.write_partitioned(load(spark, d, "customer").select("c_custkey", "c_acctbal", "c_nationkey"), path, ["c_nationkey"])
+    asia = load(spark, d, "region").filter("r_name = 'ASIA'")
+    nations = load(spark, d, "nation").join(broadcast_if_small(asia), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = spark.read.parquet(path).join(broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.select("c_custkey", "c_acctbal", "n_name")

@@ -11,6 +11,8 @@ from loomwell.operators.joins import (
     cross_with_values,
     filter_by_match,
     key_skew,
+    product_of_small,
+    runtime_filter_session,
     salted_join,
 )
 from loomwell.plans.registry import query
@@ -227,3 +229,36 @@ def join_enrich(spark: SparkSession, d: str) -> DataFrame:
 )
 def skew_profile(spark: SparkSession, d: str) -> DataFrame:
     return key_skew(load(spark, d, "events"), ["user_id"]).orderBy(F.desc("rows"), "user_id")
+
+
+BLOOM = """
+    SELECT l_orderkey, l_linenumber, l_extendedprice, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    WHERE o_orderpriority = '{0}' AND o_totalprice > 300000
+"""
+
+
+def bloom_join(spark: SparkSession, d: str, priority: str) -> DataFrame:
+    session = runtime_filter_session(spark)
+    orders = load(session, d, "orders").filter((F.col("o_orderpriority") == priority) & (F.col("o_totalprice") > 300000))
+    joined = load(session, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select("l_orderkey", "l_linenumber", "l_extendedprice", "o_orderdate")
+
+
+@query("join_bloom_filtered", BLOOM.format("1-URGENT"))
+def join_bloom_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Few orders are left, so the lines are filtered where they are scanned and few are shuffled."""
+    return bloom_join(spark, d, "1-URGENT")
+
+
+@query("join_bloom_no_match", BLOOM.format("none"))
+def join_bloom_no_match(spark: SparkSession, d: str) -> DataFrame:
+    return bloom_join(spark, d, "none")
+
+
+@query(
+    "join_product",
+    "SELECT r_name, n_name, r_regionkey = n_regionkey AS belongs FROM region CROSS JOIN nation",
+)
+def join_product(spark: SparkSession, d: str) -> DataFrame:
+    pairs = product_of_small(load(spark, d, "region"), load(spark, d, "nation"))
+    return pairs.select("r_name", "n_name", (F.col("r_regionkey") == F.col("n_regionkey")).alias("belongs"))

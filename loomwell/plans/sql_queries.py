@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwell.functions.numbers import money
 from loomwell.plans.registry import query
+from loomwell.session import scratch_path
 from loomwell.sources.tables import load
 
 
@@ -64,3 +65,39 @@ RANKED = """
 def sql_cte_having_rank(spark: SparkSession, d: str) -> DataFrame:
     register(spark, d, "lineitem", "part")
     return spark.sql(RANKED)
+
+
+NATION_LINES = """
+    SELECT n_name, count(*) AS lines, CAST(sum(CAST(l_extendedprice AS decimal(18,2))) AS double) AS price
+    FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+    JOIN {nation} ON c_nationkey = n_nationkey
+    WHERE n_name IN ('FRANCE', 'JAPAN') AND o_orderdate >= '2000-01-01' GROUP BY n_name
+"""
+
+
+def measured_tables(spark: SparkSession, d: str) -> dict[str, str]:
+    """The tables that the join reads, saved with row counts and column statistics; names by table."""
+    names = {}
+    for table in ("lineitem", "orders", "customer", "nation"):
+        path = scratch_path(spark, f"measured-{table}")
+        name = f"measured_{table}_{path[-32:]}"
+        load(spark, d, table).write.option("path", path).saveAsTable(name)
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+        names[table] = name
+    return names
+
+
+def cost_based_session(spark: SparkSession) -> SparkSession:
+    """A session that orders joins by the statistics of their tables, and estimates filters with them."""
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(key, spark.conf.get(key))
+    session.conf.set("spark.sql.cbo.enabled", True)
+    session.conf.set("spark.sql.cbo.joinReorder.enabled", True)
+    return session
+
+
+@query("sql_cost_based_joins", NATION_LINES.format(lineitem="lineitem", orders="orders", customer="customer", nation="nation"))
+def sql_cost_based_joins(spark: SparkSession, d: str) -> DataFrame:
+    """Written from the largest table to the smallest; the statistics turn the order round."""
+    return cost_based_session(spark).sql(NATION_LINES.format(**measured_tables(spark, d)))

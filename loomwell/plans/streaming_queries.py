@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +10,14 @@ from loomwell.functions.numbers import money
 from loomwell.operators.versions import VersionedTable
 from loomwell.plans.registry import query
 from loomwell.session import scratch_path
-from loomwell.sources.files import write_csv, write_json
+from loomwell.sources.files import read_json, write_csv, write_json
 from loomwell.sources.generate import LABELS, pick
 from loomwell.sources.tables import EVENTS, load
 from loomwell.streaming import sinks
-from loomwell.streaming.event_time import sensor_readings, windowed, zoneless
+from loomwell.streaming.event_time import panes, sensor_readings, windowed, windows_from_panes, zoneless
 from loomwell.streaming.feeds import dealt_feed, file_feed, in_event_order, stream_session, table_feed, with_event_time
-from loomwell.streaming.state import merge_parts, parts_for, running_user_totals
+from loomwell.streaming.rows import FailingRowFiles, RowFiles
+from loomwell.streaming.state import merge_parts, parts_for, running_user_totals, user_sessions
 
 HOUR = """
     SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
@@ -61,9 +63,22 @@ def tumbling_window(spark: SparkSession, d: str) -> DataFrame:
     return windowed(load(spark, d, "events"), "ts", "1 hour", ["event_type"], measures())
 
 
+WIDTH, SLIDE = 7200, 1800  # seconds
+
+
+def mergeable() -> dict[str, tuple[str, Column]]:
+    return {"events": ("sum", F.lit(1)), "total": ("sum", money("value")), "largest": ("max", F.col("value"))}
+
+
+def sliding_from(found: DataFrame) -> DataFrame:
+    kinds = {n: kind for n, (kind, _) in mergeable().items()}
+    windows = windows_from_panes(found, WIDTH, SLIDE, ["event_type"], kinds)
+    return windows.withColumn("total", F.col("total").cast("double"))
+
+
 @query("sliding_window", SLIDING)
 def sliding_window(spark: SparkSession, d: str) -> DataFrame:
-    return windowed(load(spark, d, "events"), "ts", "2 hours", ["event_type"], measures(), slide="30 minutes")
+    return sliding_from(panes(load(spark, d, "events"), "ts", SLIDE, ["event_type"], mergeable()))
 
 
 @query("stream_tumbling", HOUR)
@@ -79,12 +94,11 @@ WINDOW_KEYS = ["window_start", "window_end", "event_type"]
 
 @query("stream_sliding", SLIDING)
 def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
+    """The stream keeps one state row per pane, not one per window; windows are put together when they are read."""
     out = scratch_path(spark, "sliding")
-    sliding = windowed(
-        ordered_events(spark, d, out), "ts", "2 hours", ["event_type"], measures(), slide="30 minutes", lateness="1 hour"
-    )
-    sinks.to_batches(flat(sliding), f"{out}/rows", f"{out}/state", "update")
-    return sinks.last_update(spark, f"{out}/rows", WINDOW_KEYS)
+    found = panes(ordered_events(spark, d, out), "ts", SLIDE, ["event_type"], mergeable(), lateness="1 hour")
+    sinks.to_batches(zoneless(found, "window_start"), f"{out}/rows", f"{out}/state", "update")
+    return sliding_from(sinks.last_update(spark, f"{out}/rows", ["window_start", "event_type"]))
 
 
 @query("stream_watermark_append", f"SELECT * FROM ({HOUR}) " + FINAL.format("30 seconds"))
@@ -173,6 +187,24 @@ def stream_json_count(spark: SparkSession, d: str) -> DataFrame:
     return totals_by_type(spark, file_feed(stream_session(spark), "json", f"{out}/feed", EVENTS), out)
 
 
+@query("stream_restart_totals", BY_TYPE)
+def stream_restart_totals(spark: SparkSession, d: str) -> DataFrame:
+    """A query that fails in the middle of its third micro-batch and is started again from its checkpoint."""
+    out = scratch_path(spark, "restart")
+    events = load(spark, d, "events").select("event_id", "event_type", "value", "ts")
+    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", in_event_order(events, "ts", 4))
+    rows = feed.select("event_id", "event_type", "value")
+    try:
+        sinks.to_rows(rows, FailingRowFiles(f"{out}/rows", epoch=2, after_rows=3), f"{out}/state")
+    except StreamingQueryException as e:
+        if "fails here on purpose" not in str(e):
+            raise
+    sinks.to_rows(rows, RowFiles(f"{out}/rows"), f"{out}/state")
+    return read_json(spark, f"{out}/rows", rows.schema).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("event_count"), F.sum(money("value")).cast("double").alias("total_amount")
+    )
+
+
 @query(
     "stream_stateless",
     """
@@ -244,6 +276,26 @@ def stream_keyed_state_nulls(spark: SparkSession, d: str) -> DataFrame:
     return keyed_totals(spark, d, F.when(known, F.col("value") - 1_000_000))
 
 
+@query(
+    "stream_user_sessions",
+    """
+    WITH e AS (SELECT user_id, epoch_us(ts) AS us, CAST(round(value * 100) AS bigint) AS cents FROM events),
+         f AS (SELECT *, coalesce(us - lag(us) OVER (PARTITION BY user_id ORDER BY us) > 43200000000, true) AS fresh FROM e),
+         n AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS session FROM f),
+         s AS (SELECT user_id, min(us) AS first_us, max(us) AS last_us, count(*) AS events, CAST(sum(cents) AS bigint) AS value_cents
+               FROM n GROUP BY user_id, session)
+    SELECT * FROM s WHERE last_us + 43200000000 < ((SELECT max(us) FROM e) // 1000 - 7200000) * 1000
+    """,
+)
+def stream_user_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions with a gap of twelve hours that have ended two hours before the newest event."""
+    out = scratch_path(spark, "sessions")
+    events = load(spark, d, "events")
+    feed = dealt_feed(stream_session(spark), events, f"{out}/feed", in_event_order(events, "ts", 4))
+    sinks.to_files(user_sessions(feed, "ts", "12 hours", "2 hours"), f"{out}/rows", f"{out}/state")
+    return spark.read.parquet(f"{out}/rows")
+
+
 @query(
     "pipe_stream_windows",
     """

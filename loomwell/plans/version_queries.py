@@ -85,6 +85,37 @@ def ver_as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
     return V.snapshot(order_log(spark, d), KEYS, timestamp="2024-01-04 12:00:00 UTC")
 
 
+def bucketed_orders(spark: SparkSession, d: str, name: str) -> V.VersionedTable:
+    """The same history as commits of a table whose files are dealt by key."""
+    orders = load(spark, d, "orders")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = V.VersionedTable(spark, scratch_path(spark, name), KEYS, buckets)
+    table.create(orders.filter(~since("2000-01-01")), committed(0))
+    table.insert(orders.filter(since("2000-01-01") & ~since("2001-01-01")), committed_at=committed(1))
+    table.update(F.expr(URGENT_PARTIAL), {"o_orderstatus": F.lit("X")}, committed(2))
+    return table
+
+
+@query("ver_bucketed_as_of", as_of_oracle(1))
+def ver_bucketed_as_of(spark: SparkSession, d: str) -> DataFrame:
+    return bucketed_orders(spark, d, "bucketed").as_of(version=1)
+
+
+@query(
+    "ver_bucketed_merge",
+    f"""
+    SELECT {COLUMNS} FROM ({as_of_oracle(2)}) WHERE o_orderdate < '2000-07-01'
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, {RAISED}, o_orderdate, o_orderpriority
+              FROM orders WHERE o_orderdate >= '2000-07-01' AND o_orderdate < '2001-01-01'
+    """,
+)
+def ver_bucketed_merge(spark: SparkSession, d: str) -> DataFrame:
+    """A merge that changes what is there and inserts nothing, so that it has to look the keys up in the log."""
+    table = bucketed_orders(spark, d, "bucketed-merge")
+    table.merge(priced_up(load(spark, d, "orders").filter(since("2000-07-01"))), insert=False, committed_at=committed(3))
+    return table.as_of()
+
+
 @query(
     "ver_history",
     LOG

@@ -36,7 +36,7 @@ def win_row_number(spark: SparkSession, d: str) -> DataFrame:
     """,
 )
 def win_rank(spark: SparkSession, d: str) -> DataFrame:
-    ranked = W.with_ranks(load(spark, d, "part"), ["p_brand"], "p_size")
+    ranked = W.with_ranks(load(spark, d, "part"), ["p_brand"], "p_size", percent=False)
     return ranked.select("p_partkey", "p_brand", "p_size", "rank", "dense_rank")
 
 
@@ -243,7 +243,7 @@ def win_range_7d(spark: SparkSession, d: str) -> DataFrame:
         "event_id", "user_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
     )
     totals = {"value_7d": money("value"), "events_7d": F.lit(1)}
-    summed = W.with_range_totals(events, ["user_id"], "micros", WEEK, "event_id", totals)
+    summed = W.with_range_totals(events, ["user_id"], "micros", WEEK, totals)
     return summed.select("event_id", F.col("value_7d").cast("double").alias("value_7d"), "events_7d")
 
 
@@ -265,10 +265,49 @@ def win_range_nulls(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("event_id") % 3 > 0, money("value")).alias("v"),
         F.when(F.col("event_id") % 5 > 0, micros).alias("micros"),
     )
-    summed = W.with_range_totals(events, ["user_id"], "micros", WEEK, "event_id", {"value_7d": F.col("v")})
+    summed = W.with_range_totals(events, ["user_id"], "micros", WEEK, {"value_7d": F.col("v")})
     return summed.select("event_id", F.col("value_7d").cast("double").alias("value_7d"))
 
 
+@query(
+    "win_range_extremes",
+    """
+    SELECT event_id, min(value) OVER w AS least_7d, max(value) OVER w AS greatest_7d,
+           max(event_type) OVER w AS last_type_7d
+    FROM (SELECT *, epoch_us(ts) AS micros FROM events)
+    WINDOW w AS (PARTITION BY user_id ORDER BY micros RANGE BETWEEN 604800000000 PRECEDING AND CURRENT ROW)
+    """,
+)
+def win_range_extremes(spark: SparkSession, d: str) -> DataFrame:
+    events = load(spark, d, "events").select(
+        "event_id", "user_id", "value", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
+    )
+    least, greatest = {"least_7d": F.col("value")}, {"greatest_7d": F.col("value"), "last_type_7d": F.col("event_type")}
+    framed = W.with_range_extremes(events, ["user_id"], "micros", WEEK, least, greatest)
+    return framed.select("event_id", "least_7d", "greatest_7d", "last_type_7d")
+
+
+@query(
+    "win_range_extremes_ties",
+    """
+    SELECT o_orderkey, min(p) OVER w AS least, max(p) OVER w AS greatest
+    FROM (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS p,
+                 CASE WHEN o_orderkey % 7 > 0 THEN date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS date)) END AS day FROM orders)
+    WINDOW w AS (PARTITION BY o_orderstatus ORDER BY day NULLS FIRST RANGE BETWEEN 10 PRECEDING AND CURRENT ROW)
+    """,
+)
+def win_range_extremes_ties(spark: SparkSession, d: str) -> DataFrame:
+    """Three groups with all the rows, many of them on one day; missing days see each other only."""
+    orders = load(spark, d, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("p"),
+        F.when(F.col("o_orderkey") % 7 > 0, F.unix_date(F.col("o_orderdate").cast("date"))).alias("day"),
+    )
+    framed = W.with_range_extremes(orders, ["o_orderstatus"], "day", 10, {"least": F.col("p")}, {"greatest": F.col("p")})
+    return framed.select("o_orderkey", "least", "greatest")
+
+
 @query(
     "win_default_frame",
     "SELECT p_partkey, p_brand, p_size, CAST(sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_size) AS bigint) AS size_so_far FROM part",

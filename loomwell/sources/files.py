@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loomwell.session import scratch_path
+
 # Microseconds survive a text copy only when the pattern asks for them.
 NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -29,6 +31,13 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("timestampNTZFormat", NTZ_FORMAT).json(path)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows from files in the shared scratch folder; what made them is not worked out again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
     """Hive-style directories with few, even files.
 

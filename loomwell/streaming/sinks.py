@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from loomwell.operators.layout import persisted
 from loomwell.operators.versions import VersionedTable
+from loomwell.streaming.rows import RowFiles
 
 
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
@@ -38,6 +39,11 @@ def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str) -> Streamin
     return run_to_end(writer.option("checkpointLocation", checkpoint))
 
 
+def to_rows(df: DataFrame, writer: RowFiles, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Every row goes through a writer object of its partition and micro-batch."""
+    return run_to_end(df.writeStream.outputMode(mode).foreach(writer).option("checkpointLocation", checkpoint))
+
+
 def last_batch(spark: SparkSession, path: str) -> DataFrame:
     """Result of a complete-mode query: the whole table as of its final batch."""
     batches = spark.read.parquet(path)

@@ -1,4 +1,4 @@
-"""Own keyed state across micro-batches."""
+"""Own keyed state across micro-batches: running totals that stay, and sessions that end."""
 
 from __future__ import annotations
 
@@ -74,3 +74,86 @@ def merge_parts(pieces: DataFrame) -> DataFrame:
         F.sum("value_cents").alias("value_cents"),
         F.max("largest_cents").alias("largest_cents"),
     )
+
+
+# ---- sessions ---------------------------------------------------------------
+
+SPAN = "user_id long, first_us long, last_us long, events long, value_cents long, at timestamp"
+SESSION = "user_id long, first_us long, last_us long, events long, value_cents long"
+OPEN = "firsts array<long>, lasts array<long>, events array<long>, cents array<long>"
+
+Span = tuple[int, int, int, int]  # first and last microsecond, events, cents
+
+
+def chained(spans: list[Span], gap_us: int) -> list[Span]:
+    """Spans that lie at most a gap apart become one."""
+    merged: list[Span] = []
+    for first, last, events, cents in sorted(spans):
+        if merged and first - merged[-1][1] <= gap_us:
+            start, end, n, total = merged[-1]
+            merged[-1] = (start, max(end, last), n + events, total + cents)
+        else:
+            merged.append((first, last, events, cents))
+    return merged
+
+
+def spans_of(events: DataFrame, ts: str, gap_us: int) -> DataFrame:
+    """Events of one user that a task holds together and that lie at most a gap apart, as one row.
+
+    It keeps no state. A very busy user sends few rows to the task that holds the
+    user's sessions, however many events there are. Events without a time belong to
+    no session; a missing value adds nothing.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            ordered = pdf.sort_values(["user_id", "us"], kind="stable")
+            far = (ordered["us"].diff() > gap_us) | ordered["user_id"].diff().ne(0)
+            grouped = ordered.groupby(far.cumsum())
+            spans = grouped.agg(
+                user_id=("user_id", "first"), first_us=("us", "min"), last_us=("us", "max"), events=("us", "size"), value_cents=("cents", "sum")
+            )
+            yield spans.assign(at=pd.to_datetime(spans["last_us"], unit="us", utc=True))
+
+    listed = events.filter(F.col(ts).isNotNull() & F.col("user_id").isNotNull()).select(
+        "user_id",
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+        F.coalesce(F.round(F.col("value") * 100).cast("long"), F.lit(0)).alias("cents"),
+    )
+    return listed.mapInPandas(run, SPAN)
+
+
+def user_sessions(events: DataFrame, ts: str, gap: str, lateness: str) -> DataFrame:
+    """Sessions of a stream: events of a user that follow each other within ``gap``; append mode.
+
+    A session is emitted once the watermark, ``lateness`` behind the newest event,
+    has passed its last event by more than the gap: no event that still counts can
+    then extend it. An event-time timer wakes the user whose next session ends even
+    if no event comes, and a user without an open session holds no state. Events may
+    come in any order within the lateness, so a user can have several open sessions.
+    """
+    gap_us = int(pd.Timedelta(gap) / pd.Timedelta(microseconds=1))
+
+    def close(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        spans: list[Span] = [tuple(map(int, s)) for s in zip(*state.get)] if state.exists else []
+        for pdf in frames:
+            spans += [tuple(map(int, s)) for s in zip(pdf["first_us"], pdf["last_us"], pdf["events"], pdf["value_cents"])]
+        passed_us = state.getCurrentWatermarkMs() * 1000
+        merged = chained(spans, gap_us)
+        ended = [s for s in merged if s[1] + gap_us < passed_us]
+        still = [s for s in merged if s[1] + gap_us >= passed_us]
+        if still:
+            state.update(tuple(list(column) for column in zip(*still)))
+            state.setTimeoutTimestamp((min(s[1] for s in still) + gap_us) // 1000)
+        elif state.exists:
+            state.remove()
+        if ended:
+            firsts, lasts, counts, cents = zip(*ended)
+            yield pd.DataFrame(
+                {"user_id": key[0], "first_us": firsts, "last_us": lasts, "events": counts, "value_cents": cents}
+            )
+
+    spans = spans_of(events, ts, gap_us).withWatermark("at", lateness)
+    return spans.groupBy("user_id").applyInPandasWithState(
+        close, SESSION, OPEN, "append", GroupStateTimeout.EventTimeTimeout
+    )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwell.operators import versions as V
+from loomwell.operators.layout import plan_text
 from loomwell.session import scratch_path
 
 ORDERS = "order_id long, customer_id int, status string, amount double, region string"
@@ -202,3 +203,58 @@ def test_a_narrower_source_is_refused(spark):
         with pytest.raises(ValueError, match="lacks the columns"):
             merge()
     assert t.as_of().collect()[0]["w"] == "keep"
+
+
+@pytest.fixture()
+def bucketed(spark):
+    table = V.VersionedTable(spark, scratch_path(spark, "bucketed-test"), ["id"], buckets=8)
+    table.create(spark.range(1000).withColumn("v", F.col("id") * 2))
+    table.update(F.col("id") % 10 == 0, {"v": F.lit(-1).cast("long")})
+    table.merge(spark.range(990, 1010).withColumn("v", F.lit(7).cast("long")))
+    return table
+
+
+def bare(plan):
+    """Lines of the plan that shuffle."""
+    return [line for line in plan.splitlines() if " Exchange " in line or line.strip().startswith("Exchange")]
+
+
+def test_a_bucketed_log_is_read_without_a_shuffle(spark, bucketed, rows):
+    for version in (None, 1, 0):
+        assert bare(plan_text(bucketed.as_of(version), "simple")) == []
+    assert bucketed.as_of().count() == 1010 and bucketed.as_of(1).count() == 1000
+    assert bucketed.as_of(1).filter("v = -1").count() == 100 and bucketed.as_of(0).filter("v = -1").count() == 0
+    assert rows(bucketed.as_of().filter("id BETWEEN 988 AND 991")) == [(988, 1976), (989, 1978), (990, 7), (991, 7)]
+
+
+def test_a_join_on_the_keys_of_a_bucketed_log_shuffles_the_other_side_alone(spark, bucketed):
+    changes = spark.range(0, 400, 2).hint("merge")
+    kept = bucketed.as_of().join(changes, "id", "left_anti")
+    assert len(bare(plan_text(kept, "simple"))) == 1
+    assert kept.count() == 1010 - 200
+
+
+def test_bucketed_and_plain_logs_hold_the_same(spark, rows):
+    def history(buckets):
+        table = V.VersionedTable(spark, scratch_path(spark, "same"), ["id", "k"], buckets)
+        table.create(spark.createDataFrame([(k, str(k % 3), k) for k in range(40)], "id long, k string, x long"))
+        table.delete(F.col("x") % 4 == 0)
+        table.insert(spark.createDataFrame([(0, "0", 5, "new")], "id long, k string, x long, extra string"), evolve=True)
+        table.merge(spark.createDataFrame([(1, "1", 9, "m"), (99, "z", 9, "m")], "id long, k string, x long, extra string"), insert=False)
+        table.restore(1)
+        return table
+
+    plain, dealt = history(None), history(4)
+    for version in range(5):
+        assert rows(plain.as_of(version)) == rows(dealt.as_of(version))
+    slim = dealt.compact_to(scratch_path(spark, "slim"), 3)
+    assert rows(slim.as_of()) == rows(plain.as_of()) and bare(plan_text(slim.as_of(), "simple")) == []
+
+
+def test_a_failed_bucketed_commit_is_not_read(spark, bucketed):
+    bad = spark.createDataFrame([(1, 1), (1, 2)], "id long, v long")
+    with pytest.raises(Exception, match="more than once"):
+        bucketed.merge(bad)
+    assert bucketed.versions() == [0, 1, 2] and bucketed.as_of().count() == 1010
+    assert bucketed.delete(F.col("id") < 5) == 3
+    assert bucketed.as_of().count() == 1005

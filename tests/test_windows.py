@@ -7,7 +7,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomwell.operators import windows as W
-from loomwell.operators.aggregates import collect_in_chunks, collect_set_in_chunks, exact_quantiles, profile_text, summarise
+from loomwell.operators.aggregates import (
+    collect_in_chunks,
+    collect_set_in_chunks,
+    distinct_by_level,
+    exact_quantiles,
+    profile_text,
+    quantiles_by_group,
+    select_quantiles,
+    summarise,
+    with_dense_code,
+)
+from loomwell.operators.layout import plan_text
 from loomwell.operators.ordering import range_count
 
 SMALL = 7  # rows per task that cuts every group of the skewed fixture
@@ -128,21 +139,59 @@ def test_neighbours(skewed, rows, keys, limit):
     assert rows(plain, *columns) == rows(split, *columns)
 
 
+def native_range(frame, measures):
+    return {n: {"sum": F.sum, "min": F.min, "max": F.max}[k](c).over(frame) for n, (k, c) in measures.items()}
+
+
 @KEYED
-def test_range_totals_equal_the_native_frame_with_nulls(skewed, rows, limit):
+@pytest.mark.parametrize("width", [0, 1, 3, 50])
+def test_range_frames_equal_the_native_frame_with_nulls(skewed, rows, limit, width):
     some = skewed.withColumns(
-        {"v": F.when(F.col("id") % 4 > 0, F.col("v").cast("long")), "w": F.when(F.col("id") % 3 > 0, F.col("w"))}
+        {"v": F.when(F.col("id") % 4 > 0, F.col("v").cast("long") - 6), "w": F.when(F.col("id") % 3 > 0, F.col("w"))}
     )
-    totals = {"s": F.col("w"), "n": F.lit(1)}
-    frame = native(["k"], "v").rangeBetween(-3, 0)
-    plain = some.withColumns({n: F.sum(c).over(frame) for n, c in totals.items()})
-    split = W.with_range_totals(some, ["k"], "v", 3, "id", totals, rows_per_task=limit)
-    assert rows(plain, "id", "s", "n") == rows(split, "id", "s", "n")
+    measures = {"s": ("sum", F.col("w")), "n": ("sum", F.lit(1)), "low": ("min", F.col("w")), "high": ("max", F.col("w"))}
+    plain = some.withColumns(native_range(native(["k"], "v").rangeBetween(-width, 0), measures))
+    split = W.with_range_frames(some, ["k"], "v", width, measures, rows_per_task=limit)
+    assert rows(plain, "id", *measures) == rows(split, "id", *measures)
 
 
-def test_range_totals_of_nulls_alone(spark, rows):
+def test_range_frames_in_one_hot_block(spark, rows):
+    """All rows of one key within one width, many of them peers, cut into many ranges."""
+    df = spark.range(400).select(F.lit("k").alias("k"), "id", (F.pmod(F.col("id") * 37, F.lit(90)) - 45).alias("at"), F.pmod(F.col("id") * 101, F.lit(997)).alias("x"))
+    measures = {"low": ("min", F.col("x")), "high": ("max", F.col("x")), "s": ("sum", F.col("x"))}
+    plain = df.withColumns(native_range(native(["k"], "at").rangeBetween(-60, 0), measures))
+    split = W.with_range_frames(df, ["k"], "at", 60, measures, rows_per_task=7)
+    assert rows(plain, "id", *measures) == rows(split, "id", *measures)
+
+
+def test_range_frames_of_nulls_alone_and_of_nothing(spark, rows):
     df = spark.createDataFrame([("a", 1, None, 5), ("a", 2, None, 7), ("a", 3, 4, None)], "k string, id int, t long, x int")
-    assert rows(W.with_range_totals(df, ["k"], "t", 5, "id", {"s": F.col("x")}), "id", "s") == [(1, 12), (2, 12), (3, None)]
+    assert rows(W.with_range_totals(df, ["k"], "t", 5, {"s": F.col("x")}), "id", "s") == [(1, 12), (2, 12), (3, None)]
+    extremes = W.with_range_extremes(df, ["k"], "t", 5, {"low": F.col("x")}, {"high": F.col("x")})
+    assert rows(extremes, "id", "low", "high") == [(1, 5, 7), (2, 5, 7), (3, None, None)]
+    assert rows(W.with_range_extremes(df.limit(0), ["k"], "t", 5, {"low": F.col("x")}, {}), "id") == []
+    with pytest.raises(ValueError):
+        W.with_range_extremes(df, ["k"], "t", -1, {"low": F.col("x")}, {})
+
+
+def test_the_input_is_worked_out_once(spark):
+    """Counting, drawing range bounds and dealing read what the first of them kept."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for pdf in frames:
+            seen.add(len(pdf))
+            yield pdf
+
+    df = spark.range(500).withColumn("k", F.col("id") % 3).mapInPandas(count, "id long, k long")
+    placed = W.with_position(df, ["k"], [F.asc("id")], rows_per_task=50)
+    assert placed.count() == 500 and seen.value == 500
+    assert not df.storageLevel.useMemory
+
+
+def test_a_frame_that_its_owner_keeps_stays_kept(skewed):
+    W.with_position(skewed, ["k"], [F.asc("id")], rows_per_task=SMALL).count()
+    assert skewed.storageLevel.useMemory
 
 
 @KEYED
@@ -168,7 +217,61 @@ def test_zscore_undefined_for_single_and_constant_groups(spark, rows):
 def test_exact_quantiles(skewed):
     shares = {"lo": 0.1, "mid": 0.5, "q": 0.75, "top": 1.0}
     plain = skewed.agg(*[F.percentile("w", F.lit(p)).alias(n) for n, p in shares.items()]).first()
-    assert plain == exact_quantiles(skewed, "w", shares, rows_per_task=SMALL).first()
+    assert plain == exact_quantiles(skewed, "w", shares).first()
+
+
+@pytest.mark.parametrize("bins", [2, 3, 4096])
+def test_quantiles_of_odd_columns_by_selection(spark, bins):
+    """Extremes of the type, a long tail, ties, negatives, NULLs, a constant, one value, none, NaN and infinity."""
+    rnd = random.Random(bins)
+    table = [
+        (
+            rnd.choice((-1.0, 1.0)) * 10.0 ** rnd.randrange(-300, 308),
+            1.7e308 if k % 2 else -1.7e308,
+            rnd.choice((1, 1, 1, 2, 10**12)) if k % 3 else None,
+            7,
+            k if k == 5 else None,
+            None,
+            float("nan") if k > 150 else float(k),
+            float("inf") if k > 190 else -float(k) if k else float("-inf"),
+        )
+        for k in range(201)
+    ]
+    names = list("abcdefgh")
+    df = spark.createDataFrame(table, "a double, b double, c long, d int, e int, f int, g double, h double")
+    shares = {"q0": 0.0, "q1": 0.01, "q25": 0.25, "q50": 0.5, "q77": 0.7725, "q100": 1.0}
+    got = {r["column_name"]: r for r in select_quantiles(df, names, shares, bins).collect()}
+    for k, name in enumerate(names):
+        values = sorted((float(r[k]) for r in table if r[k] is not None), key=lambda x: (x != x, x))
+        for share, p in shares.items():
+            if not values:
+                assert got[name][share] is None
+                continue
+            at = p * (len(values) - 1)
+            low, high = values[int(at)], values[-int(-at // 1)]
+            expected = low if low == high else low + (high - low) * (at - int(at))
+            assert got[name][share] == expected or (got[name][share] != got[name][share] and expected != expected), (name, share)
+
+
+def test_quantiles_read_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for pdf in frames:
+            seen.add(len(pdf))
+            yield pdf
+
+    df = spark.range(3000).selectExpr("double(id) AS x", "double(id % 7) AS y").mapInPandas(count, "x double, y double")
+    rows_of = {r["column_name"]: tuple(r)[1:] for r in select_quantiles(df, ["x", "y"], {"q25": 0.25, "q50": 0.5}, 16).collect()}
+    assert rows_of == {"x": (749.75, 1499.5), "y": (1.0, 3.0)} and seen.value == 3000
+
+
+@KEYED
+def test_quantiles_by_group(skewed, rows, limit):
+    some = skewed.withColumn("w", F.when(F.col("k").isNull() | (F.col("k") != "c"), F.col("w")))
+    shares = {"lo": 0.1, "mid": 0.5, "top": 1.0}
+    plain = some.groupBy("k").agg(*[F.percentile("w", F.lit(p)).alias(n) for n, p in shares.items()])
+    assert rows(quantiles_by_group(some, ["k"], "w", shares, rows_per_task=limit)) == rows(plain)
 
 
 @KEYED
@@ -183,7 +286,30 @@ def test_chunks_hold_every_value_once(skewed, rows, limit):
 
 
 def test_summary_and_text_profile(skewed, rows):
-    got = rows(summarise(skewed, ["v", "w"], rows_per_task=SMALL), "column_name", "n", "q50")
+    got = rows(summarise(skewed, ["v", "w"]), "column_name", "n", "q50")
     assert got == [(c, 300, skewed.agg(F.percentile(c, F.lit(0.5))).first()[0]) for c in ("v", "w")]
     (text,) = profile_text(skewed, ["k"]).collect()
     assert (text["min"], text["max"], text["mean"]) == ("a", "hot", None) and text["n"] + text["n_null"] == 300
+
+
+@pytest.mark.parametrize("how", ["rollup", "cube"])
+def test_distinct_counts_at_every_level(spark, rows, how):
+    rnd = random.Random(4)
+    table = [(rnd.choice(["a", "b", None]), rnd.randrange(3), rnd.choice([None, -5, 0, 1, 32767, 32768, 32769, 10**7])) for _ in range(200)]
+    df = spark.createDataFrame([*table, ("none", 9, None)], "k string, m int, x long")
+    plain = getattr(df, how)("k", "m").agg(F.grouping_id().alias("level"), F.count_distinct("x").alias("n"))
+    merged = distinct_by_level(df, ["k", "m"], "x", how, "n")
+    assert rows(merged, "k", "m", "level", "n") == rows(plain, "k", "m", "level", "n")
+    with pytest.raises(ValueError):
+        distinct_by_level(df, ["k"], "x", "sets")
+
+
+def test_distinct_counts_copy_bitmaps_and_no_rows(spark):
+    df = spark.range(100_000).select((F.col("id") % 5).alias("k"), (F.col("id") % 3).alias("m"), "id")
+    text = plan_text(distinct_by_level(df, ["k", "m"], "id", "cube"), "simple")
+    assert text.count("Expand") == 1 and text.index("Expand") < text.index("bitmap_construct_agg")
+
+
+def test_dense_codes(spark, rows):
+    df = spark.createDataFrame([(x,) for x in ["b", "a", None, "c", "a"]], "x string")
+    assert rows(with_dense_code(df, "x", "code", rows_per_task=1)) == rows(spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 3), (None, None)], "x string, code long"))
