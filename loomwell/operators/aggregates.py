@@ -5,9 +5,9 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 from itertools import combinations
-from math import ceil, floor, inf, isinf, nan
+from math import ceil, copysign, floor, inf, isinf, nan
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +93,7 @@ def distinct_by_level(
 
 
 BINS = 4096  # per narrowed interval and round
+ROOT = 1 / 64
 
 
 @dataclass
@@ -109,45 +110,62 @@ class Sought:
         return not self.low < self.high
 
 
-def _narrowed(values: DataFrame, columns: list[str], sought: list[Sought], bins: int) -> None:
+def _root(x: float) -> float:
+    return copysign(abs(x) ** ROOT, x)
+
+
+def _entry(i: int, c: str, low: float, high: float, bins: int, rooted: bool) -> str:
+    """SQL for the interval, bin and value of a column: bins of equal width, or equally wide in a high root of the values."""
+    v = c
+    if rooted and _root(low) < _root(high):
+        low, high, v = _root(low), _root(high), f"signum({c}) * power(abs({c}), {ROOT}D)"
+    # the width of an interval may exceed the largest double
+    scale = 0.5 if isinf(high - low) else 1.0
+    share = f"(({v}) * {scale}D - {low * scale!r}D) / {high * scale - low * scale!r}D"
+    place = f"int(greatest(least(floor({share} * {bins}), {bins - 1}), 0))"
+    return f"named_struct('i', {i}, 'bin', {place}, 'v', {c})"
+
+
+def _narrowed(values: DataFrame, columns: list[str], sought: list[Sought], bins: int, rooted: bool) -> None:
     """Shrink the intervals of all wanted places in one scan.
 
-    Every interval is cut into ``bins`` of equal width. The rows inside are counted
-    by bin on the map side, with the least and greatest value of each bin; the bin
-    that holds a wanted rank gives its next interval. The least and the greatest value
-    of an interval never share a bin, so each round narrows it.
+    Every interval is cut into ``bins``. The rows inside are counted by bin on the
+    map side, with the least and greatest value of each bin; the bin that holds a
+    wanted rank gives its next interval. The least and the greatest value of an
+    interval do not share a bin of equal width, so each such round narrows it.
     """
     intervals = list(dict.fromkeys((s.column, s.low, s.high) for s in sought))
+    # intervals of one column are bins of others, so a value lies in one of them at most
     entries = []
-    for n, (column, low, high) in enumerate(intervals):
-        v = F.col(columns[column])
-        # the width of an interval may exceed the largest double
-        scale = 0.5 if isinf(high - low) else 1.0
-        place = (v * scale - low * scale) / (high * scale - low * scale) * bins
-        inside = F.struct(F.lit(n).alias("i"), F.least(F.floor(place), F.lit(bins - 1)).cast("int").alias("bin"), v.alias("v"))
-        entries.append(F.when(v.between(low, high), inside))
-    listed = values.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
-    counted = listed.groupBy("i", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    for k, c in enumerate(columns):
+        cases = [
+            f"WHEN {c} BETWEEN {low!r}D AND {high!r}D THEN {_entry(n, c, low, high, bins, rooted)}"
+            for n, (column, low, high) in enumerate(intervals)
+            if column == k
+        ]
+        if cases:
+            entries.append(f"CASE {' '.join(cases)} END")
+    listed = values.select(F.expr(f"explode(array({', '.join(entries)})) AS e")).filter("e IS NOT NULL")
+    counted = listed.groupBy("e.i", "e.bin").agg(F.expr("count(*) AS n"), F.expr("min(e.v) AS low"), F.expr("max(e.v) AS high"))
     # at most ``bins`` rows per interval from here on
-    through = F.sum("n").over(Window.partitionBy("i").orderBy("bin"))
-    wanted = [(k, intervals.index((s.column, s.low, s.high)), s.rank) for k, s in enumerate(sought)]
-    ranks = values.sparkSession.createDataFrame(wanted, "k int, i int, rank long")
-    held = counted.withColumn("through", through).join(F.broadcast(ranks), "i")
-    hits = held.filter((F.col("through") > F.col("rank")) & (F.col("through") - F.col("n") <= F.col("rank")))
-    for row in hits.select("k", "low", "high", (F.col("rank") - F.col("through") + F.col("n")).alias("rank")).collect():
+    ranks: dict[int, list[str]] = {}
+    for k, s in enumerate(sought):
+        ranks.setdefault(intervals.index((s.column, s.low, s.high)), []).append(f"named_struct('k', {k}, 'rank', {s.rank}L)")
+    wanted = " ".join(f"WHEN {i} THEN array({', '.join(r)})" for i, r in ranks.items())
+    through = counted.selectExpr("*", "sum(n) OVER (PARTITION BY i ORDER BY bin) AS through")
+    hits = through.selectExpr("low", "high", "through - n AS before", "through", f"inline(CASE i {wanted} END)")
+    for row in hits.filter("before <= rank AND rank < through").collect():
         s = sought[row["k"]]
-        s.rank, s.low, s.high = row["rank"], row["low"], row["high"]
+        s.rank, s.low, s.high = row["rank"] - row["before"], row["low"], row["high"]
 
 
-def _ends(c: str) -> Column:
-    finite = F.when(F.col(c).between(-sys.float_info.max, sys.float_info.max), F.col(c))
-    return F.struct(
-        F.count(c).alias("n"),
-        F.count_if(F.col(c) == -inf).alias("below"),
-        F.count(finite).alias("finite"),
-        F.count_if(F.col(c) == inf).alias("above"),
-        F.min(finite).alias("low"),
-        F.max(finite).alias("high"),
+def _ends(c: str) -> str:
+    most = sys.float_info.max
+    finite = f"CASE WHEN {c} BETWEEN {-most!r}D AND {most!r}D THEN {c} END"
+    infinite = "double('infinity')"
+    return (
+        f"named_struct('n', count({c}), 'below', count_if({c} = -{infinite}), 'finite', count({finite}),"
+        f" 'above', count_if({c} = {infinite}), 'low', min({finite}), 'high', max({finite}))"
     )
 
 
@@ -156,7 +174,7 @@ def select_quantiles(df: DataFrame, columns: list[str], shares: dict[str, float]
 
     No values are sorted and none travel: all wanted places of all columns are
     narrowed together by scans that send at most ``bins`` counters per place and task.
-    A few scans do, as each divides the intervals by ``bins``. Values are taken as
+    A few scans do, as each divides the intervals by up to ``bins``. Values are taken as
     doubles, NULLs are left out, NaN counts as the largest value, and a column without
     a value has NULL quantiles. The input is worked out once.
     """
@@ -165,7 +183,7 @@ def select_quantiles(df: DataFrame, columns: list[str], shares: dict[str, float]
     names = [f"c{k}" for k in range(len(columns))]
     doubles = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(n) for c, n in zip(columns, names)])
     with read_once(doubles) as values:
-        ends = values.agg(F.array(*map(_ends, names)).alias("ends")).first()["ends"]
+        ends = values.agg(F.expr(f"array({', '.join(map(_ends, names))}) AS ends")).first()["ends"]
         places: dict[tuple[int, int], Sought] = {}
         for k, e in enumerate(ends):
             for share in shares.values() if e["n"] else ():
@@ -176,8 +194,11 @@ def select_quantiles(df: DataFrame, columns: list[str], shares: dict[str, float]
                     else:
                         value = -inf if rank < e["below"] else inf if rank < e["below"] + e["finite"] + e["above"] else nan
                         places[k, rank] = Sought(k, rank, value, value)
+        # values spread over many orders of magnitude share few bins of equal width, so roots take turns
+        rooted = False
         while open_places := [s for s in places.values() if not s.found]:
-            _narrowed(values, names, open_places, bins)
+            _narrowed(values, names, open_places, bins, rooted)
+            rooted = not rooted
 
     def at(k: int, share: float) -> float | None:
         rows = ends[k]["n"]
@@ -185,7 +206,7 @@ def select_quantiles(df: DataFrame, columns: list[str], shares: dict[str, float]
             return None
         place = share * (rows - 1)
         low, high = places[k, floor(place)].low, places[k, ceil(place)].low
-        return low if low == high else low + (high - low) * (place - floor(place))
+        return low if low == high else (ceil(place) - place) * low + (place - floor(place)) * high
 
     fields = [T.StructField("column_name", T.StringType()), *[T.StructField(n, T.DoubleType()) for n in shares]]
     found = [(c, *[at(k, share) for share in shares.values()]) for k, c in enumerate(columns)]
@@ -220,7 +241,8 @@ def quantiles_by_group(
             return F.min(F.when((F.col("_n") > 0) & (F.col("_through") > rank), F.col("_value")))
 
         low, high = value_at(F.floor(place)), value_at(F.ceil(place))
-        return F.when(low == high, low).otherwise(low + (high - low) * F.max(place - F.floor(place)))
+        above = F.max(place - F.floor(place))
+        return F.when(low == high, low).otherwise(F.max(F.ceil(place) - place) * low + above * high)
 
     return sized.groupBy(*keys).agg(*[at(p).alias(n) for n, p in shares.items()])
 

@@ -1,16 +1,18 @@
 """Exact row positions and running aggregates within groups of any size.
 
 A window gives a whole group to one task, and any group may hold a large share of
-the rows. So there is one route for all: range-partition on (keys, order) into as
-many ranges as the row count asks for, work inside each range, and add what the
-earlier ranges of the same group hold. Only groups that go on from one range into the
-next have any such carry, and at most one group goes on into each range.
+the rows. So a group is cut into one range of its order per ``rows_per_task`` of its
+rows, as ``salted_join`` gives a key one salt per so many rows: most groups are one
+range, a hot group has many. The window works on ranges, and what the earlier ranges of
+a group hold is added to the later ones. Rows of groups that are one range are dealt
+once, by the window itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 from operator import or_
@@ -49,35 +51,71 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return join_by_key(left, right.select(F.struct(*keys).alias("_key"), *rest), keys, how)
 
 
+# Plans of these nodes alone are cheaper to read again than to keep.
+CHEAP = {"Project", "Filter", "LogicalRelation", "LocalRelation", "Range", "InMemoryRelation", "LogicalRDD", "SubqueryAlias"}
+
+
+def cheap_to_read(df: DataFrame) -> bool:
+    """Whether the frame is a scan with filters and column expressions that give the same rows each time."""
+    stack = [df._jdf.queryExecution().optimizedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() not in CHEAP or not node.deterministic():
+            return False
+        children = node.children()
+        stack += [children.apply(k) for k in range(children.size())]
+    return True
+
+
 @contextmanager
 def read_once(df: DataFrame) -> Iterator[DataFrame]:
-    """The frame for several jobs in a row, worked out by the first; one that its owner keeps is left as it is."""
-    level = df.storageLevel
-    if level.useMemory or level.useDisk:
+    """The frame for several jobs in a row; unless it is cheap to read, the first one keeps it for the others."""
+    if cheap_to_read(df):
         yield df
     else:
         with persisted(df) as held:
             yield held
 
 
-def range_count(df: DataFrame, rows_per_task: int) -> int:
-    """Ranges that hold about ``rows_per_task`` rows each; a small input still uses the cores there are."""
-    rows = df.count()
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, ceil(rows / LEAST_ROWS_PER_TASK))
-    return max(1, ceil(rows / rows_per_task), cores)
+def range_count(rows: int, rows_per_task: int, cores: int = 1) -> int:
+    """Ranges of about ``rows_per_task`` rows each; few rows still use the cores there are."""
+    return max(1, ceil(rows / rows_per_task), min(cores, ceil(rows / LEAST_ROWS_PER_TASK)))
+
 
+@dataclass
+class Ranges:
+    """Rows with the number ``_range`` of their range in their group, and of them those of groups with several."""
 
-def in_ranges(df: DataFrame, keys: list[str], order: list[Column], rows_per_task: int) -> DataFrame:
-    """The rows with the number ``_range`` of their range of (keys, order).
+    rows: DataFrame
+    several: DataFrame | None
 
-    The input is worked out once: counting, drawing the bounds and dealing all read
-    the kept rows. What is dealt is written, so that range numbers cannot change
-    between their uses, even after a lost executor.
+
+def in_ranges(df: DataFrame, keys: list[str], order: list[Column], rows_per_task: int) -> Ranges:
+    """Cut each group into ranges of ``order``, one per ``rows_per_task`` of its rows.
+
+    The input is worked out once: unless it is cheap to read, it is written first.
+    The count that finds the groups with several ranges reads the keys alone. Only the
+    rows of those groups are dealt by range, and written, so that range numbers cannot
+    change between their uses, even after a lost executor.
     """
-    with read_once(df) as rows:
-        ranges = range_count(rows, rows_per_task)
-        dealt = rows.repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
-        return stored(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    rows = df if cheap_to_read(df) else stored(df, "rows")
+    if not keys:
+        several, ranges = rows, range_count(rows.count(), rows_per_task, df.sparkSession.sparkContext.defaultParallelism)
+    else:
+        # fewer groups than there will be ranges
+        large = group_by_key(rows, keys, {"_rows": F.count(F.lit(1))}).filter(F.col("_rows") > rows_per_task)
+        ranges = range_count(large.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0], rows_per_task)
+    if ranges == 1:
+        return Ranges(rows.withColumn("_range", F.lit(0)), None)
+    if keys:
+        large = stored(large.select("_key"), "large-groups")
+        several = join_by_key(rows, large, keys, "left_semi")
+    dealt = several.repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
+    several = stored(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    if not keys:
+        return Ranges(several, several)
+    single = join_by_key(rows, large, keys, "left_anti").withColumn("_range", F.lit(0))
+    return Ranges(single.unionByName(several), several)
 
 
 # How an aggregate combines over rows, and over two parts of which either may be NULL.
@@ -89,18 +127,12 @@ OF_TWO = {
 }
 
 
-def carried(ranged: DataFrame, keys: list[str], kinds: dict[str, str], back: bool) -> DataFrame:
-    """Per group and range: the aggregates ``_carry_*`` over the ranges before (with ``back``, after) it.
+def carried(several: DataFrame, keys: list[str], kinds: dict[str, str], back: bool) -> DataFrame:
+    """Per group and range: the aggregates ``_carry_*`` over the group's ranges before (with ``back``, after) it.
 
-    Only groups that begin a range can have begun before it; these are found first,
-    one per range, so no table of all groups is shuffled. Fewer rows than ranges.
+    Hardly more rows than there are ranges.
     """
-    if keys:
-        first = F.struct(F.min(F.struct(*keys)).alias("_key"))
-        heads = ranged.groupBy("_range").agg(first.alias("_key")).select("_key").distinct()
-        inner = F.struct(F.struct(*keys).alias("_key"))
-        ranged = ranged.withColumn("_key", inner).join(F.broadcast(heads), "_key", "left_semi").drop("_key")
-    sums = ranged.groupBy(*keys, "_range").agg(*[OVER_ROWS[k](f"_part_{n}").alias(f"_part_{n}") for n, k in kinds.items()])
+    sums = several.groupBy(*keys, "_range").agg(*[OVER_ROWS[k](f"_part_{n}").alias(f"_part_{n}") for n, k in kinds.items()])
     turn = F.desc("_range") if back else F.asc("_range")
     others = Window.partitionBy(*keys).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
     carry = [OVER_ROWS[k](f"_part_{n}").over(others).alias(f"_carry_{n}") for n, k in kinds.items()]
@@ -109,23 +141,22 @@ def carried(ranged: DataFrame, keys: list[str], kinds: dict[str, str], back: boo
 
 
 def running(
-    ranged: DataFrame, keys: list[str], order: list[Column], parts: dict[str, tuple[str, Column]], back: bool = False
+    ranges: Ranges, keys: list[str], order: list[Column], parts: dict[str, tuple[str, Column]], back: bool = False
 ) -> DataFrame:
     """Add aggregates from the group's first row in ``order`` to the current one; ``parts`` gives kind and value.
 
-    ``ranged`` comes from ``in_ranges``. With ``back``, ``order`` is the reverse of
-    the order of its ranges.
+    With ``back``, ``order`` is the reverse of the order of the ranges.
     """
     kinds = {n: kind for n, (kind, _) in parts.items()}
-    valued = ranged.withColumns({f"_part_{n}": c for n, (_, c) in parts.items()})
-    carry = carried(valued, keys, kinds, back)
+    values = {f"_part_{n}": c for n, (_, c) in parts.items()}
     inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    both = {n: OF_TWO[k](OVER_ROWS[k](f"_part_{n}").over(inside), F.col(f"_carry_{n}")) for n, k in kinds.items()}
-    return (
-        join_on_keys(valued, F.broadcast(carry), [*keys, "_range"], "left")
-        .withColumns(both)
-        .drop(*[f"_part_{n}" for n in kinds], *[f"_carry_{n}" for n in kinds])
-    )
+    found = {n: OVER_ROWS[k](f"_part_{n}").over(inside) for n, k in kinds.items()}
+    valued = ranges.rows.withColumns(values)
+    if ranges.several is not None:
+        carry = carried(ranges.several.withColumns(values), keys, kinds, back)
+        valued = join_on_keys(valued, F.broadcast(carry), [*keys, "_range"], "left")
+        found = {n: OF_TWO[k](found[n], F.col(f"_carry_{n}")) for n, k in kinds.items()}
+    return valued.withColumns(found).drop("_range", *values, *[f"_carry_{n}" for n in kinds])
 
 
 def with_position(
@@ -143,8 +174,8 @@ def position_by_range(
     df: DataFrame, keys: list[str], order: list[Column], name: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Row numbers from ranges of (keys, order), each in a task of its own."""
-    ranged = in_ranges(df, keys, order, rows_per_task)
-    return running(ranged, keys, order, {name: ("sum", F.lit(1))}).drop("_range")
+    ranges = in_ranges(df, keys, order, rows_per_task)
+    return running(ranges, keys, order, {name: ("sum", F.lit(1))})
 
 
 def with_running_totals(
@@ -158,5 +189,5 @@ def with_running_totals(
 
     Sum decimals or integers: their sum does not depend on how rows are dealt.
     """
-    ranged = in_ranges(df, keys, order, rows_per_task)
-    return running(ranged, keys, order, {n: ("sum", c) for n, c in totals.items()}).drop("_range")
+    ranges = in_ranges(df, keys, order, rows_per_task)
+    return running(ranges, keys, order, {n: ("sum", c) for n, c in totals.items()})

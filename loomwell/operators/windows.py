@@ -191,12 +191,11 @@ def with_range_frames(
         probe = F.struct((block - width).alias("_block"), (F.col("_at") - width).alias("_place"), F.lit(0).alias("_step"), *none)
         stream = with_frames.select(*keys, F.inline(F.array(own, probe)))
         group = [*keys, "_block"]
-        ranged = in_ranges(stream, group, [F.asc("_place"), F.asc("_step")], rows_per_task)
+        ranges = in_ranges(stream, group, [F.asc("_place"), F.asc("_step")], rows_per_task)
         up = {f"_up_{n}": (k, F.col(f"_v_{n}")) for n, k in kinds.items()}
         down = {f"_down_{n}": (k, F.col(f"_v_{n}")) for n, k in kinds.items()}
-        # each step reads the ranges that are written
-        ends = running(ranged, group, [F.asc("_place"), F.asc("_step")], up)
-        starts = running(ranged, group, [F.desc("_place"), F.desc("_step")], down, back=True)
+        ends = running(ranges, group, [F.asc("_place"), F.asc("_step")], up)
+        starts = running(ranges, group, [F.desc("_place"), F.desc("_step")], down, back=True)
         upper = ends.filter("_step = 1").select(*keys, F.col("_place").alias("_at"), *up)
         lower = starts.filter("_step = 0").select(*keys, (F.col("_place") + width).alias("_at"), *down)
         both = join_on_keys(upper, lower, [*keys, "_at"])

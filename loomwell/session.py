@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans joins, splits skewed join partitions and merges
-# small shuffle partitions; Arrow carries pandas batches; UTC keeps dates fixed.
+# small shuffle partitions; Arrow carries pandas batches; UTC keeps dates fixed;
+# call sites are not recorded, which takes several calls to the JVM per column expression.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
