@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwell.llm.common import bound_batches
+from loomwell.llm.common import bound_batches, written
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15  # per order
@@ -81,17 +81,22 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> dict:
 
         for batch in batches:
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held = sums.setdefault(name, np.zeros(size, np.int64))
+                held = sums.get(name)
+                if held is None:
+                    held = sums[name] = np.zeros(size, np.int64)
                 rows[name] = rows.get(name, 0) + 1
                 for part in buckets(body):
-                    held += np.bincount(part, minlength=size)
+                    low = int(part[0]) >> BUCKET_BITS << BUCKET_BITS  # all of one order
+                    seen = np.bincount(part - low)
+                    held[low : low + len(seen)] += seen
             if len(sums) > 64:
                 yield from give()
         yield from give()
 
     bound_batches(docs.sparkSession)
     given = docs.select(F.col(lang), F.col(text)).dropna()
-    counted = given.mapInArrow(count, COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    summed = given.mapInArrow(count, COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counted = written(summed, "lang-counts")
     if counted.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     table = counted.toArrow()  # bounded: languages times buckets

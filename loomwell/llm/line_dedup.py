@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwell.llm.common import BLANK, written
-from loomwell.operators.ordering import position_by_range
+from loomwell.operators.ordering import join_on_keys, position_by_range
 
 MIN_WORDS = 10
 
@@ -52,7 +52,8 @@ def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def ranked(rows: DataFrame, by: list[str], name: str) -> DataFrame:
     """Add the place of each row's ``by`` among the distinct values."""
     places = position_by_range(rows.select(*by).distinct(), [], [F.col(c) for c in by], name)
-    return rows.join(places, by).drop(*by)
+    # plain shuffles on both sides: a line in many documents is split
+    return join_on_keys(rows, places, by).drop(*by)
 
 
 def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
@@ -123,7 +124,8 @@ def deleted_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     """``key`` and ``gone``, the ascending numbers of the lines to delete, for documents that lose any."""
     lines = written(line_table(docs, doc_id, text), "lines")
     repeated = written(lines.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("x", "y"), "line-ids")
-    again = lines.join(repeated, ["x", "y"]).distinct()
+    # joined on a struct, so that making the lines distinct cannot reuse the join's dealing, and a hot line is split
+    again = join_on_keys(lines, repeated, ["x", "y"]).distinct()
     rows = suffix_ranks(again, min_words)
     found = written(windows(rows, min_words), "line-windows")
     at = F.struct("key", "start")

@@ -44,6 +44,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprinted(load(spark, sf_dir, "documents"))
 
 
+@query("simhash_near_pairs")
+def simhash_near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the radius search finds, by fingerprint; op2 names the documents of a fingerprint."""
+    return simhash.near_pairs(load(spark, sf_dir, "documents"))
+
+
 # words, three-word windows that occur twice, and lines, as DuckDB lists
 QUALITY_SQL = r"""
 WITH d AS (
