@@ -1,6 +1,7 @@
 """Mixing, sharding and packing, and the pipeline as a whole."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -271,3 +272,39 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             held = corpus_pipeline.written(stage(spark, held, ""), f"odd-{name}")
         assert (held.count() == 0) == (rows is not frame)
+
+
+def five_words(text):
+    words = re.findall("[^ \t-\r]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def test_near_copies_go_although_their_lines_were_cut(spark, tmp_path):
+    """Against all pairs of the texts before the cut; no fragment of a copy is left."""
+    rnd = random.Random(2)
+    words = [f"word{k}" for k in range(700)]
+    docs = []
+    for group in range(12):
+        lines = [" ".join(rnd.choice(words) for _ in range(14)) for _ in range(12)]
+        for copy in range(4 if group < 8 else 1):
+            edited = list(lines)
+            for _ in range(copy):
+                k = rnd.randrange(12)
+                edited[k] = " ".join(w if rnd.random() > 0.1 else rnd.choice(words) for w in edited[k].split())
+            docs.append((len(docs), "\n".join(edited), "en", f"s{group % 3}", 1))
+    long = "\n".join(" ".join(rnd.choice(words) for _ in range(20)) for _ in range(4000))
+    docs += [(900, long, "en", "s0", 1), (901, docs[0][1], "en", "s1", 1), (901, docs[0][1], "en", "s1", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    held = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        held = corpus_pipeline.written(stage(spark, held, str(tmp_path)), f"near-{name}")
+    before = {r["doc_id"] for r in held.collect()}
+    after = {r["doc_id"] for r in corpus_pipeline.dedup_near(spark, held, str(tmp_path)).collect()}
+    sets = {d: five_words(t) for d, t, *_ in docs if d in before}
+    group = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    assert after == {d for d in sets if group[d] == d} and len(after) < len(before)
