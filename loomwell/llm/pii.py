@@ -1,11 +1,12 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds what they miss.
 
-The patterns find what is written by the book. The field labels whole spans: near
-digits and @ signs every stretch of up to ``MAX_TOKENS`` tokens is a candidate for
-each kind, scored by features of the whole span (digits, groups, checksum, octets,
-signs). Dynamic programming over the tokens, with spans of bounded length, picks
-boundaries and kinds together. Its weights come from the patterns' own findings, as
-found and in altered spellings, against all other tokens near digits.
+The patterns find what is written by the book. The field labels whole spans: where
+digits, @ signs or spelled-out addresses stand, every stretch of up to ``MAX_TOKENS``
+tokens is a candidate for each kind, scored by features of the whole span (digits,
+groups, checksum, octets, signs, and whether it reads as an address once its signs are
+put back). Dynamic programming over the tokens, with spans of bounded length, picks
+boundaries and kinds together. Its weights come from the patterns' own findings, in
+their surroundings, as found and in altered spellings, against all other such stretches.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from loomwell.llm.common import bound_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TOKENS, MAX_CHARS = 6, 80
+MAX_TOKENS, MAX_CHARS = 9, 80
 SAMPLE = 3000  # islands that the weights are fitted on
 EPOCHS, RATE, RIDGE = 120, 0.5, 1e-3
 
@@ -32,6 +33,20 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HINT = re.compile(r"[0-9@]\S*")
+# between two tokens of one island: blanks, and up to two tokens of punctuation or a sign for an extension
+GAP = re.compile(r"[ \t]{1,3}(?:(?:[^\w\s@]{1,3}|[Ee]xt\.?|x)[ \t]{1,3}){0,2}")
+AT = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(?:at|@)[ \t]*[\])}>][ \t]*|[ \t]*@[ \t]*|[ \t]+at[ \t]+")
+DOT = re.compile(r"(?i)[ \t]*[\[({<][ \t]*dot[ \t]*[\])}>][ \t]*|[ \t]+dot[ \t]+|[ \t]+\.[ \t]*")
+ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# an address whose signs are bracketed, set apart or written as words; "at" alone only with "dot"
+SPELLED = re.compile(
+    r"(?i)(?<![\w.%+-])[a-z0-9._%+-]++(?:"
+    r"[ \t]*+(?:[\[({<][ \t]*(?:at|@)[ \t]*[\])}>]|@)[ \t]*+[a-z0-9-]++"
+    r"(?:(?:[ \t]*+\.|[ \t]*+[\[({<][ \t]*dot[ \t]*[\])}>]|[ \t]++dot(?=[ \t]))[ \t]*+[a-z0-9-]++)+"
+    r"|[ \t]++at[ \t]++[a-z0-9-]++(?:[ \t]++dot[ \t]++[a-z0-9-]++)+)"
+)
+TOKEN, TOKEN_BEFORE, TOKEN_AFTER = re.compile(r"\S+"), re.compile(r"(\S+)[ \t]+$"), re.compile(r"\S*(?:[ \t]+\S+)?")
+SPELLED_HINT = re.compile(r"(?i)@|\bdot\b")
 DIGITS = re.compile(r"[0-9]+")
 OPENING, CLOSING = "([{<\"'`", ".,;:!?)]}>\"'`"
 
@@ -78,19 +93,37 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def islands(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Chains of tokens with a digit or an @, one blank apart, as token spans."""
-    chain: list[tuple[int, int]] = []
+    """Stretches that may hold personal data, as lists of token spans.
+
+    Tokens with a digit or an @ belong together if blanks alone, or few tokens of
+    punctuation, lie between them. An address in any of the spellings of ``SPELLED``
+    is taken with a token on either side, so that its boundaries are the field's choice.
+    """
+    places: list[tuple[int, int]] = []
     for found in HINT.finditer(text):
         start, end = found.span()
-        low = chain[-1][1] if chain else 0
+        low = places[-1][1] if places else 0
         while start > low and not text[start - 1].isspace():
             start -= 1
-        if chain and start != chain[-1][1] + 1:
-            yield chain
-            chain = []
-        chain.append((start, end))
-    if chain:
-        yield chain
+        if places and (gap := GAP.match(text, low)) and gap.end() == start:
+            places[-1] = (places[-1][0], end)
+        else:
+            places.append((start, end))
+    if SPELLED_HINT.search(text):
+        for found in SPELLED.finditer(text):
+            start, end = found.span()
+            before = TOKEN_BEFORE.search(text, max(0, start - MAX_CHARS), start)
+            after = TOKEN_AFTER.match(text, end)
+            places.append((before.start(1) if before else start, after.end() if after else end))
+        places.sort()
+    low, high = -1, -1
+    for start, end in [*places, (len(text) + 1, 0)]:
+        if start > high:
+            if high > low:
+                yield [(low + m.start(), low + m.end()) for m in TOKEN.finditer(text[low:high])]
+            low, high = start, end
+        else:
+            high = max(high, end)
 
 
 def core(text: str, start: int, end: int) -> tuple[int, int]:
@@ -102,13 +135,14 @@ def core(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-FEATURES = 26
+FEATURES = 29
 
 
 def features(span: str) -> list[int]:
     """Numbers of the features of a whole span, independent of its kind."""
     digits = digits_of(span)
     groups = [len(g) for g in DIGITS.findall(span)]
+    joined = DOT.sub(".", AT.sub("@", span))
     letters = any(c.isalpha() for c in span)
     n = len(digits)
     edges = (0, 1, 4, 7, 9, 12, 13, 16, 20)
@@ -130,15 +164,26 @@ def features(span: str) -> list[int]:
         len(groups) == 1,
         " " in span,
         "@" not in span and letters and n > 0,
+        ADDRESS.fullmatch(joined),
+        joined != span and "@" in joined,
+        " " in joined,
     )
     return on + [10 + k for k, t in enumerate(tests) if t]
 
 
 def candidates(text: str, chain: list[tuple[int, int]]) -> list[tuple[int, int, int, int, list[int]]]:
-    """(first token, token after the last, start, end, features) of all spans of bounded length."""
+    """(first token, token after the last, start, end, features) of all spans of bounded length.
+
+    No span begins or ends with punctuation alone, but for what opens a number.
+    """
     out = []
+    solid = [any(c.isalnum() for c in text[start:end]) for start, end in chain]
     for i in range(len(chain)):
+        if not solid[i] and text[chain[i][0] : chain[i][1]] not in ("(", "+"):
+            continue
         for j in range(i, min(i + MAX_TOKENS, len(chain))):
+            if not solid[j]:
+                continue
             start, end = core(text, chain[i][0], chain[j][1])
             if 0 < end - start <= MAX_CHARS:
                 out.append((i, j + 1, start, end, features(text[start:end])))
@@ -171,14 +216,31 @@ def respelled(kind: str, span: str) -> list[str]:
     """A found span as it is, and as others might write it."""
     digits = digits_of(span)
     if kind == "phone":
-        tail = f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}"
-        return [span, span.lstrip("+"), f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}", tail, tail.replace("-", ".")]
+        area, office, line = digits[-10:-7], digits[-7:-4], digits[-4:]
+        signs = [f"({area}) {office}-{line}", f"({area})  {office} - {line}", f"( {area} ) {office} {line}"]
+        return [span, span.lstrip("+"), *signs, *[sign.join((area, office, line)) for sign in ("-", ".", "  ", " - ")]]
     if kind == "card":
         fours = [digits[k : k + 4] for k in range(0, len(digits), 4)]
-        return [span, " ".join(fours), "-".join(fours), ".".join(fours)]
+        return [span, *[sign.join(fours) for sign in (" ", "-", ".", " - ", "  ")]]
     if kind == "ip":
-        return [span, span.replace(".", "[.]")]
-    return [span]
+        return [span, *[span.replace(".", sign) for sign in ("[.]", " . ", " [.] ")]]
+    local, _, host = span.partition("@")
+    signs = ((" [at] ", " [dot] "), (" (at) ", "."), (" @ ", "."), (" at ", " dot "), ("[at]", "[dot]"), (" @ ", " . "), ("@", " dot "))
+    return [span, *[local + at + host.replace(".", dot) for at, dot in signs]]
+
+
+def in_place(text: str, spans: list[tuple[str, int, int]], turn: int) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
+    """An island with one of its spans respelled at a time, the rest of it as it is, and where its spans are then.
+
+    Each span is used as found and in two other spellings, which take turns from sample to sample.
+    """
+    for n, (kind, start, end) in enumerate(spans):
+        found, *others = respelled(kind, text[start:end])
+        for spelling in (found, *[others[(2 * turn + k) % len(others)] for k in (0, 1)]):
+            more = len(spelling) - (end - start)
+            body = text[:start] + spelling + text[end:]
+            moved = [(k, s + more * (s >= end), e + more * (s >= end)) for m, (k, s, e) in enumerate(spans) if m != n]
+            yield body, [(k, *core(body, s, e)) for k, s, e in [*moved, (kind, start, start + len(spelling))]]
 
 
 def fit(samples: list[tuple[str, list[tuple[str, int, int]]]]) -> np.ndarray:
@@ -192,7 +254,7 @@ def fit(samples: list[tuple[str, list[tuple[str, int, int]]]]) -> np.ndarray:
     weights[:, 0] = -2.0
     rows, facts, observed = [], [], np.zeros_like(weights)
     for text, spans in samples:
-        chain = [m.span() for m in re.finditer(r"\S+", text)]
+        chain = [m.span() for m in TOKEN.finditer(text)]
         held = candidates(text, chain)
         wanted = {(s, e): KINDS.index(k) for k, s, e in spans}
         rows.append((len(chain), [(i, j) for i, j, *_ in held], len(facts)))
@@ -254,7 +316,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                 body = body or ""
                 hint = HINT.search(body)
                 base.append([f"{k}:{s}:{e}" for k, s, e in base_spans(body)] if hint else [])
-                chains = list(islands(body)) if hint else []
+                chains = list(islands(body))
                 starts.append([c[0][0] for c in chains])
                 bodies.append([body[c[0][0] : c[-1][1]] for c in chains])
             columns = [batch.column(0), pa.array(base, pa.list_(pa.string())), pa.array(starts, pa.list_(pa.int64())), pa.array(bodies, pa.list_(pa.string()))]
@@ -284,9 +346,7 @@ def learn(found: DataFrame, sample: int = SAMPLE) -> np.ndarray:
             inside = [(k, s - at, e - at) for k, s, e in read_spans(row["base"]) if at <= s and e <= at + len(text)]
             if not inside:
                 samples.append((text, []))
-            for kind, start, end in inside:
-                for spelling in respelled(kind, text[start:end]):
-                    samples.append((spelling, [(kind, *core(spelling, 0, len(spelling)))]))
+            samples += in_place(text, inside, len(samples))
     return fit(samples)
 
 
@@ -301,7 +361,7 @@ def add_spans(found: DataFrame, weights: np.ndarray) -> DataFrame:
                 held = read_spans(row["base"])
                 more = []
                 for at, body in zip(row["starts"], row["islands"]):
-                    chain = [m.span() for m in re.finditer(r"\S+", body)]
+                    chain = [m.span() for m in TOKEN.finditer(body)]
                     for kind, s, e in best_spans(body, chain, weights):
                         if all(e + at <= a or b <= s + at for _, a, b in held):
                             more.append(f"{kind}:{s + at}:{e + at}")

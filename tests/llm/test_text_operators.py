@@ -5,6 +5,7 @@ import re
 import zlib
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from compare import connect, differences
 from loomwell.llm import lang_id, line_dedup, pii, quality, url_filter
@@ -129,6 +130,94 @@ def test_personal_data(spark, sf):
         assert every == sorted(every, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
 
 
+SEVEN = {
+    "call (212) 555 - 0199 now": "phone:5:21",
+    "card 4111 - 1111 - 1111 - 1111 ok": "card:5:30",
+    "host 10 . 0 . 0 . 7 down": "ip:5:19",
+    "call (212)  555-0199 now": "phone:5:20",
+    "card 4111  1111  1111  1111 ok": "card:5:27",
+    "write to jane [at] mail [dot] org today": "email:9:33",
+    "write to jane @ mail.org today": "email:9:24",
+}
+
+
+def test_islands_hold_whole_spellings():
+    for text, span in SEVEN.items():
+        start, end = map(int, span.split(":")[1:])
+        assert any(chain[0][0] <= start and end <= chain[-1][1] for chain in pii.islands(text)), text
+    assert list(pii.islands("no such thing at all, dot")) == [] and list(pii.islands("")) == []
+    chains = list(pii.islands("1 2 word 3\n4 - - 5 - - - 6"))
+    assert [(c[0][0], c[-1][1]) for c in chains] == [(0, 3), (9, 10), (11, 18), (25, 26)]
+    long = "9" * 300_000
+    assert [len(c) for c in pii.islands(long + " x")] == [1] and pii.candidates(long, [(0, len(long))]) == []
+
+
+def test_best_spans_against_all_segmentations():
+    rnd = random.Random(6)
+    for _ in range(60):
+        text = " ".join(rnd.choice(["12", "a@b.c", "-", "(212)", "555", "x", "10.0.0.1", "at", "dot"]) for _ in range(rnd.randrange(1, 7)))
+        chain = [m.span() for m in re.finditer(r"\S+", text)]
+        weights = np.array([[rnd.uniform(-1, 0.8) for _ in range(pii.FEATURES)] for _ in pii.KINDS])
+        held = {}
+        for i, j, start, end, on in pii.candidates(text, chain):
+            held[i, j] = (weights[:, on].sum(axis=1).max(), start, end)
+
+        def best(at):
+            if at == len(chain):
+                return 0.0, []
+            options = [best(at + 1)]
+            for j in range(at + 1, len(chain) + 1):
+                if (at, j) in held:
+                    score, start, end = held[at, j]
+                    rest = best(j)
+                    options.append((score + rest[0], [(start, end), *rest[1]]))
+            return max(options, key=lambda o: o[0])
+
+        assert [s[1:] for s in pii.best_spans(text, chain, weights)] == best(0)[1]
+
+
+def personal_corpus(rnd, n):
+    number = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(3, 8)))
+    docs = []
+    for k in range(n):
+        card = number(15)
+        card += next(c for c in "0123456789" if checksum(card + c))
+        thing = rnd.choice(
+            [f"+1 ({number(3)}) {number(3)}-{number(4)}", f"{rnd.randrange(256)}.{rnd.randrange(256)}.1.9", f"{word()}{number(2)}@{word()}.org", f"{word()}.{word()}@mail.{word()}.com",
+             card, f"version 2.{number(1)}", f"in {number(4)}", f"id={number(9)}x", f"{number(2)} - {number(3)} words", f"at {number(2)} . Then", f"{number(5)}, {number(6)} and {number(7)}"]
+        )
+        docs.append((k, f"{word()} {word()} {thing} {word()} {word()}"))
+    return docs, number, word
+
+
+def test_added_spans_are_right_and_few_are_missed(spark):
+    """Spellings in texts that the field was not fitted on, among numbers that are nobody's."""
+    rnd = random.Random(12)
+    docs, number, word = personal_corpus(rnd, 900)
+    wanted, rows = {}, list(docs)
+    for k in range(5000, 5400):
+        card = number(15)
+        card += next(c for c in "0123456789" if checksum(card + c))
+        fours = [card[i : i + 4] for i in range(0, 16, 4)]
+        kind, thing = rnd.choice(
+            [("phone", f"({number(3)}) {number(3)} - {number(4)}"), ("phone", f"({number(3)})  {number(3)}-{number(4)}"), ("card", " - ".join(fours)), ("card", "  ".join(fours)),
+             ("ip", f"10 . {rnd.randrange(256)} . 0 . 7"), ("ip", f"172[.]16[.]0[.]{rnd.randrange(256)}"), ("email", f"{word()} [at] {word()} [dot] org"), ("email", f"{word()} @ {word()}.net"),
+             ("email", f"{word()} at {word()} dot com"), (None, f"{number(4)} - {number(4)}"), (None, f"at {number(2)}, dot"), (None, f"{number(2)} . {number(1)}"), (None, "meet at noon, dot the i")]
+        )
+        text = f"{word()} {word()} {thing} {word()} {word()}"
+        rows.append((k, text))
+        start = text.index(thing)
+        wanted[k] = [f"{kind}:{start}:{start + len(thing)}"] if kind else []
+    rows += [(9000 + n, t) for n, t in enumerate(SEVEN)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    added = {r["doc_id"]: r["added"] for r in pii.personal_data(frame).collect()}
+    assert [added[9000 + n] for n in range(len(SEVEN))] == [[s] for s in SEVEN.values()]
+    right = sum(len(set(added[k]) & set(w)) for k, w in wanted.items())
+    assert right >= 0.95 * sum(map(len, wanted.values())), "recall"
+    assert right >= 0.95 * sum(len(added[k]) for k in wanted), "precision"
+
+
 def test_field_adds_other_spellings(spark):
     rnd = random.Random(2)
     number = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
