@@ -31,24 +31,12 @@ from pyspark.sql import functions as F
 from loomwell.operators.ordering import join_on_keys, position_by_range
 from loomwell.session import scratch_path
 
-ROUND = 240  # slots in which shares are stated
 BLOCK_ROWS = 8
 LONGEST = 1 << 20  # slots of a round that is looked for; longer ones are planned block by block
 PLAN_ROWS, REPEATS = 1 << 18, 1 << 16
 PLAN = "source string, block long, slot long, blocks long, slots long, rounds long"
 
 
-def round_slots(weights: list[float]) -> list[int]:
-    """Whole slots of a round, rounded: one each, and the rest by weight with largest remainders."""
-    spare, total = ROUND - len(weights), sum(weights)
-    exact = [spare * w / total for w in weights]
-    slots = [1 + floor(x) for x in exact]
-    by_rest = sorted(range(len(weights)), key=lambda i: (floor(exact[i]) - exact[i], i))
-    for i in by_rest[: ROUND - sum(slots)]:
-        slots[i] += 1
-    return slots
-
-
 def whole_weights(weights: list[float]) -> list[int]:
     """Whole numbers in the same proportion as the weights, in lowest terms."""
     exact = [Fraction(str(w)) for w in weights]
@@ -160,7 +148,7 @@ def earliest_deadline_first(counts: list[int]) -> list[int]:
 def plan(
     sources: list[tuple[str | None, int]], weights: dict[str, float], default: float, block_rows: int
 ) -> tuple[Iterator[tuple], int, dict]:
-    """The plan's rows, the number of blocks, and the exact part of ``ROUND`` slots that each source is to get."""
+    """The plan's rows, the number of blocks, and the exact part of all slots that each source is to get."""
     names = [n for n, _ in sources]
     blocks = [ceil(rows / block_rows) for _, rows in sources]
     numbers = whole_weights([weights.get(n, default) for n in names])
@@ -170,7 +158,7 @@ def plan(
             for r in range(0, rounds, REPEATS):
                 yield names[i], block + r * step, slot + r * slots, step, slots, min(REPEATS, rounds - r)
 
-    return rows(), sum(blocks), {n: Fraction(ROUND * w, sum(numbers)) for n, w in zip(names, numbers)}
+    return rows(), sum(blocks), {n: Fraction(w, sum(numbers)) for n, w in zip(names, numbers)}
 
 
 def plan_table(spark: SparkSession, lines: Iterator[tuple]) -> DataFrame:
@@ -228,6 +216,25 @@ def mixed(
     )
 
 
+def with_lag(placed: DataFrame, weights: dict[str, float], default: float = 1.0) -> DataFrame:
+    """Add to the rows of ``mixed`` the target ``share`` of their source, and ``lag``.
+
+    The lag is the number of blocks that the source has after this one's slot, less
+    its share of the slots so far: between -1 and 1. It is NULL from the slot on at
+    which the first source runs out, as the others then share its slots.
+    """
+    weight = F.lit(float(default))
+    for name, w in weights.items():
+        weight = F.when(F.col("source") == name, F.lit(float(w))).otherwise(weight)
+    sources = placed.groupBy("source").agg((F.max("block") + 1).alias("_blocks")).withColumn("_weight", weight)
+    total = sources.agg(F.sum("_weight")).scalar()
+    first_end = sources.agg(F.min(F.col("_blocks") / F.col("_weight"))).scalar()
+    shared = sources.select("source", (F.col("_weight") / total).alias("share"), (first_end * total).alias("_until"))
+    so_far = F.col("slot") + 1
+    lag = F.when(so_far <= F.col("_until"), F.col("block") + 1 - so_far * F.col("share"))
+    return join_on_keys(placed, shared, ["source"]).withColumn("lag", lag).drop("_until")
+
+
 def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """All rows and columns, sorted into the mixed order.
 

@@ -22,6 +22,7 @@ from loomwell.llm import (
     spelling,
     url_filter,
 )
+from loomwell.llm.common import written
 from loomwell.llm.packing import tokenizer_files
 from loomwell.sources.tables import load
 
@@ -108,10 +109,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("_row.doc_id", "_cut.lines", "_cut.deleted", F.col("_text").alias("text"))
 
 
+# target weights; every other source, documents without one included, has 1
+MIX = {"src0": 6.0, "src1": 2.5, "src2": 0.5, "src3": 1.75}
+
+
 @query("op5_source_mixing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed order of all documents; every source has the same target weight."""
-    return mixing.mixed(load(spark, sf_dir, "documents"))
+    """The mixed order of all documents, each source's target share, and how far it is from it after each block."""
+    placed = written(mixing.mixed(load(spark, sf_dir, "documents"), MIX), "mixed")
+    return mixing.with_lag(placed, MIX)
 
 
 @query("op6_sharding")

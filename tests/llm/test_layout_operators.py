@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from loomwell.llm import mixing, packing, sharding
+from loomwell.llm.queries import MIX, QUERIES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -25,8 +26,7 @@ def lags(order, weights):
 
 @pytest.mark.parametrize("weights", [[1, 1, 1], [120, 60, 30, 29, 1], [5, 3], [1], [10] * 24, [0.5, 0.25, 100]])
 def test_every_source_stays_within_a_block(weights):
-    slots = mixing.round_slots(weights)
-    assert sum(slots) == mixing.ROUND and min(slots) >= 1
+    slots = [4 * w for w in mixing.whole_weights(weights)]
     order = mixing.earliest_deadline_first(slots)
     assert Counter(order) == dict(enumerate(slots))
     assert lags(order, dict(enumerate(slots))) < 1
@@ -51,7 +51,7 @@ def test_mixed_order(spark):
         seen[source] += 1
     _, _, slots = mixing.plan(sorted(Counter(r[1] for r in rows).items(), key=lambda x: (x[0] is not None, x[0] or "")), {"hot": 3.0}, 1.0, 4)
     first_end = min(-(-Counter(r[1] for r in rows)[s] // 4) / n for s, n in slots.items())
-    start = [blocks[k][0] for k in range(int(first_end) * mixing.ROUND)]
+    start = [blocks[k][0] for k in range(int(first_end))]
     assert not start or lags(start, slots) < 1
     assert mixing.mixed(frame.limit(0)).collect() == []
 
@@ -76,6 +76,27 @@ def test_lag_against_the_given_weights(spark, weights):
         assert all(abs(done[s] - t * w / total) < 1 for s, w in exact.items())
 
 
+def test_stated_lags(spark, sf):
+    """The registered query's shares and lags, worked out again from its order and the weights."""
+    rows = QUERIES["op5_source_mixing"](spark, sf).collect()
+    blocks = {r["slot"]: (r["source"], r["block"], r["share"], r["lag"]) for r in rows}
+    assert sorted(blocks) == list(range(len(blocks)))
+    sources = {b[0] for b in blocks.values()}
+    total = sum(MIX.get(s, 1.0) for s in sources)
+    done = Counter()
+    left = Counter(b[0] for b in blocks.values())
+    until = min(left[s] * total / MIX.get(s, 1.0) for s in sources)
+    for slot in sorted(blocks):
+        source, block, share, lag = blocks[slot]
+        done[source] += 1
+        assert share == pytest.approx(MIX.get(source, 1.0) / total) and block + 1 == done[source]
+        if slot + 1 <= until:
+            assert lag == pytest.approx(done[source] - (slot + 1) * share) and abs(lag) < 1
+        else:
+            assert lag is None
+    assert len({round(b[2], 9) for b in blocks.values()}) > 2
+
+
 def test_lag_after_sources_have_run_out():
     rnd = random.Random(8)
     for _ in range(100):

@@ -3,7 +3,9 @@
 import random
 import re
 import zlib
+from collections import Counter
 from hashlib import sha256
+from math import exp, log
 
 import numpy as np
 import pytest
@@ -255,6 +257,54 @@ def test_language_odd_rows(spark):
     assert [r["lang_pred"] for r in lang_id.predicted(blank).collect()] == ["und"]
 
 
+def plain_bayes(docs, texts):
+    """Naive Bayes by the book over the same hashed n-grams, one order after the other, in plain Python."""
+
+    def grams(text):
+        codes = [0, *map(ord, text.lower()), 0]
+        for at, order in enumerate(lang_id.ORDERS):
+            for k in range(len(codes) - order + 1):
+                mixed = 0
+                for c in codes[k : k + order]:
+                    mixed = (mixed + c + 1) * 0x9E3779B97F4A7C15 % 2**64
+                    mixed ^= mixed >> 29
+                yield at, mixed >> 64 - lang_id.BUCKET_BITS
+
+    langs = sorted({lang for lang, _ in docs})
+    counts = {lang: Counter(g for name, t in docs if name == lang for g in grams(t)) for lang in langs}
+    totals = {(lang, at): sum(n for (o, _), n in counts[lang].items() if o == at) for lang in langs for at in range(len(lang_id.ORDERS))}
+    rows = Counter(lang for lang, _ in docs)
+    out = []
+    for text in texts:
+        logs = {}
+        for lang in langs:
+            likely = 0.0
+            for at, bucket in grams(text):
+                likely += log((counts[lang][at, bucket] + lang_id.SMOOTHING) / (totals[lang, at] + lang_id.SMOOTHING * 2**lang_id.BUCKET_BITS))
+            logs[lang] = log(rows[lang] / len(docs)) + likely / len(lang_id.ORDERS)
+        top = max(logs.values())
+        best = next(lang for lang in langs if logs[lang] == top)
+        out.append((best, 1 / sum(exp(x - top) for x in logs.values())))
+    return out
+
+
+def test_language_against_plain_bayes(spark):
+    rnd = random.Random(4)
+    words = {"en": "the cat and dog of this house".split(), "de": "der hund und die katze im haus".split(), "fr": "le chat et la maison été".split()}
+    docs = [(lang, " ".join(rnd.choice(words[lang]) for _ in range(rnd.randrange(1, 12)))) for lang in ("en", "en", "de", "fr") for _ in range(10)]
+    texts = [" ".join(rnd.choice(words[rnd.choice(list(words))]) for _ in range(rnd.randrange(1, 5))) for _ in range(60)]
+    model = lang_id.learn(spark.createDataFrame(docs, "lang string, text string"))
+    got = lang_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r, (best, score) in zip(sorted(got, key=lambda r: r["doc_id"]), plain_bayes(docs, texts)):
+        assert r["lang_pred"] == best and r["score"] == pytest.approx(score, abs=2e-4)
+
+
+def test_language_ties_go_to_the_first_name(spark):
+    docs = [(lang, "la la") for lang in ("b", "a", "c")]
+    model = lang_id.learn(spark.createDataFrame(docs, "lang string, text string"))
+    assert lang_id.guess("la", model) == ("a", pytest.approx(1 / 3))
+
+
 def test_language_blocks_change_nothing(monkeypatch):
     text = "abcde äö x" * 50
     whole = sorted(sum((b.tolist() for b in lang_id.buckets(text)), []))
