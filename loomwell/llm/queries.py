@@ -40,6 +40,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def values(rows, *columns: str) -> str:
+    quoted = [", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in row) for row in rows]
+    return f"(VALUES {', '.join(f'({q})' for q in quoted)}) AS v({', '.join(columns)})"
+
+
 @query("op2_simhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprinted(load(spark, sf_dir, "documents"))
@@ -92,6 +97,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(load(spark, sf_dir, "documents"))
 
 
+ABLATION_SQL = f"""
+SELECT {quality.CURRENT} AS policy, rule, count(*) FILTER (WHERE failed & bit <> 0) AS fails,
+       count(*) FILTER (WHERE failed & {quality.mask(quality.POLICIES[quality.CURRENT])} = bit) AS "only",
+       count(*) FILTER (WHERE failed & {quality.mask(quality.POLICIES[quality.CURRENT])} IN (0, bit)) AS kept_without,
+       bool_or(failed & bit <> 0) AS ever_failed
+FROM ({QUALITY_SQL}), {values([(n, quality.mask((n,))) for n in quality.POLICIES[quality.CURRENT]], "rule", "bit")} GROUP BY rule
+"""
+
+
+@query("quality_ablations", ABLATION_SQL)
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does, from the stored ledger's bits alone."""
+    return quality.ablations(written(quality.rule_ledger(load(spark, sf_dir, "documents")), "quality-ledger"))
+
+
 @query("op1_url_filter")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(load(spark, sf_dir, "pages"))
@@ -141,11 +161,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, sf_dir, "documents"), size=4, percent=80)
 
 
-def values(rows, *columns: str) -> str:
-    quoted = [", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in row) for row in rows]
-    return f"(VALUES {', '.join(f'({q})' for q in quoted)}) AS v({', '.join(columns)})"
-
-
 # Words with their places; phrases by their words in a row; templates by counting their words in each block.
 LICENSE_SQL = rf"""
 WITH phrases AS (SELECT label, string_split(phrase, ' ') AS p FROM {values(license_scan.PHRASES, 'label', 'phrase')}

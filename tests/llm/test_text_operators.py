@@ -15,8 +15,9 @@ from loomwell.llm.queries import ORACLES, QUERIES
 from pyspark.sql import functions as F
 
 
-def test_quality_equals_its_sql(spark, sf):
-    assert differences(QUERIES["op8_quality_rules"](spark, sf), connect(sf), ORACLES["op8_quality_rules"]) is None
+@pytest.mark.parametrize("name", ["op8_quality_rules", "quality_ablations"])
+def test_quality_equals_its_sql(spark, sf, name):
+    assert differences(QUERIES[name](spark, sf), connect(sf), ORACLES[name]) is None
 
 
 def test_quality_odd_rows(spark):
