@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans joins, splits skewed join partitions and merges
 # small shuffle partitions; Arrow carries pandas batches; UTC keeps dates fixed;
-# call sites are not recorded, which takes several calls to the JVM per column expression.
+# call sites are not recorded, which takes several calls to the JVM per column expression;
+# checkpoints go once nothing refers to them.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -55,6 +57,21 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    HANDED_OUT.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove what lies at all paths handed out so far, once no frame made from it is needed; returns their number."""
+    jvm = spark._jvm
+    released = len(HANDED_OUT)
+    while HANDED_OUT:
+        path = jvm.org.apache.hadoop.fs.Path(HANDED_OUT.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return released

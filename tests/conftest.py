@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from loomwell.session import get_session  # noqa: E402
+from loomwell.session import get_session, release_scratch  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +23,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_scratch(session)
     session.stop()
 
 

@@ -1,10 +1,14 @@
 """Save modes, layouts, schema handling, text output."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from loomwell import session
 from loomwell.session import scratch_path
 from loomwell.sources import files
+from loomwell.sources.files import stored
 from loomwell.sources.tables import CUSTOMER, load
 
 
@@ -64,3 +68,13 @@ def test_ntz_microseconds_survive_text_copies(spark, path, sf, rows):
     files.write_csv(events, f"{path}/csv")
     assert rows(files.read_json(spark, f"{path}/json", EVENTS), "event_id", "ts") == rows(events, "event_id", "ts")
     assert rows(files.read_csv(spark, f"{path}/csv", EVENTS), "event_id", "ts") == rows(events, "event_id", "ts")
+
+
+def test_scratch_is_released(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "HANDED_OUT", [])
+    held = stored(spark.range(10), "released")
+    (path,) = held.inputFiles()[:1]
+    assert held.count() == 10 and session.HANDED_OUT
+    unused = scratch_path(spark, "unused")
+    assert session.release_scratch(spark) == 2 and session.HANDED_OUT == []
+    assert not os.path.exists(path.removeprefix("file://")) and not os.path.exists(unused)
