@@ -173,6 +173,11 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -
     return pairs_within(prints, queries, radius).groupBy("a", "b").agg(F.sum("rows").alias("rows"))
 
 
+def key_of() -> Column:
+    """Id and text hash. The hash can be NULL by its type, as it can once it is read from a file: equal types join without a cast."""
+    return F.struct("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("h"))
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document with the key of its successor by id, and the edited text.
 
@@ -183,10 +188,10 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     moves once to its own row and its first part once to the document before it.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(F.col(text)).alias("text")).select(
-        F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text"
+        key_of().alias("key"), "text"
     )
     ids = rows.groupBy("key").agg(F.max(F.char_length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("copies"))
-    placed = position_by_range(ids, [], [F.col("key")], "pos")
+    placed = written(position_by_range(ids, [], [F.col("key")], "pos"), "simhash-order")
     before = placed.select(
         (F.col("pos") % placed.agg(F.max("pos")).scalar() + 1).alias("pos"),
         F.col("key").alias("before"),
@@ -209,7 +214,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` (id and text hash), and the fingerprint halves ``a`` and ``b`` of every distinct document."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(F.col(text)).alias("text"))
-    keyed = rows.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text")
+    keyed = rows.select(key_of().alias("key"), "text")
     one = Window.partitionBy("key").orderBy(F.lit(1))
     distinct = keyed.withColumn("copy", F.row_number().over(one)).filter("copy = 1")
     return votes_to_bits(distinct, ["key"], "text")
