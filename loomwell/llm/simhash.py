@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwell.llm.common import whole, words, written
-from loomwell.operators.ordering import position_by_range
+from loomwell.operators.ordering import join_on_keys, position_by_range
 
 BITS = 63  # per half; two halves
 LANES, LANE_BITS = 7, 9  # seven counters of nine bits in a long
@@ -254,10 +254,10 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     following = prints.select(F.col("key").alias("next"), F.col("a").alias("na"), F.col("b").alias("nb"))
     found = within_radius(prints.select("a", "b"), prints.filter("key.doc_id % 50 = 0"))
     a, b = F.col("a"), F.col("b")
+    # many copies share a fingerprint: plain shuffles on both sides let that join be split
+    searched = join_on_keys(prints.join(following, "next"), found.withColumnRenamed("rows", "found"), ["a", "b"], "left")
     return (
-        prints.join(following, "next")
-        .join(found.withColumnRenamed("rows", "found"), ["a", "b"], "left")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        searched.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
         .select(
             F.col("key.doc_id").alias("doc_id"),
             F.col("n").alias("n_chars"),
