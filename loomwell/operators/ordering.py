@@ -52,11 +52,11 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
 
 
 # Plans of these nodes alone are cheaper to read again than to keep.
-CHEAP = {"Project", "Filter", "LogicalRelation", "LocalRelation", "Range", "InMemoryRelation", "LogicalRDD", "SubqueryAlias"}
+CHEAP = {"Project", "Filter", "Generate", "LogicalRelation", "LocalRelation", "Range", "InMemoryRelation", "LogicalRDD", "SubqueryAlias"}
 
 
 def cheap_to_read(df: DataFrame) -> bool:
-    """Whether the frame is a scan with filters and column expressions that give the same rows each time."""
+    """Whether the frame is a scan with filters, column expressions and lists to rows that give the same each time."""
     stack = [df._jdf.queryExecution().optimizedPlan()]
     while stack:
         node = stack.pop()

@@ -20,6 +20,7 @@ from loomwell.operators.ordering import (
     with_position,
     with_running_totals,
 )
+from loomwell.sources.files import stored
 
 
 def top_n_per_group(
@@ -179,21 +180,21 @@ def with_range_frames(
         raise ValueError("the width must not be negative")
     kinds = {n: kind for n, (kind, _) in measures.items()}
     point = df.groupBy(*keys, at).agg(*[OVER_ROWS[k](c).alias(f"_v_{n}") for n, (k, c) in measures.items()])
-    point = point.withColumnRenamed(at, "_at")
+    # read several times below, worked out once
+    point = stored(point.withColumnRenamed(at, "_at"), "points")
     found = {n: F.col(f"_v_{n}") for n in kinds}
     if width:
         with_frames = point.filter(F.col("_at").isNotNull())
         block = F.col("_at") - F.pmod("_at", F.lit(width))
-        values = {n: F.col(f"_v_{n}") for n in kinds}
         none = [F.lit(None).cast(with_frames.schema[f"_v_{n}"].dataType).alias(f"_v_{n}") for n in kinds]
-        own = F.struct(block.alias("_block"), F.col("_at").alias("_place"), F.lit(1).alias("_step"), *[c.alias(f"_v_{n}") for n, c in values.items()])
+        own = F.struct(block.alias("_block"), F.col("_at").alias("_place"), F.lit(1).alias("_step"), *found.values())
         # the probe stands before the rows at the lower bound, which belong to the frame
         probe = F.struct((block - width).alias("_block"), (F.col("_at") - width).alias("_place"), F.lit(0).alias("_step"), *none)
         stream = with_frames.select(*keys, F.inline(F.array(own, probe)))
         group = [*keys, "_block"]
         ranges = in_ranges(stream, group, [F.asc("_place"), F.asc("_step")], rows_per_task)
-        up = {f"_up_{n}": (k, F.col(f"_v_{n}")) for n, k in kinds.items()}
-        down = {f"_down_{n}": (k, F.col(f"_v_{n}")) for n, k in kinds.items()}
+        up = {f"_up_{n}": (k, found[n]) for n, k in kinds.items()}
+        down = {f"_down_{n}": (k, found[n]) for n, k in kinds.items()}
         ends = running(ranges, group, [F.asc("_place"), F.asc("_step")], up)
         starts = running(ranges, group, [F.desc("_place"), F.desc("_step")], down, back=True)
         upper = ends.filter("_step = 1").select(*keys, F.col("_place").alias("_at"), *up)
