@@ -17,7 +17,7 @@ from loomwell.streaming import sinks
 from loomwell.streaming.event_time import panes, sensor_readings, windowed, windows_from_panes, zoneless
 from loomwell.streaming.feeds import dealt_feed, file_feed, in_event_order, stream_session, table_feed, with_event_time
 from loomwell.streaming.rows import FailingRowFiles, RowFiles
-from loomwell.streaming.state import merge_parts, parts_for, running_user_totals, user_sessions
+from loomwell.streaming.state import groups_for, merge_parts, parts_for, running_user_totals, user_sessions
 
 HOUR = """
     SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
@@ -292,7 +292,7 @@ def stream_user_sessions(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "sessions")
     events = load(spark, d, "events")
     feed = dealt_feed(stream_session(spark), events, f"{out}/feed", in_event_order(events, "ts", 4))
-    sinks.to_files(user_sessions(feed, "ts", "12 hours", "2 hours"), f"{out}/rows", f"{out}/state")
+    sinks.to_files(user_sessions(feed, "ts", "12 hours", "2 hours", groups_for(events)), f"{out}/rows", f"{out}/state")
     return spark.read.parquet(f"{out}/rows")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from math import ceil
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -80,21 +81,49 @@ def merge_parts(pieces: DataFrame) -> DataFrame:
 
 SPAN = "user_id long, first_us long, last_us long, events long, value_cents long, at timestamp"
 SESSION = "user_id long, first_us long, last_us long, events long, value_cents long"
-OPEN = "firsts array<long>, lasts array<long>, events array<long>, cents array<long>"
+OPEN = "users array<long>, firsts array<long>, lasts array<long>, events array<long>, cents array<long>"
+COLUMNS = ["user_id", "first_us", "last_us", "events", "value_cents"]
+
+# A call for one group costs milliseconds whatever it holds, so a group has many users; a core gets several groups.
+USERS_PER_GROUP = 500
+GROUPS_PER_CORE = 16
+# Rows that are sorted and merged at once.
+CHUNK_ROWS = 100_000
 
 Span = tuple[int, int, int, int]  # first and last microsecond, events, cents
 
 
+def chained_spans(spans: pd.DataFrame, gap_us: int) -> pd.DataFrame:
+    """Spans of one user that lie at most a gap apart become one, for all users at once."""
+    if not len(spans):
+        return spans[COLUMNS]
+    ordered = spans.sort_values(["user_id", "first_us"], kind="stable")
+    user, first, last, events, cents = (ordered[c].to_numpy() for c in COLUMNS)
+    reach = ordered.groupby("user_id")["last_us"].cummax().to_numpy()
+    fresh = np.ones(len(ordered), dtype=bool)
+    fresh[1:] = (user[1:] != user[:-1]) | (first[1:] - reach[:-1] > gap_us)
+    starts = np.flatnonzero(fresh)
+    merged = [user[starts], first[starts], np.maximum.reduceat(last, starts), np.add.reduceat(events, starts), np.add.reduceat(cents, starts)]
+    return pd.DataFrame(dict(zip(COLUMNS, merged)))
+
+
 def chained(spans: list[Span], gap_us: int) -> list[Span]:
-    """Spans that lie at most a gap apart become one."""
-    merged: list[Span] = []
-    for first, last, events, cents in sorted(spans):
-        if merged and first - merged[-1][1] <= gap_us:
-            start, end, n, total = merged[-1]
-            merged[-1] = (start, max(end, last), n + events, total + cents)
-        else:
-            merged.append((first, last, events, cents))
-    return merged
+    """The same for the spans of one user."""
+    frame = pd.DataFrame([(0, *s) for s in spans], columns=COLUMNS)
+    return list(chained_spans(frame, gap_us)[COLUMNS[1:]].itertuples(index=False, name=None))
+
+
+def in_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of the frames in fewer frames, of at least CHUNK_ROWS rows but for the last."""
+    held: list[pd.DataFrame] = []
+    for pdf in frames:
+        if len(pdf):
+            held.append(pdf)
+        if sum(map(len, held)) >= CHUNK_ROWS:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def spans_of(events: DataFrame, ts: str, gap_us: int) -> DataFrame:
@@ -106,54 +135,56 @@ def spans_of(events: DataFrame, ts: str, gap_us: int) -> DataFrame:
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            ordered = pdf.sort_values(["user_id", "us"], kind="stable")
-            far = (ordered["us"].diff() > gap_us) | ordered["user_id"].diff().ne(0)
-            grouped = ordered.groupby(far.cumsum())
-            spans = grouped.agg(
-                user_id=("user_id", "first"), first_us=("us", "min"), last_us=("us", "max"), events=("us", "size"), value_cents=("cents", "sum")
-            )
+        for pdf in in_chunks(frames):
+            spans = chained_spans(pdf, gap_us)
             yield spans.assign(at=pd.to_datetime(spans["last_us"], unit="us", utc=True))
 
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
     listed = events.filter(F.col(ts).isNotNull() & F.col("user_id").isNotNull()).select(
         "user_id",
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-        F.coalesce(F.round(F.col("value") * 100).cast("long"), F.lit(0)).alias("cents"),
+        micros.alias("first_us"),
+        micros.alias("last_us"),
+        F.lit(1).cast("long").alias("events"),
+        F.coalesce(F.round(F.col("value") * 100).cast("long"), F.lit(0)).alias("value_cents"),
     )
     return listed.mapInPandas(run, SPAN)
 
 
-def user_sessions(events: DataFrame, ts: str, gap: str, lateness: str) -> DataFrame:
+def groups_for(events: DataFrame) -> int:
+    """Groups of users for the users of the events seen so far."""
+    users = events.agg(F.approx_count_distinct("user_id")).first()[0]
+    return max(GROUPS_PER_CORE * events.sparkSession.sparkContext.defaultParallelism, ceil(users / USERS_PER_GROUP))
+
+
+def user_sessions(events: DataFrame, ts: str, gap: str, lateness: str, groups: int = 1024) -> DataFrame:
     """Sessions of a stream: events of a user that follow each other within ``gap``; append mode.
 
     A session is emitted once the watermark, ``lateness`` behind the newest event,
     has passed its last event by more than the gap: no event that still counts can
-    then extend it. An event-time timer wakes the user whose next session ends even
-    if no event comes, and a user without an open session holds no state. Events may
-    come in any order within the lateness, so a user can have several open sessions.
+    then extend it. Users are dealt to ``groups`` by a hash (``groups_for`` derives the
+    number from rows seen before), and a group holds the open sessions of its users. An
+    event-time timer wakes the group whose next session ends even if no event comes,
+    and a group without an open session holds no state. Events may come in any order
+    within the lateness, so a user can have several open sessions.
     """
     gap_us = int(pd.Timedelta(gap) / pd.Timedelta(microseconds=1))
 
     def close(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        spans: list[Span] = [tuple(map(int, s)) for s in zip(*state.get)] if state.exists else []
-        for pdf in frames:
-            spans += [tuple(map(int, s)) for s in zip(pdf["first_us"], pdf["last_us"], pdf["events"], pdf["value_cents"])]
-        passed_us = state.getCurrentWatermarkMs() * 1000
-        merged = chained(spans, gap_us)
-        ended = [s for s in merged if s[1] + gap_us < passed_us]
-        still = [s for s in merged if s[1] + gap_us >= passed_us]
-        if still:
-            state.update(tuple(list(column) for column in zip(*still)))
-            state.setTimeoutTimestamp((min(s[1] for s in still) + gap_us) // 1000)
+        held = pd.DataFrame(dict(zip(COLUMNS, state.get if state.exists else [[]] * len(COLUMNS))), dtype="int64")
+        for pdf in in_chunks(frames):
+            held = chained_spans(pd.concat([held, pdf[COLUMNS]], ignore_index=True), gap_us)
+        over = held["last_us"] + gap_us < state.getCurrentWatermarkMs() * 1000
+        ended, still = held[over], held[~over]
+        if len(still):
+            state.update(tuple(still[c].tolist() for c in COLUMNS))
+            state.setTimeoutTimestamp((int(still["last_us"].min()) + gap_us) // 1000)
         elif state.exists:
             state.remove()
-        if ended:
-            firsts, lasts, counts, cents = zip(*ended)
-            yield pd.DataFrame(
-                {"user_id": key[0], "first_us": firsts, "last_us": lasts, "events": counts, "value_cents": cents}
-            )
+        if len(ended):
+            yield ended
 
     spans = spans_of(events, ts, gap_us).withWatermark("at", lateness)
-    return spans.groupBy("user_id").applyInPandasWithState(
+    grouped = spans.withColumn("group", F.pmod(F.xxhash64("user_id"), F.lit(groups)))
+    return grouped.groupBy("group").applyInPandasWithState(
         close, SESSION, OPEN, "append", GroupStateTimeout.EventTimeTimeout
     )

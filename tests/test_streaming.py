@@ -1,5 +1,6 @@
 """Streaming semantics: modes, watermarks, restarts, triggers, state stores."""
 
+import datetime
 import os
 import random
 import time
@@ -232,6 +233,33 @@ def test_sessions_end_and_leave_no_state(spark, base, rows):
     assert handle.lastProgress.stateOperators[0].numRowsTotal == 2
 
 
+def test_one_state_holds_the_sessions_of_many_users(spark, base, rows):
+    from pyspark.sql.types import _parse_datatype_string
+
+    rnd = random.Random(4)
+    batches = [[(f"2024-01-01 {h:02d}:{rnd.randrange(60):02d}:00", rnd.randrange(60), float(rnd.randrange(9))) for _ in range(150)] for h in (0, 1, 5)]
+    for age, data in zip((400, 300, 200), batches):
+        drop_events(spark, f"{base}/in", str(400 - age), data, age)
+    stream = file_feed(stream_session(spark), "json", f"{base}/in", _parse_datatype_string(EVENT), 1)
+    handle = sinks.to_files(user_sessions(stream, "ts", "10 minutes", "2 hours", groups=3), f"{base}/out", f"{base}/state")
+    found = spark.read.parquet(f"{base}/out").select("user_id", (F.col("first_us") / 60_000_000).cast("long"), (F.col("last_us") / 60_000_000).cast("long"), "events", "value_cents")
+    times = {}
+    for t, user, value in sum(batches, []):
+        moment = datetime.datetime.fromisoformat(f"{t}+00:00")
+        times.setdefault(user, []).append((int(moment.timestamp()) // 60, value))
+    newest, expected = max(t for seen in times.values() for t, _ in seen), []
+    for user, seen in times.items():
+        sessions = []
+        for t, value in sorted(seen):
+            if not sessions or t - sessions[-1][1] > 10:
+                sessions.append([t, t, 0, 0])
+            sessions[-1] = [sessions[-1][0], t, sessions[-1][2] + 1, sessions[-1][3] + int(value * 100)]
+        expected += [(user, *s) for s in sessions if s[1] + 10 < newest - 120]
+    assert rows(found) == sorted(expected, key=repr)
+    # the users whose sessions are open share the states of three groups
+    assert handle.lastProgress.stateOperators[0].numRowsTotal <= 3
+
+
 def test_spans_of_a_busy_user_collapse_in_their_task(spark):
     events = spark.range(40_000).select(
         F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 10).alias("ts"), F.lit(7).cast("long").alias("user_id"), F.lit(0.25).alias("value")
