@@ -13,6 +13,8 @@ from loomwell.operators.joins import (
     key_skew,
     salted_join,
 )
+from loomwell.operators.layout import plan_text
+from loomwell.plans.join_queries import join_skewed_baseline
 
 
 @pytest.fixture(scope="module")
@@ -106,3 +108,22 @@ def test_broadcast_only_below_the_limit(spark, sf):
     hinted = broadcast_if_small(orders)._jdf.queryExecution().logical().toString()
     plain = broadcast_if_small(orders, max_bytes=1000)._jdf.queryExecution().logical().toString()
     assert "Hint" in hinted and "Hint" not in plain
+
+
+def test_rows_of_the_hot_key_are_not_sorted(spark, tmp_path, rows):
+    """The plain skewed join holds the customers in memory, not the orders of one of them."""
+    orders = [(k, k if k % 7 else None, 10.25) for k in range(1, 400)] + [(500, 50_001, 3.5), (501, 99, 1.0), (501, 99, 1.0)]
+    customers = [(1, "A"), (1, "A"), (99, "B"), (299, None), (None, "C")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(customers, "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    joined = join_skewed_baseline(spark, str(tmp_path))
+    text = plan_text(joined, "simple")
+    assert "ShuffledHashJoin" in text and "Sort" not in text and "Broadcast" not in text
+    hot = [(1 if c % 100 < 99 else c, price) for _, c, price in orders if c is not None]
+    expected = {}
+    for key, price in hot:
+        for c, segment in customers:
+            if c == key:
+                n, total = expected.get(segment, (0, 0.0))
+                expected[segment] = (n + 1, total + price)
+    assert rows(joined) == sorted(((s, n, t) for s, (n, t) in expected.items()), key=repr)
