@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomwell.llm import line_dedup, minhash, mixing, packing, quality
 from loomwell.llm.common import written
+from loomwell.session import inner_scratch, scratch_path
 from loomwell.sources.tables import load
 
 # Shingles of five words and a similarity of 0.8 make two documents near duplicates.
@@ -36,25 +37,44 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def uncut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id`` and whole text of the documents that are left; one that the table does not hold keeps its own text."""
+    """``doc_id`` and whole text of the documents that are left; one that the table does not hold keeps its own text.
+
+    Of an id that the table holds with several texts, only those that pass the quality rules are left.
+    """
     left = docs.select("doc_id", "text")
     if not sf_dir:
         return left
-    table = load(spark, sf_dir, "documents").select("doc_id", "text")
+    table = load(spark, sf_dir, "documents")
     found = table.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    return found.unionByName(left.join(table.select("doc_id").distinct(), "doc_id", "left_anti"))
+    h = F.xxhash64("text")
+    several = found.groupBy("doc_id").agg(F.min(h).alias("x"), F.max(h).alias("y")).filter("x <> y").select("doc_id")
+    several = written(several, "near-ids")
+    passing = quality.keep_passing(found.join(several, "doc_id", "left_semi").select(*table.columns))
+    whole = found.join(several, "doc_id", "left_anti").select("doc_id", "text").unionByName(passing.select("doc_id", "text"))
+    return whole.unionByName(left.join(table.select("doc_id").distinct(), "doc_id", "left_anti"))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The documents without those whose ids have a smaller one near them in ``texts``."""
+    path = scratch_path(spark, "near-gone")
+    with inner_scratch(spark):
+        found = minhash.near_duplicates(texts, size=SHINGLE, percent=PERCENT)
+        found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct().write.parquet(path)
+    gone = spark.read.parquet(path)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near duplicates.
 
-    The texts are compared as they were before lines were cut: what the cut leaves of
-    a near copy is only where it differs, which resembles nothing. A document without
-    words or with a NULL id is like no other and stays; repeated rows go or stay together.
+    The texts are compared first as they were before lines were cut: what the cut
+    leaves of a near copy is only where it differs, which resembles nothing. What
+    remains is compared as it is now: documents that the cut has made alike are near
+    duplicates too. A document without words or with a NULL id is like no other and
+    stays; repeated rows go or stay together.
     """
-    found = minhash.near_duplicates(uncut(spark, docs, sf_dir), size=SHINGLE, percent=PERCENT)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    left = without_copies(spark, docs, uncut(spark, docs, sf_dir))
+    return without_copies(spark, left, left.select("doc_id", "text")) if sf_dir else left
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

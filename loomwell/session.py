@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -58,20 +61,38 @@ def shared_root(spark: SparkSession) -> str:
 
 
 HANDED_OUT: list[str] = []
+INNER: ContextVar[list[str] | None] = ContextVar("INNER", default=None)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-    HANDED_OUT.append(path)
+    held = INNER.get()
+    (HANDED_OUT if held is None else held).append(path)
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Remove what lies at all paths handed out so far, once no frame made from it is needed; returns their number."""
+def remove_paths(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark._jvm
-    released = len(HANDED_OUT)
-    while HANDED_OUT:
-        path = jvm.org.apache.hadoop.fs.Path(HANDED_OUT.pop())
+    removed = len(paths)
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return released
+    return removed
+
+
+@contextmanager
+def inner_scratch(spark: SparkSession) -> Iterator[None]:
+    """What lies at the paths this thread is handed inside goes at the end, where no frame made from it is needed any more."""
+    held: list[str] = []
+    token = INNER.set(held)
+    try:
+        yield
+    finally:
+        INNER.reset(token)
+        remove_paths(spark, held)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove what lies at all paths handed out so far, once no frame made from it is needed; returns their number."""
+    return remove_paths(spark, HANDED_OUT)

@@ -329,3 +329,31 @@ def test_near_copies_go_although_their_lines_were_cut(spark, tmp_path):
                 if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                     group[a] = group[b] = min(group[a], group[b])
     assert after == {d for d in sets if group[d] == d} and len(after) < len(before)
+
+
+def test_what_earlier_stages_did_counts_for_near_dedup(spark, tmp_path):
+    """Texts that the cut has made alike are near copies; a text that the quality rules dropped is none."""
+    rnd = random.Random(3)
+    words = [f"word{k}" for k in range(900)]
+
+    def block(n):
+        return [" ".join(rnd.choice(words) for _ in range(60)) for _ in range(n)]
+
+    head, other, rest, own = block(6), block(6), block(9), block(9)
+    # the same rest but for a word in every line, so that no line of it is cut
+    like = [" ".join([f"other{k}", *line.split()[1:]]) for k, line in enumerate(rest)]
+    junk = "\n".join([head[0]] * 30)
+    docs = [(1, head), (2, other), (3, head + rest), (4, other + like), (5, own), (6, block(9))]
+    docs = [(d, "\n".join(lines)) for d, lines in docs] + [(0, junk + " end"), (6, junk)]
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    held = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        held = corpus_pipeline.written(stage(spark, held, str(tmp_path)), f"counts-{name}")
+    assert {r["doc_id"] for r in held.collect()} == {1, 2, 3, 4, 5, 6} and held.filter("doc_id = 6").count() == 1
+    sets = {r["doc_id"]: five_words(r["text"]) for r in held.collect()}
+    whole = {d: five_words(t) for d, t in docs if d in (3, 4)}
+    assert 100 * len(whole[3] & whole[4]) < 80 * len(whole[3] | whole[4])
+    assert 100 * len(sets[3] & sets[4]) >= 80 * len(sets[3] | sets[4])
+    assert {r["doc_id"] for r in corpus_pipeline.dedup_near(spark, held, str(tmp_path)).collect()} == {1, 2, 3, 5, 6}
+    assert corpus_pipeline.uncut(spark, held, str(tmp_path)).filter("doc_id = 6").count() == 1
