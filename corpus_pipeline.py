@@ -45,13 +45,18 @@ def uncut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not sf_dir:
         return left
     table = load(spark, sf_dir, "documents")
-    found = table.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    # the ids are written, as a short list of them spares the texts a shuffle each time they are read
+    ids = written(left.select("doc_id").dropna().distinct(), "near-left")
+    found = table.join(ids, "doc_id", "left_semi").select(*table.columns)
     h = F.xxhash64("text")
     several = found.groupBy("doc_id").agg(F.min(h).alias("x"), F.max(h).alias("y")).filter("x <> y").select("doc_id")
-    several = written(several, "near-ids")
-    passing = quality.keep_passing(found.join(several, "doc_id", "left_semi").select(*table.columns))
-    whole = found.join(several, "doc_id", "left_anti").select("doc_id", "text").unionByName(passing.select("doc_id", "text"))
-    return whole.unionByName(left.join(table.select("doc_id").distinct(), "doc_id", "left_anti"))
+    several = written(several, "near-several")
+    whole = found.select("doc_id", "text")
+    if not several.isEmpty():
+        passing = quality.keep_passing(found.join(several, "doc_id", "left_semi").select(*table.columns))
+        whole = whole.join(several, "doc_id", "left_anti").unionByName(passing.select("doc_id", "text"))
+    foreign = written(ids.join(table.select("doc_id").distinct(), "doc_id", "left_anti"), "near-foreign")
+    return whole if foreign.isEmpty() else whole.unionByName(left.join(foreign, "doc_id", "left_semi"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, texts: DataFrame) -> DataFrame:
