@@ -36,37 +36,42 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut
 
 
-def uncut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def ids_of(docs: DataFrame) -> DataFrame:
+    return written(docs.select("doc_id").dropna().distinct(), "near-left")
+
+
+def uncut(spark: SparkSession, docs: DataFrame, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """``doc_id`` and whole text of the documents that are left; one that the table does not hold keeps its own text.
 
     Of an id that the table holds with several texts, only those that pass the quality rules are left.
+    With ``ids``, those of ``docs``, texts of other ids are among them: no text is moved to leave these out.
     """
     left = docs.select("doc_id", "text")
     if not sf_dir:
         return left
     table = load(spark, sf_dir, "documents")
-    # the ids are written, as a short list of them spares the texts a shuffle each time they are read
-    ids = written(left.select("doc_id").dropna().distinct(), "near-left")
-    found = table.join(ids, "doc_id", "left_semi").select(*table.columns)
-    h = F.xxhash64("text")
-    several = found.groupBy("doc_id").agg(F.min(h).alias("x"), F.max(h).alias("y")).filter("x <> y").select("doc_id")
-    several = written(several, "near-several")
-    whole = found.select("doc_id", "text")
+    if ids is None:
+        ids = ids_of(left)
+        table = table.join(minhash.short_list(ids), "doc_id", "left_semi").select(*table.columns)
+    # ids and hashes alone travel to find the ids with several texts and those not in the table
+    hashed = table.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(F.min("h").alias("x"), F.max("h").alias("y"))
+    several = written(hashed.filter("x <> y").select("doc_id").join(ids, "doc_id", "left_semi"), "near-several")
+    whole = table.select("doc_id", "text")
     if not several.isEmpty():
-        passing = quality.keep_passing(found.join(several, "doc_id", "left_semi").select(*table.columns))
-        whole = whole.join(several, "doc_id", "left_anti").unionByName(passing.select("doc_id", "text"))
+        few = minhash.short_list(several)
+        passing = quality.keep_passing(table.join(few, "doc_id", "left_semi").select(*table.columns))
+        whole = whole.join(few, "doc_id", "left_anti").unionByName(passing.select("doc_id", "text"))
     foreign = written(ids.join(table.select("doc_id").distinct(), "doc_id", "left_anti"), "near-foreign")
-    return whole if foreign.isEmpty() else whole.unionByName(left.join(foreign, "doc_id", "left_semi"))
+    return whole if foreign.isEmpty() else whole.unionByName(left.join(minhash.short_list(foreign), "doc_id", "left_semi"))
 
 
-def without_copies(spark: SparkSession, docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The documents without those whose ids have a smaller one near them in ``texts``."""
+def copies(spark: SparkSession, texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those of the ``ids`` that have a smaller one of them near them in ``texts``."""
     path = scratch_path(spark, "near-gone")
     with inner_scratch(spark):
-        found = minhash.near_duplicates(texts, size=SHINGLE, percent=PERCENT)
-        found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct().write.parquet(path)
-    gone = spark.read.parquet(path)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+        found = minhash.near_duplicates(texts, size=SHINGLE, percent=PERCENT, among=ids)
+        found.filter(~F.col("kept")).select("doc_id").distinct().write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,9 +82,16 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     remains is compared as it is now: documents that the cut has made alike are near
     duplicates too. A document without words or with a NULL id is like no other and
     stays; repeated rows go or stay together.
+
+    The searches are limited by ids, so that texts stay where they are until the end.
     """
-    left = without_copies(spark, docs, uncut(spark, docs, sf_dir))
-    return without_copies(spark, left, left.select("doc_id", "text")) if sf_dir else left
+    ids = ids_of(docs)
+    gone = copies(spark, uncut(spark, docs, sf_dir, ids), ids)
+    if sf_dir:
+        rest = written(ids.join(gone, "doc_id", "left_anti"), "near-rest")
+        gone = gone.union(copies(spark, docs.select("doc_id", "text"), rest))
+    listed = minhash.short_list(gone.withColumnRenamed("doc_id", "_gone"))
+    return docs.join(listed, docs["doc_id"] == listed["_gone"], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,6 +112,11 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, SKETCH)
 
 
+def short_list(ids: DataFrame) -> DataFrame:
+    """A list of ids to join texts with: below eight MB it spares them a shuffle, whatever Spark's own limit is; a longer one is joined."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """The whole sets of the documents named in ``ids``."""
 
@@ -122,9 +127,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 64), lists_of(sets[k : k + 64])], names=SETS.names)
 
     bound_batches(docs.sparkSession)
-    # a list of ids below eight MB spares the texts a shuffle; a longer one is joined
-    named = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(named, "doc_id", "left_semi").mapInArrow(run, SETS)
+    return docs.join(short_list(ids), "doc_id", "left_semi").mapInArrow(run, SETS)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -300,7 +303,12 @@ def unsettled_links(texts: DataFrame, placed: DataFrame, size: int, percent: int
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    percent: int = 80,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every input row.
 
@@ -309,18 +317,24 @@ def near_duplicates(
     has no shingle and no link. A NULL id is linked with nothing, has a NULL
     component and is kept. Rows with one id are one node: equal rows come back as
     often as they came. Other columns are ignored, whatever their names.
-    A ``percent`` below LEAST_PERCENT is refused.
+    A ``percent`` below LEAST_PERCENT is refused. ``among``, a table of distinct
+    ids in ``doc_id``, limits the search to the rows with one of these: all rows
+    are sketched and the rest goes then, so that no text is moved for a long list.
     """
     if not LEAST_PERCENT <= percent <= 100:
         raise ValueError(f"percent must lie between {LEAST_PERCENT} and 100")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    drawn = written(sketches(rows, size), "minhash-sketches")
+    sketched = written(sketches(rows, size), "minhash-sketches")
+    drawn = sketched.select("doc_id", "n", "digest")
+    if among is not None:
+        drawn = written(drawn.join(among.select(F.col("doc_id").cast("long")), "doc_id", "left_semi"), "minhash-among")
     filled = drawn.filter("n > 0 AND doc_id IS NOT NULL")
     classes = written(filled.groupBy("digest").agg(F.min("doc_id").alias("node")), "minhash-classes")
     # one row per distinct set, and links between rows that share an id but not a set
     first = Window.partitionBy("doc_id", "digest").orderBy(F.lit(1))
     nodes = written(
-        filled.join(classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"])
+        sketched.filter("n > 0 AND doc_id IS NOT NULL")
+        .join(classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"])
         .withColumn("copy", F.row_number().over(first))
         .filter("copy = 1")
         .select("doc_id", "n", "sketch"),

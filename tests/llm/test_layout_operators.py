@@ -7,8 +7,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from loomwell.llm import mixing, packing, sharding
+from loomwell.llm import minhash, mixing, packing, sharding
 from loomwell.llm.queries import MIX, QUERIES
+from loomwell.operators.layout import exchange_count
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -357,3 +358,26 @@ def test_what_earlier_stages_did_counts_for_near_dedup(spark, tmp_path):
     assert 100 * len(sets[3] & sets[4]) >= 80 * len(sets[3] | sets[4])
     assert {r["doc_id"] for r in corpus_pipeline.dedup_near(spark, held, str(tmp_path)).collect()} == {1, 2, 3, 5, 6}
     assert corpus_pipeline.uncut(spark, held, str(tmp_path)).filter("doc_id = 6").count() == 1
+
+
+def test_near_dedup_moves_no_texts(spark, tmp_path, monkeypatch):
+    """No search shuffles the texts it reads, however long the list of ids that are left, nor does what comes out."""
+    rnd = random.Random(4)
+    texts = [" ".join(f"word{rnd.randrange(900)}" for _ in range(80)) for _ in range(30)]
+    docs = [(k, t) for k, t in enumerate(texts)] + [(30 + k, t + " end") for k, t in enumerate(texts[:10])]
+    docs += [(3, texts[3] + " twice"), (50, "junk"), (51, None), (None, texts[0])]
+    frame = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    held = spark.read.parquet(f"{tmp_path}/documents.parquet").filter("doc_id < 50 or doc_id is null")
+    read = []
+    for name in ("sketches", "full_sets"):
+        monkeypatch.setattr(minhash, name, lambda texts, *a, f=getattr(minhash, name): read.append(exchange_count(texts)) or f(texts, *a))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.dedup_near(spark, held, str(tmp_path))
+        assert read == [0] * 6 and exchange_count(out) == 0
+        assert sorted(r["doc_id"] for r in out.filter("doc_id is not null").collect()) == sorted([*range(30), 3])
+        assert out.filter("doc_id is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

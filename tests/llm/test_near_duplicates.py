@@ -81,6 +81,19 @@ def test_odd_rows(spark):
     assert twice == [(4, 1, 4, True)] * 2
 
 
+def test_a_search_among_some_ids(spark):
+    """The others link nothing, and come back neither: 3 is what joins 2 and 5."""
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join([f"x{i}"] * (4 * i) + words[4 * i :]) for i in range(4)]
+    docs = [(2, texts[0]), (3, texts[1]), (5, texts[2]), (5, texts[2]), (4, texts[3]), (6, texts[0]), (1, texts[0]), (7, ""), (8, None), (None, texts[0])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for some in ({2, 3, 4, 5, 7}, {2, 5, 6, 8, 99}, set()):
+        among = spark.createDataFrame([(i,) for i in some], "doc_id long")
+        got = found(minhash.near_duplicates(frame, size=3, among=among))
+        assert sorted(got) == sorted(expected([d for d in docs if d[0] in some], 3))
+    assert len(found(minhash.near_duplicates(frame, size=3))) == len(docs)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (501, 500)], "u long, v long")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
