@@ -34,7 +34,7 @@ from loomwell.operators.ordering import with_running_totals
 KEPT, LISTED, NEEDED = 64, 32, 0.44
 LEAST_PERCENT = 80  # NEEDED and the limit of the estimate lose links below it
 BROADCAST_IDS = 1_000_000  # eight bytes each
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000  # more are no faster
 # shingles in a block of a list, what a small set counts as, and columns of a matrix
 BLOCK_ITEMS, LEAST_WEIGHT, MATRIX_COLUMNS = 1 << 16, 128, 8192
 
@@ -75,6 +75,12 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(mixed.view(np.int64))
 
 
+def release() -> None:
+    """At the end of a task: its worker lives on, and the joins that follow need the memory."""
+    HASHES.clear()
+    pa.default_memory_pool().release_unused()
+
+
 SKETCH = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -107,6 +113,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 ],
                 names=SKETCH.names,
             )
+        release()
 
     bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, SKETCH)
@@ -125,6 +132,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             sets = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
             for k in range(0, len(sets), 64):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 64), lists_of(sets[k : k + 64])], names=SETS.names)
+        release()
 
     bound_batches(docs.sparkSession)
     return docs.join(short_list(ids), "doc_id", "left_semi").mapInArrow(run, SETS)
